@@ -8,11 +8,10 @@ other steps are set operations.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Sequence
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from decimal import ROUND_HALF_UP, Context, Decimal
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -130,47 +129,13 @@ def _units(name: str) -> Column:
     return (F.col(name) * 10_000).cast("bigint").alias(name)
 
 
-def first_above(floors: np.ndarray, start: np.ndarray, cost: np.ndarray) -> np.ndarray:
-    """For each i the first position p >= start[i] with floors[p] > cost[i], or len(floors).
+def _signal_numbers(candidates: DataFrame, *order: Column) -> DataFrame:
+    """Signals as plain numbers, each stock's rows together and in the given order.
 
-    Skips blocks of halving length whose maximum is not above the cost:
-    n log n for all i together.
+    The Python steps below read them batch by batch and keep only a small state
+    for the stock at hand, so no history has to fit in memory at once.
     """
-    levels, span = [floors], 1
-    while 2 * span <= len(floors):
-        last = levels[-1]
-        levels.append(np.maximum(last[:-span], last[span:]))
-        span *= 2
-    position = start.copy()
-    for level in reversed(levels):
-        inside = position < len(level)
-        blocked = inside.copy()
-        blocked[inside] = level[position[inside]] <= cost[inside]
-        position[blocked] += span
-        span //= 2
-    return position
-
-
-def _match_round_trips(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("signal_day", ignore_index=True)
-    buys, sells = group[group["is_buy"]], group[~group["is_buy"]]
-    start = np.searchsorted(sells["signal_day"].to_numpy(), buys["signal_day"].to_numpy(), side="right")
-    found = first_above(sells["floor_price"].to_numpy(dtype="int64"), start, buys["price"].to_numpy(dtype="int64"))
-    hit = found < len(sells)
-    buys, sells = buys[hit], sells.iloc[found[hit]]
-    return pd.DataFrame(
-        {
-            "stock": buys["stock"].to_numpy(),
-            "buy_day": buys["trade_day"].to_numpy(),
-            "buy_price": buys["price"].to_numpy(),
-            "sell_day": sells["trade_day"].to_numpy(),
-            "sell_price": sells["price"].to_numpy(),
-        }
-    )
-
-
-def _signal_numbers(candidates: DataFrame) -> DataFrame:
-    return candidates.select(
+    numbers = candidates.select(
         "stock",
         F.unix_date("signal_date").alias("signal_day"),
         F.unix_date("trade_date").alias("trade_day"),
@@ -179,24 +144,50 @@ def _signal_numbers(candidates: DataFrame) -> DataFrame:
         F.coalesce((F.col("floor_price") * 10_000).cast("bigint"), F.lit(0)).alias("floor_price"),
         "streak_run",
     )
+    return numbers.repartition("stock").sortWithinPartitions("stock", *order)
+
+
+def _rows(batch: pd.DataFrame) -> Iterator[tuple]:
+    return zip(*(batch[name].tolist() for name in batch.columns), strict=True)
 
 
 def _price(units: str) -> Column:
     return (F.col(units).cast("decimal(16,0)") / F.lit(10_000)).cast(schemas.PRICE)
 
 
+_TRIP_COLUMNS = ["stock", "buy_day", "buy_price", "sell_day", "sell_price"]
+_TRIP_SCHEMA = "stock string, buy_day int, buy_price bigint, sell_day int, sell_price bigint"
+
+
+def _first_better_sale(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Reads each stock backwards. Of the sells met so far only those no earlier sell outbids are
+    kept; their floors rise with time, so a buy finds its sell by bisection."""
+    current, negated_floors, sells = None, [], []
+    for batch in batches:
+        trips = []
+        for stock, _, trade_day, price, is_buy, floor, _ in _rows(batch):
+            if stock != current:
+                current, negated_floors, sells = stock, [], []
+            if is_buy:
+                beating = bisect_left(negated_floors, -price)
+                if beating:
+                    trips.append((stock, trade_day, price, *sells[beating - 1]))
+            else:
+                while negated_floors and -negated_floors[-1] <= floor:
+                    negated_floors.pop()
+                    sells.pop()
+                negated_floors.append(-floor)
+                sells.append((trade_day, price))
+        yield pd.DataFrame(trips, columns=_TRIP_COLUMNS)
+
+
 def round_trips(candidates: DataFrame) -> DataFrame:
     """For every buy candidate the first later sell candidate that beats its price.
 
-    ``candidates`` are ``signals``. The search runs per stock on its signals
-    only and visits no pairs.
+    ``candidates`` are ``signals``. The search visits no pairs.
     """
-    matched = (
-        _signal_numbers(candidates)
-        .groupBy("stock")
-        .applyInPandas(_match_round_trips, "stock string, buy_day int, buy_price bigint, sell_day int, sell_price bigint")
-    )
-    return matched.select(
+    backwards = _signal_numbers(candidates, F.desc("signal_day"))
+    return backwards.mapInPandas(_first_better_sale, _TRIP_SCHEMA).select(
         "stock",
         F.date_from_unix_date("buy_day").alias("purchased_date"),
         _price("buy_price").alias("purchased_price"),
@@ -205,62 +196,58 @@ def round_trips(candidates: DataFrame) -> DataFrame:
     )
 
 
+_BOUGHT = ["stock", "trade_no", "shares", "buy_signal_day", "buy_day", "buy_price", "buy_run"]
+_SOLD = ["sell_signal_day", "sell_day", "sell_price", "sell_run", "proceeds"]
 _TRADE_SCHEMA = (
     "stock string, trade_no int, shares decimal(38,3), "
     "buy_signal_day int, buy_day int, buy_price bigint, buy_run bigint, "
     "sell_signal_day int, sell_day int, sell_price bigint, sell_run bigint, proceeds decimal(38,7)"
 )
-_TRADE_COLUMNS = re.findall(r"(\w+) (?:string|int|bigint|decimal)", _TRADE_SCHEMA)
 _EXACT = Context(prec=76, rounding=ROUND_HALF_UP)
 _MILLI = Decimal("0.001")
 
 
-def _executed(rows: Iterable, cash: Decimal) -> list[dict]:
+def _trader(start_cash: Decimal) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Alternating purchases and sales from flat; all cash goes into each purchase."""
-    trades: list[dict] = []
-    holding = False
-    for row in rows:
-        if holding and not row.is_buy and row.floor_price > trades[-1]["buy_price"]:
-            cash = _EXACT.multiply(trades[-1]["shares"], Decimal(row.price).scaleb(-4, _EXACT))
-            trades[-1].update(
-                sell_signal_day=row.signal_day,
-                sell_day=row.trade_day,
-                sell_price=row.price,
-                sell_run=row.streak_run,
-                proceeds=cash,
-            )
-            holding = False
-        elif not holding and row.is_buy and row.price > 0:
-            shares = _EXACT.divide(cash, Decimal(row.price).scaleb(-4, _EXACT)).quantize(_MILLI, context=_EXACT)
-            trades.append(
-                dict(
-                    stock=row.stock,
-                    trade_no=len(trades) + 1,
-                    shares=shares,
-                    buy_signal_day=row.signal_day,
-                    buy_day=row.trade_day,
-                    buy_price=row.price,
-                    buy_run=row.streak_run,
-                )
-            )
-            holding = True
-    return trades
+    never_sold = (None,) * len(_SOLD)
+
+    def frame(trades: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(trades, columns=_BOUGHT + _SOLD, dtype="object")
+
+    def trade(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, position = None, None
+        for batch in batches:
+            done = []
+            for stock, signal_day, trade_day, price, is_buy, floor, run in _rows(batch):
+                if stock != current:
+                    if position:
+                        done.append(position + never_sold)
+                    current, position, cash, count = stock, None, start_cash, 0
+                unit = Decimal(price).scaleb(-4, _EXACT)
+                if is_buy and position is None and price > 0:
+                    count += 1
+                    shares = _EXACT.divide(cash, unit).quantize(_MILLI, context=_EXACT)
+                    position = (stock, count, shares, signal_day, trade_day, price, run)
+                elif not is_buy and position and floor > position[5]:
+                    cash = _EXACT.multiply(position[2], unit)
+                    done.append((*position, signal_day, trade_day, price, run, cash))
+                    position = None
+            yield frame(done)
+        if position:
+            yield frame([position + never_sold])
+
+    return trade
 
 
 def strategy_trades(candidates: DataFrame, start_cash: Decimal = START_CASH) -> DataFrame:
     """Executed trades per stock: one position at a time, cash reinvested, shares rounded half up
     to three digits. A position never sold has NULL sale columns.
 
-    The state carries from trade to trade, so a stock's signals are folded in
-    order by one task; only signal rows, at most one per day, reach Python.
+    Each trade depends on the one before, so a stock's signals are read in
+    order by one task; only signal days, not all days, reach Python.
     """
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        trades = _executed(group.sort_values("signal_day").itertuples(index=False), start_cash)
-        return pd.DataFrame(trades, columns=_TRADE_COLUMNS, dtype="object")
-
-    folded = _signal_numbers(candidates).groupBy("stock").applyInPandas(fold, _TRADE_SCHEMA)
-    return folded.select(
+    forwards = _signal_numbers(candidates, F.col("signal_day"))
+    return forwards.mapInPandas(_trader(start_cash), _TRADE_SCHEMA).select(
         "stock",
         "trade_no",
         "shares",

@@ -25,6 +25,10 @@ _BAR_COLUMNS = ("stock", "stock_valuation_date", "close_value")
 _BARS = T.StructType([schemas.LIVE[name] for name in _BAR_COLUMNS])
 
 
+def _plus(schema: T.StructType, partition: str) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(partition, T.IntegerType())])
+
+
 @dataclass(frozen=True)
 class StreakStore:
     spark: SparkSession
@@ -44,7 +48,7 @@ class StreakStore:
         return self.spark.read.schema(schema).parquet(path)
 
     def _streak_schema(self, family: BucketFamily) -> T.StructType:
-        return T.StructType(schemas.metric(family).fields).add("is_open", T.IntegerType())
+        return _plus(schemas.metric(family), "is_open")
 
     def apply(self, batch: int, bars: DataFrame) -> None:
         """Takes in one batch of bars, unique on (stock, day). Bars at or before their stock's
@@ -75,16 +79,16 @@ class StreakStore:
     def metric(self, family: BucketFamily, batch: int) -> DataFrame:
         """The family's mart as of ``batch``: all closed streaks, and the open ones of that batch.
         Both conditions are on partition columns, so no superseded file is read."""
-        schema = self._streak_schema(family).add("batch", T.IntegerType())
+        schema = _plus(self._streak_schema(family), "batch")
         rows = self._read(family.mart, schema).where(
             (F.col("batch") <= batch) & ((F.col("is_open") == 0) | (F.col("batch") == batch))
         )
         return rows.drop("is_open", "batch")
 
     def days(self, batch: int) -> DataFrame:
-        schema = T.StructType(schemas.CLASSIFIED.fields).add("batch", T.IntegerType())
+        schema = _plus(schemas.CLASSIFIED, "batch")
         return self._read("days", schema).where(F.col("batch") <= batch).select(*CLASSIFIED_COLUMNS)
 
     def late(self, batch: int) -> DataFrame:
-        schema = T.StructType(_BARS.fields).add("batch", T.IntegerType())
+        schema = _plus(_BARS, "batch")
         return self._read("late", schema).where(F.col("batch") <= batch).select(*_BAR_COLUMNS)
