@@ -32,16 +32,15 @@ def order_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many stocks: parts as tickers, all days. (l_orderkey, l_linenumber) repeats in the data,
-    so the price closes the order of a day's ticks."""
-    price = F.col("l_extendedprice")
+    """Many stocks: parts as tickers, all days. Line numbers fit 20 bits, so the two parts of a
+    line's key make one number; an order key too large for that raises an overflow error."""
     return daily_bars(
         table(spark, sf_dir, "lineitem"),
-        stock=F.col("l_partkey").cast("string"),
+        stock=F.col("l_partkey"),
         day=F.to_date("l_shipdate"),
-        price=price,
-        sequence=F.struct("l_orderkey", "l_linenumber", price),
-        size=F.col("l_quantity").cast("decimal(18,0)"),
+        price=F.col("l_extendedprice"),
+        sequence=F.col("l_orderkey") * (1 << 20) + F.col("l_linenumber"),
+        size=F.round("l_quantity").cast("bigint"),
     )
 
 

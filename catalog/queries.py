@@ -51,12 +51,20 @@ def order_metric(spark: SparkSession, sf_dir: str, family: BucketFamily = HIGH_L
     return streaks.metric_full(order_days(spark, sf_dir), family)
 
 
-def old_and_next(spark: SparkSession, sf_dir: str, family: BucketFamily = HIGH_LOW) -> tuple[DataFrame, DataFrame]:
-    """The mart up to the split, and a snapshot of each stock's first day after it. Indicators only
+def stored_mart_and_new_days(bars: DataFrame, family: BucketFamily = HIGH_LOW) -> tuple[DataFrame, DataFrame]:
+    """The mart up to the split as a stored table, and the classified days after it. Indicators only
     look back, so the classified days before the split are those a load up to the split gives."""
-    days = order_days(spark, sf_dir)
-    first = cleaning.newest_per_key(new(days), [F.col("stock")], [F.col("stock_valuation_date")])
-    return streaks.metric_full(old(days), family), indicators.snapshot_columns(first)
+    spark = bars.sparkSession
+    days = marts.classified_table(bars)
+    metric = streaks.metric_full(old(days), family)
+    return marts.write_and_read(metric, scratch_path(spark, family.mart)), new(days)
+
+
+def old_and_next(spark: SparkSession, sf_dir: str, family: BucketFamily = HIGH_LOW) -> tuple[DataFrame, DataFrame]:
+    """The stored mart, and a snapshot of each stock's first day after the split."""
+    metric, days = stored_mart_and_new_days(order_bars(spark, sf_dir), family)
+    first = cleaning.newest_per_key(days, [F.col("stock")], [F.col("stock_valuation_date")])
+    return metric, indicators.snapshot_columns(first)
 
 
 # --- scans, landing, dimensions -------------------------------------------------------------------
@@ -306,8 +314,7 @@ def _register_family(family: BucketFamily) -> None:
 
     @query(f"advance_many_days_{family.name}")
     def _(spark, sf_dir):
-        days = order_days(spark, sf_dir)
-        return incremental.advance_many_days(streaks.metric_full(old(days), family), new(days), family)
+        return incremental.advance_many_days(*stored_mart_and_new_days(order_bars(spark, sf_dir), family), family)
 
     @query(f"dq_freshness_{family.name}")
     def _(spark, sf_dir):
@@ -332,14 +339,13 @@ def _(spark, sf_dir):
 
 @query("part_advance_many_days")
 def _(spark, sf_dir):
-    days = part_days(spark, sf_dir)
-    return incremental.advance_many_days(streaks.metric_full(old(days), HIGH_LOW), new(days), HIGH_LOW)
+    return incremental.advance_many_days(*stored_mart_and_new_days(part_bars(spark, sf_dir)), HIGH_LOW)
 
 
 @query("streak_extremes")
 def _(spark, sf_dir):
-    bars = order_bars(spark, sf_dir)
-    return streaks.streak_extremes(indicators.classified(bars), bars, HIGH_LOW).drop(HIGH_LOW.run_column)
+    days = indicators.classified(order_bars(spark, sf_dir), carry=("high_value", "low_value"))
+    return streaks.streak_extremes(days, HIGH_LOW).drop(HIGH_LOW.run_column)
 
 
 @query("bucket_record_max")
@@ -427,7 +433,7 @@ def _(spark, sf_dir):
 
 @query("reconcile")
 def _(spark, sf_dir):
-    days = order_days(spark, sf_dir)
+    days = marts.classified_table(order_bars(spark, sf_dir))
     expected = alerts.alert_payload(streaks.metric_full(days, HIGH_LOW))
     delivered = alerts.alert_payload(streaks.metric_full(old(days), HIGH_LOW))
     return alerts.reconcile(expected, delivered, expected.columns)
@@ -581,7 +587,7 @@ def _(spark, sf_dir):
     ticks = spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet")
     ticks = ticks.withColumn("ts", instant_utc(F.col("ts")))
     bars = closed_day_bars(ticks, F.col("event_type"), "ts", F.col("value"), F.col("event_id"))
-    store = StreakStore(spark, scratch_path(spark, "streaks"))
+    store = StreakStore(spark, scratch_path(spark, "streaks"), (HIGH_LOW,))
     stream = start_streaks(bars, store, scratch_path(spark, "checkpoint"))
     stream.awaitTermination()
     return store.metric(HIGH_LOW, last_batch(stream))

@@ -26,21 +26,31 @@ BUY_KEY, SELL_KEY = 4, 5
 START_CASH = Decimal(10_000)
 
 
-def streak_calendar(metric: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per stock and calendar day of each streak."""
-    day = F.explode(F.sequence("start_date", "end_date")).alias("stock_valuation_date")
-    return metric.where(F.col("start_date") <= F.col("end_date")).select("stock", day, *columns)
-
-
 def streak_days(live: DataFrame, metric: DataFrame, key_column: str = KEY) -> DataFrame:
-    """Live days joined with the streaks they lie in.
+    """Live days joined with the streak they lie in (``start_date <= day <= end_date``).
 
-    The interval condition becomes an equi-join on (stock, day) by listing
-    each streak's days: linear in days, and a long history spreads over tasks.
+    Streaks of a stock do not overlap (``quality.streak_shape`` checks it), so
+    the only candidate for a day is the last streak begun by then. Both sides
+    are merged in day order in one pass: linear, whatever the lengths, where
+    an interval condition would compare every day with every streak.
     """
     columns = [key_column, "start_date", "end_date", "day_length"]
-    days = live.select("stock", "stock_valuation_date", "close_value")
-    return days.join(streak_calendar(metric, columns), ["stock", "stock_valuation_date"]).select(*days.columns, *columns)
+    bars = live.select("stock", "stock_valuation_date", "close_value", F.lit(True).alias("_is_bar"))
+    begun = metric.select(
+        "stock", F.col("start_date").alias("stock_valuation_date"), F.struct(*columns).alias("_begun"), F.lit(False).alias("_is_bar")
+    )
+    in_order = (
+        Window.partitionBy("stock")
+        .orderBy("stock_valuation_date", "_is_bar")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    merged = bars.unionByName(begun, allowMissingColumns=True).withColumn(
+        "_streak", F.last("_begun", ignorenulls=True).over(in_order)
+    )
+    inside = F.col("_is_bar") & (F.col("stock_valuation_date") <= F.col("_streak.end_date"))
+    return merged.where(inside).select(
+        "stock", "stock_valuation_date", "close_value", *(F.col(f"_streak.{name}") for name in columns)
+    )
 
 
 def streak_running_extremes(days: DataFrame, key_column: str = KEY) -> DataFrame:

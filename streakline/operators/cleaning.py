@@ -23,9 +23,14 @@ def newest_per_key(df: DataFrame, keys: Sequence[Column], newest_first: Sequence
 
 
 def dedup_by_date(wide: DataFrame) -> DataFrame:
-    """One landing row per day: the latest ingest, ties broken by all other columns."""
-    rest = [F.desc(name) for name in wide.columns if name not in ("date", "ingest_seq")]
-    return newest_per_key(wide, [F.col("date").try_cast("date")], [F.desc("ingest_seq"), *rest])
+    """One landing row per day: the latest ingest, ties broken by all other columns.
+
+    Days compare as dates, so two spellings of a day are one; unreadable
+    spellings compare as text and stay apart for ``rejected_rows``.
+    """
+    day = F.coalesce(F.col("date").try_cast("date").cast("string"), F.col("date"))
+    rest = [F.desc(f"`{name}`") for name in wide.columns if name not in ("date", "ingest_seq")]
+    return newest_per_key(wide, [day], [F.desc("ingest_seq"), *rest])
 
 
 def unpivot_live(wide: DataFrame, tickers: tuple[str, ...]) -> DataFrame:

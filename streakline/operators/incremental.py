@@ -85,14 +85,22 @@ def open_streaks(metric: DataFrame, keyed_snapshot: DataFrame, family: BucketFam
 
 
 def advance_one_day(metric: DataFrame, snapshot: DataFrame, family: BucketFamily) -> DataFrame:
-    """Rows to merge into ``metric`` for a snapshot of one new day per stock."""
-    keyed = snapshot_with_key(snapshot, family)
-    trailing = trailing_streaks(metric)
-    return (
-        extend_streaks(trailing, keyed, family)
-        .unionByName(switch_streaks(trailing, keyed, family))
-        .unionByName(open_streaks(metric, keyed, family))
+    """Rows to merge into ``metric`` for a snapshot of one new day per stock.
+
+    The extended, switched and first streaks of the functions above, from one
+    join of the snapshot with the open streaks.
+    """
+    key, day = F.col(family.key_column), F.col("_day")
+    fresh = snapshot_with_key(snapshot, family).select(
+        "stock", F.col("stock_valuation_date").alias("_day"), F.col(family.key_column).alias("_day_key")
     )
+    beside = fresh.join(trailing_streaks(metric), "stock", "left")
+    old = _struct(family, F.col("start_date"), F.col("end_date"), key)
+    grown = _struct(family, F.col("start_date"), day, key)
+    new = _struct(family, day, day, F.col("_day_key"))
+    rows = F.when(key.isNull(), F.array(new)).when(key == F.col("_day_key"), F.array(grown)).otherwise(F.array(old, new))
+    later = beside.where(key.isNull() | (day > F.col("end_date")))
+    return metric_columns(later.select(F.inline(rows)), family)
 
 
 def upsert_streaks(metric: DataFrame, rows: DataFrame) -> DataFrame:
@@ -121,8 +129,9 @@ def advance(trailing: DataFrame | None, new_days: DataFrame, family: BucketFamil
     else:
         spans = trailing.select("stock", key, "start_date", "end_date", F.lit(True).alias("_stored")).unionByName(fresh)
 
-    whole = Window.partitionBy("stock")
-    order = whole.orderBy("start_date", F.desc("_stored"))
+    by_stock = Window.partitionBy("stock")
+    order = by_stock.orderBy("start_date", F.desc("_stored"))
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     stored_end = F.max(F.when(F.col("_stored"), F.col("end_date"))).over(whole)
     later = spans.withColumn("_stored_end", stored_end).where(
         F.col("_stored") | F.col("_stored_end").isNull() | (F.col("start_date") > F.col("_stored_end"))
@@ -135,7 +144,7 @@ def advance(trailing: DataFrame | None, new_days: DataFrame, family: BucketFamil
         runs.groupBy("stock", "_run", key)
         .agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"))
         .withColumn("day_length", calendar_length(F.col("start_date"), F.col("end_date")))
-        .withColumn("is_open", F.lead("_run").over(whole.orderBy("_run")).isNull())
+        .withColumn("is_open", F.lead("_run").over(by_stock.orderBy("_run")).isNull())
     )
     return folded.select(
         surrogate_id(F.col("start_date"), F.col("stock")).alias("id"),

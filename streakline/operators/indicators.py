@@ -11,6 +11,8 @@ per row and two averages compare without rounding.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -126,11 +128,12 @@ def with_runs(df: DataFrame, family: BucketFamily) -> DataFrame:
     return _with_runs(df, (family,))
 
 
-def _with_runs(df: DataFrame, families: tuple[BucketFamily, ...]) -> DataFrame:
+def _with_runs(df: DataFrame, families: tuple[BucketFamily, ...], counted_days: Column | None = None) -> DataFrame:
     def changed(family: BucketFamily) -> Column:
         before = F.lag(family.bucket_column).over(by_day())
         first = F.lag(F.lit(1)).over(by_day()).isNull()
-        return (first | ~F.col(family.bucket_column).eqNullSafe(before)).cast("bigint")
+        differs = first | ~F.col(family.bucket_column).eqNullSafe(before)
+        return (differs if counted_days is None else counted_days & differs).cast("bigint")
 
     flags = df.withColumns({f"_new_{f.name}": changed(f) for f in families})
     counted = flags.withColumns({f.run_column: F.sum(f"_new_{f.name}").over(so_far()) for f in families})
@@ -159,39 +162,47 @@ def _measured(days: DataFrame, params: IndicatorParams) -> DataFrame:
     return _with_averages(_with_band(_with_running_sums(days, "stock_value"), params), params)
 
 
-def classified(bars: DataFrame, params: IndicatorParams = DEFAULTS) -> DataFrame:
-    """Indicators, buckets and runs of every stock-day.
+def classified(bars: DataFrame, params: IndicatorParams = DEFAULTS, carry: Sequence[str] = ()) -> DataFrame:
+    """Indicators, buckets and runs of every stock-day, plus the bar columns named in ``carry``.
 
     All windows share one partitioning and order: one shuffle and one sort.
     Columns a caller does not use are pruned together with their windows.
     """
-    days = bars.select("stock", "stock_valuation_date", F.col("close_value").alias("stock_value"))
+    days = bars.select("stock", "stock_valuation_date", F.col("close_value").alias("stock_value"), *carry)
     measured = _measured(record_extremes(days, "stock_value"), params)
-    return _with_runs(_with_buckets(measured, params), FAMILIES).select(*CLASSIFIED_COLUMNS)
+    return _with_runs(_with_buckets(measured, params), FAMILIES).select(*CLASSIFIED_COLUMNS, *carry)
 
 
 def history_tail(classified_days: DataFrame, params: IndicatorParams = DEFAULTS) -> DataFrame:
-    """The last rows of each stock that the next day's indicators need."""
-    newest = Window.partitionBy("stock").orderBy(F.desc("stock_valuation_date"))
-    ranked = classified_days.withColumn("_rank", F.row_number().over(newest))
-    return ranked.where(F.col("_rank") <= params.history_rows + 1).drop("_rank")
+    """What the next days' indicators need of each stock: its last closes, and on the newest row
+    also the record extremes, buckets and run numbers. Older rows carry NULL there, so the tail
+    stays small on disk."""
+    newest_first = Window.partitionBy("stock").orderBy(F.desc("stock_valuation_date"))
+    ranked = classified_days.withColumn("_rank", F.row_number().over(newest_first))
+    carried = [name for name in CLASSIFIED_COLUMNS if name not in ("stock", "stock_valuation_date", "stock_value")]
+    return ranked.where(F.col("_rank") <= params.history_rows).select(
+        "stock",
+        "stock_valuation_date",
+        "stock_value",
+        *(F.when(F.col("_rank") == 1, F.col(name)).alias(name) for name in carried),
+    )
 
 
 def classify_increment(tail: DataFrame, new_bars: DataFrame, params: IndicatorParams = DEFAULTS) -> DataFrame:
     """Classified rows of ``new_bars`` alone, as a full rebuild would give them.
 
-    ``tail`` is ``history_tail`` of the days so far: its rows carry the record
-    extremes, buckets and run numbers on, and fill the rolling frames. New
-    bars lie after their stock's tail.
+    ``tail`` is ``history_tail`` of the days so far. New bars lie after their
+    stock's tail.
     """
+    kept = [name for f in FAMILIES for name in (f.bucket_column, f.run_column)]
     stored = tail.select(
         "stock",
         "stock_valuation_date",
         "stock_value",
         "minimum_value",
         "maximum_value",
-        F.struct(*(F.col(f.bucket_column).alias(f.name) for f in FAMILIES)).alias("_buckets"),
-        F.struct(*(F.col(f.run_column).alias(f.name) for f in FAMILIES)).alias("_runs"),
+        *(F.col(name).alias(f"_{name}") for name in kept),
+        F.lit(False).alias("_fresh"),
     )
     close = F.col("close_value")
     fresh = new_bars.select(
@@ -200,26 +211,25 @@ def classify_increment(tail: DataFrame, new_bars: DataFrame, params: IndicatorPa
         close.alias("stock_value"),
         close.alias("minimum_value"),
         close.alias("maximum_value"),
+        F.lit(True).alias("_fresh"),
     )
     days = stored.unionByName(fresh, allowMissingColumns=True).withColumns(
         {
             "minimum_value": F.min("minimum_value").over(so_far()),
             "maximum_value": F.max("maximum_value").over(so_far()),
-            "_first_runs": F.first("_runs").over(so_far()),
         }
     )
+    is_fresh = F.col("_fresh")
     buckets = _with_buckets(_measured(days, params), params).withColumns(
+        {f.bucket_column: F.when(is_fresh, F.col(f.bucket_column)).otherwise(F.col(f"_{f.bucket_column}")) for f in FAMILIES}
+    )
+    runs = _with_runs(buckets, FAMILIES, is_fresh).withColumns(
         {
-            f.bucket_column: F.when(F.col("_buckets").isNotNull(), F.col(f"_buckets.{f.name}")).otherwise(
-                F.col(f.bucket_column)
-            )
+            f.run_column: F.col(f.run_column) + F.coalesce(F.max(f"_{f.run_column}").over(so_far()), F.lit(0))
             for f in FAMILIES
         }
     )
-    runs = _with_runs(buckets, FAMILIES).withColumns(
-        {f.run_column: F.col(f.run_column) + F.coalesce(F.col(f"_first_runs.{f.name}") - 1, F.lit(0)) for f in FAMILIES}
-    )
-    return runs.where(F.col("_buckets").isNull()).select(*CLASSIFIED_COLUMNS)
+    return runs.where(is_fresh).select(*CLASSIFIED_COLUMNS)
 
 
 def last_snapshot(classified_days: DataFrame) -> DataFrame:

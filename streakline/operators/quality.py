@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streakline.functions.calendar import calendar_length
-from streakline.operators.backtest import streak_calendar
 
 
 def freshness(live: DataFrame, metric: DataFrame) -> DataFrame:
@@ -41,15 +40,25 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
 
 
 def streak_cover(live: DataFrame, metric: DataFrame) -> DataFrame:
-    """Live days that do not lie in exactly one streak."""
-    covered = (
-        streak_calendar(metric, [])
-        .groupBy("stock", "stock_valuation_date")
-        .agg(F.count(F.lit(1)).alias("streak_count"))
+    """Live days that do not lie in exactly one streak, and in how many they lie.
+
+    A running count of streaks begun and ended gives the number for any
+    intervals, overlapping or not, without listing their days.
+    """
+    day = F.col("stock_valuation_date")
+    bars = live.select("stock", day, F.lit(0).alias("_opens"), F.lit(True).alias("_is_bar"))
+    edges = F.array(
+        F.struct(F.col("start_date").alias("stock_valuation_date"), F.lit(1).alias("_opens")),
+        F.struct(F.date_add("end_date", 1).alias("stock_valuation_date"), F.lit(-1).alias("_opens")),
     )
-    days = live.select("stock", "stock_valuation_date").join(covered, ["stock", "stock_valuation_date"], "left")
-    counted = days.withColumn("streak_count", F.coalesce("streak_count", F.lit(0)))
-    return counted.where(F.col("streak_count") != 1)
+    steps = metric.select("stock", F.inline(edges), F.lit(False).alias("_is_bar"))
+    in_order = (
+        Window.partitionBy("stock")
+        .orderBy("stock_valuation_date", "_is_bar")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    counted = bars.unionByName(steps).withColumn("streak_count", F.sum("_opens").over(in_order))
+    return counted.where(F.col("_is_bar") & (F.col("streak_count") != 1)).select("stock", day, "streak_count")
 
 
 def streak_shape(metric: DataFrame) -> DataFrame:

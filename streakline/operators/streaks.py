@@ -50,23 +50,22 @@ def metric_full(days: DataFrame, family: BucketFamily) -> DataFrame:
     return metric_columns(with_key(streaks(days, family), family), family)
 
 
-def streak_extremes(days: DataFrame, bars: DataFrame, family: BucketFamily) -> DataFrame:
-    """Streaks with the highest and lowest traded value, first and last close, and trading days."""
-    traded = days.select("stock", "stock_valuation_date", family.bucket_column, family.run_column).join(
-        bars.select("stock", "stock_valuation_date", "high_value", "low_value", "close_value"),
-        ["stock", "stock_valuation_date"],
-    )
+def streak_extremes(days: DataFrame, family: BucketFamily) -> DataFrame:
+    """Streaks with the highest and lowest traded value and close, and trading days.
+
+    ``days`` are classified with ``carry=("high_value", "low_value")``.
+    """
     day = F.col("stock_valuation_date")
     return (
-        traded.where(F.col(family.bucket_column).isNotNull())
+        days.where(F.col(family.bucket_column).isNotNull())
         .groupBy("stock", family.run_column, family.bucket_column)
         .agg(
             F.min(day).alias("start_date"),
             F.max(day).alias("end_date"),
             F.max("high_value").alias("high_value"),
             F.min("low_value").alias("low_value"),
-            F.max("close_value").alias("highest_close"),
-            F.min("close_value").alias("lowest_close"),
+            F.max("stock_value").alias("highest_close"),
+            F.min("stock_value").alias("lowest_close"),
             F.count(F.lit(1)).cast("int").alias("trading_days"),
         )
         .withColumn("day_length", calendar_length(F.col("start_date"), F.col("end_date")))

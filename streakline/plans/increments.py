@@ -61,7 +61,8 @@ class StreakStore:
         else:
             tail = self._read("tail", schemas.CLASSIFIED, batch - 1)
             days = classify_increment(tail, incremental_filter(incoming, tail), self.params)
-            known = self.days(batch - 1)
+            oldest = incoming.agg(F.min("stock_valuation_date")).scalar()
+            known = self.days(batch - 1).where(F.col("stock_valuation_date") >= oldest)
             self._write(late_rows(incoming, known), "late", batch)
         self._write(days, "days", batch)
         days = self._read("days", schemas.CLASSIFIED, batch)

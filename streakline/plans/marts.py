@@ -10,7 +10,6 @@ from streakline.config import IndicatorParams
 from streakline.families import FAMILIES, HIGH_LOW
 from streakline.operators import alerts, backtest, cleaning, indicators, streaks
 from streakline.session import scratch_path
-from streakline.sources.tables import write_by_stock
 
 
 def ingest(landing: DataFrame, tickers: tuple[str, ...], live: DataFrame | None = None) -> DataFrame:
@@ -23,9 +22,13 @@ def classified_table(live: DataFrame, path: str | None = None, params: Indicator
     """Classified days written once and read back: three marts read them, and a lost executor
     costs a file read rather than the windows."""
     path = path or scratch_path(live.sparkSession, "classified")
-    days = indicators.classified(live, params or IndicatorParams())
-    write_by_stock(days, path)
-    return live.sparkSession.read.schema(days.schema).parquet(path)
+    return write_and_read(indicators.classified(live, params or IndicatorParams()), path)
+
+
+def write_and_read(df: DataFrame, path: str) -> DataFrame:
+    """Stores ``df`` as it is partitioned and goes on from the files."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def build_marts(days: DataFrame) -> dict[str, DataFrame]:

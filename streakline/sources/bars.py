@@ -25,19 +25,18 @@ def daily_bars(
 
     ``volume_value`` is the sum of ``size``, or the number of ticks. All
     aggregates combine before the shuffle, so the ticks of a hot stock leave
-    each task as one row per day.
+    each task as one row per day. Numbers as ``stock``, ``sequence`` and
+    ``size`` keep the aggregation hash-based (a struct would make it sort).
     """
     volume = F.count(F.lit(1)) if size is None else F.sum(size)
-    return (
-        ticks.groupBy(stock.alias("stock"), day.alias("stock_valuation_date"))
-        .agg(
-            F.min_by(price, sequence).cast(schemas.PRICE).alias("open_value"),
-            F.max(price).cast(schemas.PRICE).alias("high_value"),
-            F.min(price).cast(schemas.PRICE).alias("low_value"),
-            F.max_by(price, sequence).cast(schemas.PRICE).alias("close_value"),
-            volume.cast(schemas.VOLUME).alias("volume_value"),
-        )
+    bars = ticks.groupBy(stock.alias("stock"), day.alias("stock_valuation_date")).agg(
+        F.min_by(price, sequence).cast(schemas.PRICE).alias("open_value"),
+        F.max(price).cast(schemas.PRICE).alias("high_value"),
+        F.min(price).cast(schemas.PRICE).alias("low_value"),
+        F.max_by(price, sequence).cast(schemas.PRICE).alias("close_value"),
+        volume.cast(schemas.VOLUME).alias("volume_value"),
     )
+    return bars.withColumn("stock", F.col("stock").cast("string"))
 
 
 def bars_in_range(
