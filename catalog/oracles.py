@@ -47,10 +47,10 @@ CLASSIFIED = """
 measured AS (
   SELECT stock, stock_valuation_date, close_value AS stock_value,
          min(close_value) OVER w AS minimum_value, max(close_value) OVER w AS maximum_value,
-         CAST(sum(close_value) OVER w90 AS DOUBLE) / count(close_value) OVER w90 AS avg_90,
+         CAST(sum(CAST(close_value * 10000 AS BIGINT)) OVER w90 AS DOUBLE) / (count(close_value) OVER w90 * 10000.0::DOUBLE) AS avg_90,
          stddev_samp(CAST(close_value AS DOUBLE)) OVER w90 AS stddev_90,
-         CAST(sum(close_value) OVER w50 AS DOUBLE) / count(close_value) OVER w50 AS avg_short,
-         CAST(sum(close_value) OVER w200 AS DOUBLE) / count(close_value) OVER w200 AS avg_long,
+         CAST(sum(CAST(close_value * 10000 AS BIGINT)) OVER w50 AS DOUBLE) / (count(close_value) OVER w50 * 10000.0::DOUBLE) AS avg_short,
+         CAST(sum(CAST(close_value * 10000 AS BIGINT)) OVER w200 AS DOUBLE) / (count(close_value) OVER w200 * 10000.0::DOUBLE) AS avg_long,
          CAST(sum(close_value) OVER w50 AS DECIMAL(24,4)) * CAST(count(close_value) OVER w200 AS DECIMAL(9,0)) AS crossed_short,
          CAST(sum(close_value) OVER w200 AS DECIMAL(24,4)) * CAST(count(close_value) OVER w50 AS DECIMAL(9,0)) AS crossed_long
   FROM bars

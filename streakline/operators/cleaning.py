@@ -99,12 +99,12 @@ def late_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     """What ``incremental_filter`` leaves out and the target does not hold either."""
     behind = _with_high_water(source, target).where(F.col("stock_valuation_date") <= F.col("_high_water"))
     known = target.select(*LIVE_KEY)
-    return behind.select(*source.columns).join(known, list(LIVE_KEY), "left_anti")
+    return behind.join(known, list(LIVE_KEY), "left_anti").select(*source.columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Merge on ``keys``: matched rows are replaced, others inserted. ``source`` is unique on them."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    kept = target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(source.select(*target.columns))
 
 

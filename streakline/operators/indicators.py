@@ -61,16 +61,33 @@ def _last_rows(running: str, rows: int) -> Column:
 
 
 def _mean(total: str, count: str, min_periods: int) -> Column:
-    mean = F.try_divide(F.col(total).cast("double") / F.lit(float(UNITS)), F.col(count).cast("double"))
+    mean = F.try_divide(F.col(total).cast("double"), (F.col(count) * UNITS).cast("double"))
     return F.when(F.col(count) >= min_periods, mean)
 
 
-def _deviation(total: str, squares: str, count: str, min_periods: int) -> Column:
-    n = F.col(count).cast("decimal(5,0)")
-    s = F.col(total).cast("decimal(19,0)")
-    spread = (n * F.col(squares) - s * s).cast("double")
-    variance = F.try_divide(spread, (F.col(count) * (F.col(count) - 1)).cast("double"))
-    return F.when(F.col(count) >= min_periods, F.sqrt(variance) / F.lit(float(UNITS)))
+def _spread(params: IndicatorParams) -> Column:
+    """count * (count - 1) * variance in units, an exact whole number; NULL below two rows."""
+    n = F.col("_n_band").cast("decimal(5,0)")
+    s = F.col("_s_band").cast("decimal(19,0)")
+    return F.when(F.col("_n_band") >= max(2, params.min_periods), n * F.col("_q_band") - s * s)
+
+
+def _deviation(params: IndicatorParams) -> Column:
+    n = F.col("_n_band")
+    variance = F.try_divide(_spread(params).cast("double"), (n * (n - 1)).cast("double"))
+    return F.sqrt(variance) / F.lit(float(UNITS))
+
+
+def _band_bucket(params: IndicatorParams) -> Column:
+    """The band rule with value, mean and deviation multiplied by the count and squared, signs
+    kept. Whole numbers only, so a close exactly on an edge is recognised as such."""
+    n = F.col("_n_band")
+    gap = n * (F.col("stock_value") * UNITS).cast("bigint") - F.col("_s_band")
+    square = gap.cast("decimal(19,0)") * gap.cast("decimal(19,0)")
+    signed = F.signum(gap).cast("decimal(1,0)") * square * (n - 1).cast("decimal(5,0)")
+    return classify_average(
+        signed, F.lit(0).cast("decimal(1,0)"), n.cast("decimal(5,0)") * _spread(params), params.null_policy
+    )
 
 
 def _with_band(df: DataFrame, params: IndicatorParams) -> DataFrame:
@@ -86,7 +103,7 @@ def _with_band(df: DataFrame, params: IndicatorParams) -> DataFrame:
         .withColumns(
             {
                 "avg_90": _mean("_s_band", "_n_band", params.min_periods),
-                "stddev_90": _deviation("_s_band", "_q_band", "_n_band", max(2, params.min_periods)),
+                "stddev_90": _deviation(params),
             }
         )
     )
@@ -141,7 +158,7 @@ def _with_runs(df: DataFrame, families: tuple[BucketFamily, ...], counted_days:
 
 
 def _with_buckets(df: DataFrame, params: IndicatorParams) -> DataFrame:
-    """The three buckets; the crossover compares sum/count pairs crosswise, without division."""
+    """The three buckets, from exact numbers; the crossover compares sum/count pairs crosswise."""
     value, policy = F.col("stock_value"), params.null_policy
     full_short = F.when(F.col("_n_short") >= params.min_periods, F.col("_s_short") * F.col("_n_long"))
     full_long = F.when(F.col("_n_long") >= params.min_periods, F.col("_s_long") * F.col("_n_short"))
@@ -150,9 +167,7 @@ def _with_buckets(df: DataFrame, params: IndicatorParams) -> DataFrame:
             HIGH_LOW.bucket_column: classify_high_low(
                 value, F.col("maximum_value"), F.col("minimum_value"), params.position_bounds, policy
             ),
-            AVERAGE.bucket_column: classify_average(
-                value.cast("double"), F.col("avg_90"), F.col("stddev_90"), policy
-            ),
+            AVERAGE.bucket_column: _band_bucket(params),
             MOVING_AVG.bucket_column: classify_crossover(full_short, full_long, policy),
         }
     )
