@@ -72,8 +72,7 @@ class StreakStore:
         for family in self.families:
             open_before = None
             if batch > 0:
-                stored = self._read(family.mart, self._streak_schema(family), batch - 1)
-                open_before = stored.where("is_open = 1")
+                open_before = self.open_streaks(family, batch - 1)
             changed = advance(open_before, days, family).withColumn("is_open", F.col("is_open").cast("int"))
             self._write(changed, family.mart, batch, "is_open")
 
@@ -86,6 +85,10 @@ class StreakStore:
         )
         return rows.drop("is_open", "batch")
 
+    def open_streaks(self, family: BucketFamily, batch: int) -> DataFrame:
+        """Each stock's current streak as of ``batch``."""
+        return self._read(family.mart, self._streak_schema(family), batch).where("is_open = 1").drop("is_open")
+
     def days(self, batch: int) -> DataFrame:
         schema = _plus(schemas.CLASSIFIED, "batch")
         return self._read("days", schema).where(F.col("batch") <= batch).select(*CLASSIFIED_COLUMNS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streakline import schemas
@@ -13,6 +13,11 @@ from streakline.config import HISTORY_END, HISTORY_START
 from streakline.functions.calendar import next_business_day
 
 
+def read_bars(spark: SparkSession, path: str, file_format: str = "parquet", **options: str) -> DataFrame:
+    """Live bars from files of any format Spark reads, under the declared schema."""
+    return spark.read.schema(schemas.LIVE).options(**options).format(file_format).load(path)
+
+
 def daily_bars(
     ticks: DataFrame,
     stock: Column,

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streakline import schemas
+from streakline.families import HIGH_LOW, BucketFamily
 from streakline.functions.calendar import utc_day
+from streakline.operators.alerts import alert_json, alert_payload
 from streakline.plans.increments import StreakStore
 
 
@@ -23,14 +25,29 @@ def closed_day_bars(
     )
 
 
-def start_streaks(bars: DataFrame, store: StreakStore, checkpoint: str) -> StreamingQuery:
+def start_streaks(
+    bars: DataFrame,
+    store: StreakStore,
+    checkpoint: str,
+    alerts_path: str | None = None,
+    family: BucketFamily = HIGH_LOW,
+) -> StreamingQuery:
     """Feeds each micro-batch of bars to ``store`` and stops when the source is exhausted.
 
     Restarting with the same checkpoint goes on where the last run ended; a
-    batch in doubt is applied again under its old number.
+    batch in doubt is applied again under its old number. With
+    ``alerts_path``, each batch also writes every stock's current streak as
+    JSON lines to a folder of its own.
     """
+
+    def take_in(batch: DataFrame, number: int) -> None:
+        store.apply(number, batch)
+        if alerts_path:
+            payload = alert_payload(store.open_streaks(family, number), family)
+            alert_json(payload).write.mode("overwrite").text(f"{alerts_path}/batch={number}")
+
     return (
-        bars.writeStream.foreachBatch(lambda batch, number: store.apply(number, batch))
+        bars.writeStream.foreachBatch(take_in)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

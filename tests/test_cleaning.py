@@ -159,6 +159,14 @@ def test_catalog_tables(spark):
     spark.sql("DROP TABLE landing_test")
 
 
+@pytest.mark.parametrize("file_format", ["parquet", "orc", "csv", "json"])
+def test_bars_from_files(spark, tmp_path, file_format):
+    live = _live(spark, ("2024-01-02", 1, "1", "5", "2"))
+    path = str(tmp_path / file_format)
+    live.write.format(file_format).save(path)
+    assert rows(bar_source.read_bars(spark, path, file_format)) == rows(live)
+
+
 def test_layouts(spark, make_bars, tmp_path):
     bars = make_bars([(s, f"{y}-01-02", y) for s in "AB" for y in (2020, 2021)])
     tables.write_by_stock(bars, str(tmp_path / "stock"))

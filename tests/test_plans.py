@@ -1,0 +1,134 @@
+"""Shapes of physical plans that decide how the work scales."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from catalog.inputs import order_bars, part_bars
+from catalog.queries import QUERIES
+from streakline import session
+from streakline.families import FAMILIES, HIGH_LOW
+from streakline.operators import backtest, cleaning, incremental, indicators, streaks
+from streakline.sources import bars as bar_source
+
+BARS = "stock string, stock_valuation_date date, close_value decimal(12,4)"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(df) -> list[str]:
+    return re.findall(r"Exchange (hashpartitioning\([^)]*\)|SinglePartition|rangepartitioning\([^)]*\))", plan(df))
+
+
+@pytest.fixture(scope="module")
+def stored(spark, sf_dir, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("plans") / "bars")
+    part_bars(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_classified_shuffles_and_sorts_once(stored):
+    df = indicators.classified(stored)
+    assert [s.split("#")[0] for s in shuffles(df)] == ["hashpartitioning(stock"]
+    assert plan(df).count("Sort [") == 1
+
+
+@pytest.mark.parametrize("family", FAMILIES, ids=lambda f: f.name)
+def test_streaks_need_no_shuffle_of_their_own(stored, family):
+    df = streaks.metric_full(indicators.classified(stored), family)
+    assert len(shuffles(df)) == 1
+    assert plan(df).count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan(df)
+
+
+def test_unused_indicators_are_pruned(stored):
+    text = plan(streaks.metric_full(indicators.classified(stored), HIGH_LOW))
+    assert "_squares" not in text and "_s_long" not in text
+    assert re.search(r"ReadSchema: struct<stock:string,stock_valuation_date:date,close_value:decimal\(12,4\)>", text)
+
+
+def test_top_one_per_key_is_cut_before_the_shuffle(spark):
+    metric = spark.createDataFrame([], f"id string, stock string, {HIGH_LOW.key_column} int, start_date date, end_date date, day_length int")
+    assert plan(incremental.trailing_streaks(metric.repartition(4))).count("WindowGroupLimit") == 2
+    wide = spark.createDataFrame([], "date string, ingest_seq bigint, close_a string").repartition(4)
+    assert plan(cleaning.dedup_by_date(wide)).count("WindowGroupLimit") == 2
+
+
+def test_interval_join_has_no_pairwise_join(spark, stored):
+    metric = streaks.metric_full(indicators.classified(stored), HIGH_LOW)
+    text = plan(backtest.streak_days(stored, metric))
+    for join in ("SortMergeJoin", "CartesianProduct", "BroadcastNestedLoopJoin", "Generate"):
+        assert join not in text
+
+
+def test_python_runs_in_the_two_trade_steps_only(spark, sf_dir):
+    python = {"MapInPandas", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "PythonUDF"}
+    allowed = {"round_trips", "strategy_trades", "purchase_breakdown", "sale_breakdown", "max_drawdown", "max_increment"}
+    written = {"streak_stream", "wide_csv_roundtrip", "reconcile"}
+    for name, query in QUERIES.items():
+        if name in written or name.removeprefix("part_").startswith(("advance", "upsert_streaks")) or "streaks" in name:
+            continue
+        text = plan(query(spark, sf_dir))
+        found = {node for node in python if node in text}
+        assert found == ({"MapInPandas"} if name.removeprefix("part_") in allowed else set()), name
+        for join in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert join not in text, name
+
+
+def test_signals_reach_python_without_another_shuffle(spark, sf_dir):
+    days = backtest.keyed_days(indicators.classified(order_bars(spark, sf_dir)))
+    assert len(shuffles(backtest.strategy_trades(backtest.signals(days)))) == 2
+
+
+def test_filters_and_columns_reach_the_files(spark, stored):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    df = bar_source.bars_in_range(stored, "1997-01-01", "1998-01-01", ["5"]).select("close_value")
+    text = plan(df)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(stock_valuation_date,1997-01-01)" in text and "EqualTo(stock,5)" in text
+    assert "ReadSchema: struct<stock:string,stock_valuation_date:date,close_value:decimal(12,4)>" in text
+    wide = spark.createDataFrame([], "date string, close_a string, high_a string, low_a string, open_a string, volume_a string")
+    assert shuffles(cleaning.unpivot_live(wide, ("a",))) == []
+
+
+def test_latest_row_needs_no_second_sort(stored):
+    df = indicators.last_snapshot(indicators.classified(stored))
+    assert len(shuffles(df)) == 1 and plan(df).count("Sort [") == 1
+
+
+def test_advance_joins_once(spark):
+    metric = spark.createDataFrame([], f"id string, stock string, {HIGH_LOW.key_column} int, start_date date, end_date date, day_length int")
+    snapshot = spark.createDataFrame(
+        [], f"stock string, stock_valuation_date date, stock_value decimal(12,4), {HIGH_LOW.bucket_column} string"
+    )
+    text = plan(incremental.advance_one_day(metric, snapshot, HIGH_LOW))
+    assert len(re.findall(r"(?:SortMergeJoin|HashJoin)", text)) == 2  # the dimension and the open streaks
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert session.scratch_path(spark, "x").startswith(configured)
+    assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Cluster())
+    Cluster.sparkContext.master = "local[2]"
+    assert session.shared_folder(Cluster()) == session.shared_folder(Cluster())
+
+
+def test_dates_stay_dates(stored):
+    assert dict(indicators.classified(stored).dtypes)["stock_valuation_date"] == "date"
+    assert stored.where(F.col("stock_valuation_date").isNull()).count() == 0
