@@ -51,18 +51,18 @@ def order_metric(spark: SparkSession, sf_dir: str, family: BucketFamily = HIGH_L
     return streaks.metric_full(order_days(spark, sf_dir), family)
 
 
-def stored_mart_and_new_days(bars: DataFrame, family: BucketFamily = HIGH_LOW) -> tuple[DataFrame, DataFrame]:
+def stored_mart_and_new_days(days: DataFrame, family: BucketFamily = HIGH_LOW) -> tuple[DataFrame, DataFrame]:
     """The mart up to the split as a stored table, and the classified days after it. Indicators only
     look back, so the classified days before the split are those a load up to the split gives."""
-    spark = bars.sparkSession
-    days = marts.classified_table(bars)
+    spark = days.sparkSession
+    days = marts.write_and_read(days, scratch_path(spark, "days"))
     metric = streaks.metric_full(old(days), family)
     return marts.write_and_read(metric, scratch_path(spark, family.mart)), new(days)
 
 
 def old_and_next(spark: SparkSession, sf_dir: str, family: BucketFamily = HIGH_LOW) -> tuple[DataFrame, DataFrame]:
     """The stored mart, and a snapshot of each stock's first day after the split."""
-    metric, days = stored_mart_and_new_days(order_bars(spark, sf_dir), family)
+    metric, days = stored_mart_and_new_days(order_days(spark, sf_dir), family)
     first = cleaning.newest_per_key(days, [F.col("stock")], [F.col("stock_valuation_date")])
     return metric, indicators.snapshot_columns(first)
 
@@ -314,7 +314,8 @@ def _register_family(family: BucketFamily) -> None:
 
     @query(f"advance_many_days_{family.name}")
     def _(spark, sf_dir):
-        return incremental.advance_many_days(*stored_mart_and_new_days(order_bars(spark, sf_dir), family), family)
+        days = order_days(spark, sf_dir).select(*KEYS, family.bucket_column, family.run_column)
+        return incremental.advance_many_days(*stored_mart_and_new_days(days, family), family)
 
     @query(f"dq_freshness_{family.name}")
     def _(spark, sf_dir):
@@ -339,7 +340,8 @@ def _(spark, sf_dir):
 
 @query("part_advance_many_days")
 def _(spark, sf_dir):
-    return incremental.advance_many_days(*stored_mart_and_new_days(part_bars(spark, sf_dir)), HIGH_LOW)
+    days = part_days(spark, sf_dir).select(*KEYS, HIGH_LOW.bucket_column, HIGH_LOW.run_column)
+    return incremental.advance_many_days(*stored_mart_and_new_days(days), HIGH_LOW)
 
 
 @query("streak_extremes")

@@ -8,11 +8,13 @@ other steps are set operations.
 
 from __future__ import annotations
 
+import sys
 from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from decimal import ROUND_HALF_UP, Context, Decimal
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ from streakline.families import HIGH_LOW
 from streakline.operators.indicators import by_day
 from streakline.operators.streaks import with_key
 
+# The two Python steps travel to the executors with the plan; the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 KEY = HIGH_LOW.key_column
 BUY_KEY, SELL_KEY = 4, 5
 START_CASH = Decimal(10_000)

@@ -108,13 +108,14 @@ def upsert_streaks(metric: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert(metric, rows, STREAK_KEY)
 
 
-def advance(trailing: DataFrame | None, new_days: DataFrame, family: BucketFamily) -> DataFrame:
+def advance(stored: DataFrame | None, new_days: DataFrame, family: BucketFamily) -> DataFrame:
     """Streak rows after any number of new days per stock, with ``is_open`` on each stock's last.
 
-    The open streak enters as one pseudo-day, so the cost follows the new days
-    and not the history. Days up to the open streak's end are ignored, which
-    makes a rerun harmless. Open streaks of stocks without new days pass
-    through unchanged.
+    ``stored`` holds at least the open streak of every stock; each of its rows
+    enters as one pseudo-day and new days can only prolong the last. With open
+    streaks alone the cost follows the new days and not the history. Days up
+    to the stored end are ignored, which makes a rerun harmless. All other
+    stored rows pass through unchanged.
     """
     key = family.key_column
     fresh = with_key(new_days.where(F.col(family.bucket_column).isNotNull()), family).select(
@@ -124,10 +125,10 @@ def advance(trailing: DataFrame | None, new_days: DataFrame, family: BucketFamil
         F.col("stock_valuation_date").alias("end_date"),
         F.lit(False).alias("_stored"),
     )
-    if trailing is None:
+    if stored is None:
         spans = fresh
     else:
-        spans = trailing.select("stock", key, "start_date", "end_date", F.lit(True).alias("_stored")).unionByName(fresh)
+        spans = stored.select("stock", key, "start_date", "end_date", F.lit(True).alias("_stored")).unionByName(fresh)
 
     by_stock = Window.partitionBy("stock")
     order = by_stock.orderBy("start_date", F.desc("_stored"))
@@ -136,8 +137,8 @@ def advance(trailing: DataFrame | None, new_days: DataFrame, family: BucketFamil
     later = spans.withColumn("_stored_end", stored_end).where(
         F.col("_stored") | F.col("_stored_end").isNull() | (F.col("start_date") > F.col("_stored_end"))
     )
-    changed = F.coalesce((F.col(key) != F.lag(key).over(order)).cast("int"), F.lit(1))
-    runs = later.withColumn("_changed", changed).withColumn(
+    same = ~F.col("_stored") & F.col(key).eqNullSafe(F.lag(key).over(order))
+    runs = later.withColumn("_changed", (~same).cast("int")).withColumn(
         "_run", F.sum("_changed").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
     folded = (
@@ -158,11 +159,11 @@ def advance(trailing: DataFrame | None, new_days: DataFrame, family: BucketFamil
 
 
 def advance_many_days(metric: DataFrame | None, new_days: DataFrame, family: BucketFamily) -> DataFrame:
-    """The whole mart after ``new_days``; without a mart, or on an empty one, the full build."""
+    """The whole mart after ``new_days``, in one pass over its rows and the new days; without a
+    mart the full build. A table too large to pass over is kept as a ``StreakStore``."""
     if metric is None:
         return metric_full(new_days, family)
-    touched = trailing_streaks(metric).join(new_days.select("stock"), "stock", "left_semi")
-    return upsert_streaks(metric, advance(touched, new_days, family).drop("is_open"))
+    return advance(metric, new_days, family).drop("is_open")
 
 
 def build_or_advance(metric: DataFrame | None, new_days: DataFrame, family: BucketFamily) -> DataFrame:

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
 from datetime import date, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from streakline.operators import backtest
@@ -127,6 +130,15 @@ def test_trades_and_trips_against_brute_force(spark, make_days, random_stocks, b
         assert found == _brute_trips(series)
 
 
+def test_python_steps_need_no_installed_package(tmp_path):
+    """Executors unpickle the helpers without being able to import this repository."""
+    for step in (backtest._first_better_sale, backtest._trader(Decimal(1))):
+        file = tmp_path / "step.pickle"
+        file.write_bytes(cloudpickle.dumps(step))
+        code = f"import pickle, sys; pickle.load(open({str(file)!r}, 'rb')); assert 'streakline' not in sys.modules"
+        subprocess.run([sys.executable, "-I", "-c", code], check=True, cwd=tmp_path)
+
+
 def test_no_signals_no_trades(make_days):
     signals = backtest.signals(make_days({"A": [(1, 5), (2, 6), (3, 7)]}))
     assert backtest.strategy_trades(signals).count() == 0
