@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import sys
 from bisect import bisect_left
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 from decimal import ROUND_HALF_UP, Context, Decimal
 
 import pandas as pd

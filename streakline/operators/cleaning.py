@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,7 +112,3 @@ def upsert_live(target: DataFrame, source: DataFrame, allow_corrections: bool =
     if not allow_corrections:
         return target.unionByName(incremental_filter(source, target).select(*target.columns))
     return upsert(target, source, LIVE_KEY)
-
-
-def any_null(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, (F.col(name).isNull() for name in columns))

@@ -88,7 +88,8 @@ def advance_one_day(metric: DataFrame, snapshot: DataFrame, family: BucketFamily
     """Rows to merge into ``metric`` for a snapshot of one new day per stock.
 
     The extended, switched and first streaks of the functions above, from one
-    join of the snapshot with the open streaks.
+    join of the snapshot with the open streaks. A day without a bucket leaves
+    no trace here; ``advance`` is the way where ``null_policy="null"`` is used.
     """
     key, day = F.col(family.key_column), F.col("_day")
     fresh = snapshot_with_key(snapshot, family).select(
@@ -108,7 +109,18 @@ def upsert_streaks(metric: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert(metric, rows, STREAK_KEY)
 
 
-def advance(stored: DataFrame | None, new_days: DataFrame, family: BucketFamily) -> DataFrame:
+def _stored_spans(stored: DataFrame, key: str, last_days: DataFrame | None) -> DataFrame:
+    spans = stored.select("stock", key, "start_date", "end_date", F.lit(True).alias("_stored"))
+    if last_days is None:
+        return spans.withColumn("_ended", F.lit(False))
+    newest = last_days.groupBy("stock").agg(F.max("stock_valuation_date").alias("_last_day"))
+    ended = F.coalesce(F.col("_last_day") > F.col("end_date"), F.lit(False))
+    return spans.join(newest, "stock", "left").withColumn("_ended", ended).drop("_last_day")
+
+
+def advance(
+    stored: DataFrame | None, new_days: DataFrame, family: BucketFamily, last_days: DataFrame | None = None
+) -> DataFrame:
     """Streak rows after any number of new days per stock, with ``is_open`` on each stock's last.
 
     ``stored`` holds at least the open streak of every stock; each of its rows
@@ -116,19 +128,22 @@ def advance(stored: DataFrame | None, new_days: DataFrame, family: BucketFamily)
     streaks alone the cost follows the new days and not the history. Days up
     to the stored end are ignored, which makes a rerun harmless. All other
     stored rows pass through unchanged.
+
+    Under ``null_policy="null"`` days without a bucket end a streak. Those
+    among ``new_days`` are seen; ``last_days`` (stock and newest classified
+    day so far) tells of those after the stored streaks.
     """
     key = family.key_column
-    fresh = with_key(new_days.where(F.col(family.bucket_column).isNotNull()), family).select(
+    fresh = with_key(new_days, family).select(
         "stock",
         key,
         F.col("stock_valuation_date").alias("start_date"),
         F.col("stock_valuation_date").alias("end_date"),
         F.lit(False).alias("_stored"),
+        F.col(family.run_column).alias("_day_run"),
+        F.lit(False).alias("_ended"),
     )
-    if stored is None:
-        spans = fresh
-    else:
-        spans = stored.select("stock", key, "start_date", "end_date", F.lit(True).alias("_stored")).unionByName(fresh)
+    spans = fresh if stored is None else _stored_spans(stored, key, last_days).unionByName(fresh, allowMissingColumns=True)
 
     by_stock = Window.partitionBy("stock")
     order = by_stock.orderBy("start_date", F.desc("_stored"))
@@ -137,7 +152,9 @@ def advance(stored: DataFrame | None, new_days: DataFrame, family: BucketFamily)
     later = spans.withColumn("_stored_end", stored_end).where(
         F.col("_stored") | F.col("_stored_end").isNull() | (F.col("start_date") > F.col("_stored_end"))
     )
-    same = ~F.col("_stored") & F.col(key).eqNullSafe(F.lag(key).over(order))
+    before = {name: F.lag(name).over(order) for name in (key, "_day_run", "_ended")}
+    unbroken = ~F.coalesce(before["_ended"], F.lit(False)) & F.coalesce(F.col("_day_run") == before["_day_run"], F.lit(True))
+    same = ~F.col("_stored") & F.col(key).eqNullSafe(before[key]) & unbroken
     runs = later.withColumn("_changed", (~same).cast("int")).withColumn(
         "_run", F.sum("_changed").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )

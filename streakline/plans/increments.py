@@ -70,10 +70,12 @@ class StreakStore:
         history = days if batch == 0 else tail.unionByName(days)
         self._write(history_tail(history, self.params), "tail", batch)
         for family in self.families:
-            open_before = None
-            if batch > 0:
-                open_before = self.open_streaks(family, batch - 1)
-            changed = advance(open_before, days, family).withColumn("is_open", F.col("is_open").cast("int"))
+            if batch == 0:
+                changed = advance(None, days, family)
+            else:
+                last_days = tail if self.params.null_policy == "null" else None
+                changed = advance(self.open_streaks(family, batch - 1), days, family, last_days)
+            changed = changed.withColumn("is_open", F.col("is_open").cast("int"))
             self._write(changed, family.mart, batch, "is_open")
 
     def metric(self, family: BucketFamily, batch: int) -> DataFrame:

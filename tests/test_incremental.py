@@ -171,6 +171,20 @@ def test_store_in_batches_equals_rebuild(spark, make_bars, tmp_path):
     assert store.metric(HIGH_LOW, 1).agg(F.max("end_date")).first()[0] <= calendar[7]
 
 
+def test_days_without_bucket_end_streaks_in_batches_too(spark, make_bars, tmp_path):
+    calendar = weekdays("2024-01-01", 9)
+    closes = (1, 9, 9, None, 9, None, 9, 9, 9)
+    all_rows = [("A", d, c) for d, c in zip(calendar, closes, strict=True)]
+    params = IndicatorParams(null_policy="null")
+    whole = rows(streaks.metric_full(indicators.classified(make_bars(all_rows), params), HIGH_LOW))
+    assert len(whole) == 4
+    for cuts in ((3, 4), (4, 6), (5, 6), (6, 7)):
+        store = StreakStore(spark, str(tmp_path / f"null{cuts}"), (HIGH_LOW,), params)
+        for batch, (start, end) in enumerate(zip((0, *cuts), (*cuts, 9), strict=True)):
+            store.apply(batch, make_bars(all_rows[start:end]))
+        assert rows(store.metric(HIGH_LOW, 2)) == whole, cuts
+
+
 def test_store_keeps_late_bars_apart(spark, make_bars, tmp_path):
     store = StreakStore(spark, str(tmp_path / "late"), (HIGH_LOW,), PARAMS)
     store.apply(0, make_bars([("A", "2024-01-02", 5), ("A", "2024-01-04", 6)]))

@@ -13,6 +13,7 @@ from streakline import session
 from streakline.families import FAMILIES, HIGH_LOW
 from streakline.operators import backtest, cleaning, incremental, indicators, streaks
 from streakline.sources import bars as bar_source
+from streakline.sources import tables
 
 BARS = "stock string, stock_valuation_date date, close_value decimal(12,4)"
 
@@ -45,6 +46,14 @@ def test_streaks_need_no_shuffle_of_their_own(stored, family):
     assert plan(df).count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan(df)
 
 
+def test_clustered_table_saves_the_shuffle(spark, stored):
+    tables.save_clustered(stored, "clustered_bars", 4)
+    bars = spark.table("clustered_bars")
+    assert bars.count() == stored.count()
+    assert shuffles(streaks.metric_full(indicators.classified(bars), HIGH_LOW)) == []
+    spark.sql("DROP TABLE clustered_bars")
+
+
 def test_unused_indicators_are_pruned(stored):
     text = plan(streaks.metric_full(indicators.classified(stored), HIGH_LOW))
     assert "_squares" not in text and "_s_long" not in text
