@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streakline import schemas
-from streakline.sources.bars import daily_bars
+from streakline.sources.bars import daily_bars, in_range
 from streakline.sources.landing import pivot_wide
 
 SPLIT = "2000-01-01"
@@ -19,11 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def order_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few stocks, long histories: order priorities as tickers, weekdays only."""
+def order_bars(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Few stocks, long histories: order priorities as tickers, weekdays only. A range restricts
+    the orders that are read."""
     day = F.to_date("o_orderdate")
     return daily_bars(
-        table(spark, sf_dir, "orders").where(F.weekday(day) < 5),
+        in_range(table(spark, sf_dir, "orders"), "o_orderdate", start, end).where(F.weekday(day) < 5),
         stock=F.col("o_orderpriority"),
         day=day,
         price=F.col("o_totalprice"),

@@ -77,17 +77,19 @@ def _(spark, sf_dir):
 
 @query("bars_in_range")
 def _(spark, sf_dir):
-    return bar_source.bars_in_range(order_bars(spark, sf_dir), "1997-01-01", "1998-01-01", TICKERS[:2])
+    span = "1997-01-01", "1998-01-01"
+    return bar_source.bars_in_range(order_bars(spark, sf_dir, *span), *span, TICKERS[:2])
 
 
 @query("bars_full_history")
 def _(spark, sf_dir):
-    return bar_source.bars_full_history(order_bars(spark, sf_dir), "1995-01-01", "2001-07-01")
+    span = "1995-01-01", "2001-07-01"
+    return bar_source.bars_full_history(order_bars(spark, sf_dir, *span), *span)
 
 
 @query("bars_yesterday")
 def _(spark, sf_dir):
-    return bar_source.bars_yesterday(order_bars(spark, sf_dir), "2000-01-05")
+    return bar_source.bars_yesterday(order_bars(spark, sf_dir, "2000-01-04", "2000-01-05"), "2000-01-05")
 
 
 @query("last_saved_date")

@@ -44,6 +44,16 @@ def daily_bars(
     return bars.withColumn("stock", F.col("stock").cast("string"))
 
 
+def in_range(df: DataFrame, column: str, start: str | date | None = None, end: str | date | None = None) -> DataFrame:
+    """Rows with ``column`` (a date or timestamp) in ``[start, end)``; a bound left out does not
+    restrict. The bare column is compared, so files outside the range are skipped."""
+    if start is not None:
+        df = df.where(F.col(column) >= F.lit(start).cast("date"))
+    if end is not None:
+        df = df.where(F.col(column) < F.lit(end).cast("date"))
+    return df
+
+
 def bars_in_range(
     bars: DataFrame,
     start: str | date | None = None,
@@ -51,14 +61,8 @@ def bars_in_range(
     stocks: Sequence[str] | None = None,
 ) -> DataFrame:
     """Bars of ``stocks`` in ``[start, end)``; a bound or list left out does not restrict."""
-    day = F.col("stock_valuation_date")
-    if start is not None:
-        bars = bars.where(day >= F.lit(start).cast("date"))
-    if end is not None:
-        bars = bars.where(day < F.lit(end).cast("date"))
-    if stocks is not None:
-        bars = bars.where(F.col("stock").isin(list(stocks)))
-    return bars
+    bars = in_range(bars, "stock_valuation_date", start, end)
+    return bars if stocks is None else bars.where(F.col("stock").isin(list(stocks)))
 
 
 def bars_full_history(bars: DataFrame, start: str = HISTORY_START, end: str = HISTORY_END) -> DataFrame:
