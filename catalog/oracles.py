@@ -96,6 +96,13 @@ SNAPSHOT_COLUMNS = """md5(CAST(stock_valuation_date AS VARCHAR) || '-' || stock)
        stock_valuation_date, stock, stock_value, highest_lowest_valuation,
        minimum_value AS minimum_close, maximum_value AS maximum_close, average_valuation, moving_avg_comparison"""
 
+LAST_SNAPSHOT = f"""SELECT {SNAPSHOT_COLUMNS} FROM days
+QUALIFY row_number() OVER (PARTITION BY stock ORDER BY stock_valuation_date DESC) = 1"""
+
+UPSERTED = """SELECT * FROM metric m WHERE NOT EXISTS
+(SELECT 1 FROM advanced a WHERE a.stock = m.stock AND a.start_date = m.start_date)
+UNION ALL SELECT * FROM advanced"""
+
 METRIC_ID = "md5(CAST(start_date AS VARCHAR) || '-' || stock) AS id"
 
 
@@ -266,11 +273,7 @@ order("moving_averages", f"SELECT {_value}, avg_short, avg_long FROM measured",
 order("classified", CLASSIFIED_SELECT, CLASSIFIED)
 part("part_classified", CLASSIFIED_SELECT, CLASSIFIED)
 order("classified_increment", f"{CLASSIFIED_SELECT} WHERE stock_valuation_date >= DATE '{SPLIT}'", CLASSIFIED)
-order(
-    "last_snapshot",
-    f"SELECT {SNAPSHOT_COLUMNS} FROM days QUALIFY row_number() OVER (PARTITION BY stock ORDER BY stock_valuation_date DESC) = 1",
-    CLASSIFIED,
-)
+order("last_snapshot", LAST_SNAPSHOT, CLASSIFIED)
 for _name, _family in (("classify_high_low", HIGH_LOW), ("classify_average", AVERAGE), ("classify_crossover", MOVING_AVG)):
     order(_name, f"SELECT stock, stock_valuation_date, {_family.bucket_column} FROM days", CLASSIFIED)
 order(
@@ -338,13 +341,7 @@ for _family in FAMILIES:
     order(f"{_n}_metric_full", "SELECT * FROM metric", CLASSIFIED, _dim(_family), _metric(_family))
     part(f"part_{_n}_metric_full", "SELECT * FROM metric", CLASSIFIED, _dim(_family), _metric(_family))
     order(f"advance_{_n}", "SELECT * FROM advanced", *_increment(_family))
-    order(
-        f"upsert_streaks_{_n}",
-        """SELECT * FROM metric m WHERE NOT EXISTS
-        (SELECT 1 FROM advanced a WHERE a.stock = m.stock AND a.start_date = m.start_date)
-        UNION ALL SELECT * FROM advanced""",
-        *_increment(_family),
-    )
+    order(f"upsert_streaks_{_n}", UPSERTED, *_increment(_family))
     # Advancing an old mart by all later days must give what a rebuild over all days gives.
     order(f"advance_many_days_{_n}", "SELECT * FROM metric", CLASSIFIED, _dim(_family), _metric(_family))
     order(
@@ -387,27 +384,25 @@ order(
     f"""SELECT {BAR_COLUMNS}, lag(close_value) OVER w AS previous_close, close_value - lag(close_value) OVER w AS day_change
     FROM bars WINDOW w AS (PARTITION BY stock ORDER BY stock_valuation_date)""",
 )
-order(
-    "closed_streaks",
-    "SELECT * FROM metric WHERE end_date < (SELECT max(stock_valuation_date) - INTERVAL 1 DAY FROM first_new)",
-    *HIGH_LOW_STEP,
-)
-order("trailing_streaks", "SELECT * FROM open_rows", *HIGH_LOW_STEP)
-order(
-    "trailing_streaks_by_day",
-    """SELECT * FROM metric WHERE end_date = (SELECT CAST(max(stock_valuation_date) - CASE isodow(max(stock_valuation_date))
-       WHEN 1 THEN INTERVAL 3 DAY ELSE INTERVAL 1 DAY END AS DATE) FROM first_new)""",
-    *HIGH_LOW_STEP,
-)
-order(
-    "snapshot_with_key",
-    """SELECT stock, stock_valuation_date, stock_value, highest_lowest_valuation, CAST(dim.id AS INTEGER) AS highest_lowest_valuation_key
-       FROM days JOIN dim ON highest_lowest_valuation = bucket_name
+_steps = {
+    "closed_streaks": "SELECT * FROM metric WHERE end_date < (SELECT max(stock_valuation_date) - INTERVAL 1 DAY FROM first_new)",
+    "trailing_streaks": "SELECT * FROM open_rows",
+    "trailing_streaks_by_day": """SELECT * FROM metric WHERE end_date = (
+       SELECT CAST(max(stock_valuation_date) - CASE isodow(max(stock_valuation_date))
+              WHEN 1 THEN INTERVAL 3 DAY ELSE INTERVAL 1 DAY END AS DATE) FROM first_new)""",
+    "snapshot_with_key": """SELECT stock, stock_valuation_date, stock_value, highest_lowest_valuation,
+       CAST(dim.id AS INTEGER) AS highest_lowest_valuation_key FROM days JOIN dim ON highest_lowest_valuation = bucket_name
        QUALIFY row_number() OVER (PARTITION BY stock ORDER BY stock_valuation_date DESC) = 1""",
-    *HIGH_LOW_MART,
-)
-order("extend_streaks", "SELECT * FROM extended", *HIGH_LOW_STEP)
-order("switch_streaks", "SELECT * FROM switched", *HIGH_LOW_STEP)
+    "extend_streaks": "SELECT * FROM extended",
+    "switch_streaks": "SELECT * FROM switched",
+}
+for _name, _select in _steps.items():
+    order(_name, _select, *HIGH_LOW_STEP)
+    part(f"part_{_name}", _select, *HIGH_LOW_STEP)
+part("part_advance_high_low", "SELECT * FROM advanced", *HIGH_LOW_STEP)
+part("part_upsert_streaks_high_low", UPSERTED, *HIGH_LOW_STEP)
+part("part_last_snapshot", LAST_SNAPSHOT, CLASSIFIED)
+part("part_classified_increment", f"{CLASSIFIED_SELECT} WHERE stock_valuation_date >= DATE '{SPLIT}'", CLASSIFIED)
 
 # --- alerts ---------------------------------------------------------------------------------------
 

@@ -60,10 +60,10 @@ def stored_mart_and_new_days(days: DataFrame, family: BucketFamily = HIGH_LOW) -
     return marts.write_and_read(metric, scratch_path(spark, family.mart)), new(days)
 
 
-def old_and_next(spark: SparkSession, sf_dir: str, family: BucketFamily = HIGH_LOW) -> tuple[DataFrame, DataFrame]:
+def old_and_next(days: DataFrame, family: BucketFamily = HIGH_LOW) -> tuple[DataFrame, DataFrame]:
     """The stored mart, and a snapshot of each stock's first day after the split."""
-    metric, days = stored_mart_and_new_days(order_days(spark, sf_dir), family)
-    first = cleaning.newest_per_key(days, [F.col("stock")], [F.col("stock_valuation_date")])
+    metric, later = stored_mart_and_new_days(days, family)
+    first = cleaning.newest_per_key(later, [F.col("stock")], [F.col("stock_valuation_date")])
     return metric, indicators.snapshot_columns(first)
 
 
@@ -307,11 +307,11 @@ def _register_family(family: BucketFamily) -> None:
 
     @query(f"advance_{family.name}")
     def _(spark, sf_dir):
-        return incremental.advance_one_day(*old_and_next(spark, sf_dir, family), family)
+        return incremental.advance_one_day(*old_and_next(order_days(spark, sf_dir), family), family)
 
     @query(f"upsert_streaks_{family.name}")
     def _(spark, sf_dir):
-        metric, snapshot = old_and_next(spark, sf_dir, family)
+        metric, snapshot = old_and_next(order_days(spark, sf_dir), family)
         return incremental.upsert_streaks(metric, incremental.advance_one_day(metric, snapshot, family))
 
     @query(f"advance_many_days_{family.name}")
@@ -372,39 +372,62 @@ def _(spark, sf_dir):
     return streaks.daily_tracking(order_bars(spark, sf_dir))
 
 
-@query("closed_streaks")
-def _(spark, sf_dir):
-    return incremental.closed_streaks(*old_and_next(spark, sf_dir))
+def _trailing_and_snapshot(days: DataFrame) -> tuple[DataFrame, DataFrame]:
+    metric, snapshot = old_and_next(days)
+    return incremental.trailing_streaks(metric), incremental.snapshot_with_key(snapshot, HIGH_LOW)
 
 
-@query("trailing_streaks")
-def _(spark, sf_dir):
-    return incremental.trailing_streaks(old_and_next(spark, sf_dir)[0])
+def _register_increment_steps(prefix: str, days_of: Query) -> None:
+    @query(f"{prefix}closed_streaks")
+    def _(spark, sf_dir):
+        return incremental.closed_streaks(*old_and_next(days_of(spark, sf_dir)))
+
+    @query(f"{prefix}trailing_streaks")
+    def _(spark, sf_dir):
+        return incremental.trailing_streaks(old_and_next(days_of(spark, sf_dir))[0])
 
+    @query(f"{prefix}trailing_streaks_by_day")
+    def _(spark, sf_dir):
+        return incremental.trailing_streaks(*old_and_next(days_of(spark, sf_dir)))
 
-@query("trailing_streaks_by_day")
-def _(spark, sf_dir):
-    return incremental.trailing_streaks(*old_and_next(spark, sf_dir))
+    @query(f"{prefix}snapshot_with_key")
+    def _(spark, sf_dir):
+        return incremental.snapshot_with_key(indicators.last_snapshot(days_of(spark, sf_dir)), HIGH_LOW)
+
+    @query(f"{prefix}extend_streaks")
+    def _(spark, sf_dir):
+        return incremental.extend_streaks(*_trailing_and_snapshot(days_of(spark, sf_dir)), HIGH_LOW)
+
+    @query(f"{prefix}switch_streaks")
+    def _(spark, sf_dir):
+        return incremental.switch_streaks(*_trailing_and_snapshot(days_of(spark, sf_dir)), HIGH_LOW)
+
+
+_register_increment_steps("", order_days)
+_register_increment_steps("part_", part_days)
 
 
-@query("snapshot_with_key")
+@query("part_advance_high_low")
 def _(spark, sf_dir):
-    return incremental.snapshot_with_key(indicators.last_snapshot(order_days(spark, sf_dir)), HIGH_LOW)
+    return incremental.advance_one_day(*old_and_next(part_days(spark, sf_dir)), HIGH_LOW)
 
 
-def _trailing_and_snapshot(spark, sf_dir):
-    metric, snapshot = old_and_next(spark, sf_dir)
-    return incremental.trailing_streaks(metric), incremental.snapshot_with_key(snapshot, HIGH_LOW)
+@query("part_upsert_streaks_high_low")
+def _(spark, sf_dir):
+    metric, snapshot = old_and_next(part_days(spark, sf_dir))
+    return incremental.upsert_streaks(metric, incremental.advance_one_day(metric, snapshot, HIGH_LOW))
 
 
-@query("extend_streaks")
+@query("part_last_snapshot")
 def _(spark, sf_dir):
-    return incremental.extend_streaks(*_trailing_and_snapshot(spark, sf_dir), HIGH_LOW)
+    return indicators.last_snapshot(part_days(spark, sf_dir))
 
 
-@query("switch_streaks")
+@query("part_classified_increment")
 def _(spark, sf_dir):
-    return incremental.switch_streaks(*_trailing_and_snapshot(spark, sf_dir), HIGH_LOW)
+    bars = part_bars(spark, sf_dir)
+    tail = indicators.history_tail(indicators.classified(old(bars)))
+    return indicators.classify_increment(tail, new(bars)).withColumn("stddev_90", F.round("stddev_90", 4))
 
 
 # --- alerts ---------------------------------------------------------------------------------------
