@@ -14,18 +14,18 @@ def pivot_wide(bars: DataFrame, tickers: tuple[str, ...]) -> DataFrame:
 
     The ticker list is given, so no job has to discover it.
     """
+    pivoted = (
+        bars.where(F.col("stock").isin(list(tickers)))
+        .groupBy(F.col("stock_valuation_date").cast("string").alias("date"))
+        .pivot("stock", list(tickers))
+        .agg(*(F.max(f"{field}_value").alias(field) for field in FIELDS))
+    )
     columns = [
-        F.coalesce(F.max(F.when(F.col("stock") == ticker, F.col(f"{field}_value"))).cast("string"), F.lit("")).alias(
-            schemas.wide_column(field, ticker)
-        )
+        F.coalesce(F.col(f"`{ticker}_{field}`").cast("string"), F.lit("")).alias(schemas.wide_column(field, ticker))
         for field in FIELDS
         for ticker in tickers
     ]
-    return (
-        bars.where(F.col("stock").isin(list(tickers)))
-        .groupBy(F.col("stock_valuation_date").cast("string").alias("date"))
-        .agg(*columns)
-    )
+    return pivoted.select("date", *columns)
 
 
 def write_wide_csv(wide: DataFrame, path: str) -> None:
