@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalog.oracles import ORACLES as SQL
+from catalog.queries import QUERIES
 from tests.oracle import compare, duck
 
-QUERIES, SQL = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
