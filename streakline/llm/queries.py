@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm import line_dedup
+from streakline.llm import line_dedup, simhash
 from streakline.llm.common import documents
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(documents(spark, sf_dir), shingle=3, distance=3)
+    return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir), min_docs=10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op7_line_dedup": op7_line_dedup,
 }
