@@ -18,9 +18,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 1,024 rows or about 16 MB, so that long texts do not pile up in a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    """Arrow batches of at most 256 rows or about 4 MB, so that long texts do not pile up in a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
