@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm import line_dedup, simhash
+from streakline.llm import line_dedup, quality, simhash
 from streakline.llm.common import documents
 
 
@@ -14,6 +14,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(documents(spark, sf_dir))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir), min_docs=10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -21,5 +25,6 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_quality": op3_quality,
     "op7_line_dedup": op7_line_dedup,
 }
