@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm import line_dedup, quality, simhash
+from streakline.llm import line_dedup, packing, quality, simhash
 from streakline.llm.common import documents
 
 
@@ -23,8 +23,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(documents(spark, sf_dir), params=packing.PackParams(capacity=2048), end=0)
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op7_line_dedup": op7_line_dedup,
+    "op9_packing": op9_packing,
 }
