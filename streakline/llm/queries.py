@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm import line_dedup, packing, quality, simhash
+from streakline.llm import line_dedup, packing, quality, secret_scan, simhash
 from streakline.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(documents(spark, sf_dir), path="source").drop("row")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir), min_docs=10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -30,6 +34,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
+    "op4_secrets": op4_secrets,
     "op7_line_dedup": op7_line_dedup,
     "op9_packing": op9_packing,
 }
