@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm import line_dedup, packing, quality, secret_scan, simhash
+from streakline.llm import byte_bpe, frames, line_dedup, packing, quality, secret_scan, simhash
 from streakline.llm.common import documents
 
 
@@ -22,6 +22,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(documents(spark, sf_dir), path="source").drop("row")
 
 
+def op6_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.written_and_read(documents(spark, sf_dir), end=1)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir), min_docs=10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -31,10 +35,22 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), params=packing.PackParams(capacity=2048), end=0)
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = byte_bpe.round_trip(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
+    "op6_frames": op6_frames,
     "op7_line_dedup": op7_line_dedup,
     "op9_packing": op9_packing,
+    "op10_byte_bpe": op10_byte_bpe,
 }
