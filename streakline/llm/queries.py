@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm import byte_bpe, frames, line_dedup, packing, quality, secret_scan, simhash
+from streakline.llm import byte_bpe, frames, line_dedup, packing, quality, secret_scan, simhash, weighted_sampling
 from streakline.llm.common import documents
 
 
@@ -22,6 +22,18 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(documents(spark, sf_dir), path="source").drop("row")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.compared_with_edits(documents(spark, sf_dir)).select(
+        "doc_id",
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.lower(F.hex("fingerprint")).alias("fingerprint"),
+        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op6_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.written_and_read(documents(spark, sf_dir), end=1)
 
@@ -49,6 +61,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
+    "op5_fingerprints": op5_fingerprints,
     "op6_frames": op6_frames,
     "op7_line_dedup": op7_line_dedup,
     "op9_packing": op9_packing,
