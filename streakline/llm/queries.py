@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm import byte_bpe, frames, line_dedup, packing, quality, secret_scan, simhash, weighted_sampling
+from streakline.llm import byte_bpe, frames, line_dedup, packing, pseudonyms, quality, secret_scan, simhash, weighted_sampling
 from streakline.llm.common import documents
 
 
@@ -43,6 +43,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymize(documents(spark, sf_dir).select("doc_id", "text"), key="a key for these tables")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), params=packing.PackParams(capacity=2048), end=0)
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op5_fingerprints": op5_fingerprints,
     "op6_frames": op6_frames,
     "op7_line_dedup": op7_line_dedup,
+    "op8_pseudonyms": op8_pseudonyms,
     "op9_packing": op9_packing,
     "op10_byte_bpe": op10_byte_bpe,
 }
