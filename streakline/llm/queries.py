@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm import byte_bpe, frames, line_dedup, packing, pseudonyms, quality, secret_scan, simhash, weighted_sampling
+from streakline.llm import byte_bpe, frames, line_dedup, packing, pseudonyms, quality, secret_scan, simhash, suffix_dedup, weighted_sampling
 from streakline.llm.common import documents
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(documents(spark, sf_dir), length=400)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(documents(spark, sf_dir), shingle=3, distance=3)
     return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
@@ -62,6 +66,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
