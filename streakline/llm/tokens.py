@@ -1,51 +1,100 @@
 """Token ids by the tokenizers library, word by word.
 
 The tokenizer drops white space before it splits and never looks across it, so a text's ids are those of its words in
-order. Texts repeat words; each worker encodes a word once and keeps its ids, up to a bound.
+order. Texts repeat words, and words repeat pieces (a word without its comma or its capital); each worker takes the
+library's steps (normalizer, splitter, merges) once for a word and once for a piece and keeps the ids, up to a bound.
+Normalizing and splitting a Latin word is done here by the same rules, the merges always by the library.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from functools import cache
 
 import public_tokenizers
 
 WORD_BPE = "word_bpe_49k.json"
-KEPT_WORDS = 400_000
+KEPT = 600_000
 KEPT_BYTES = 64
 
+#: Words of printable ASCII and of Latin letters that normalize to themselves and have a lower case of one letter.
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+")
+#: The tokenizer's own split, for such words in lower case.
+SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u017e0-9]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable bytes for themselves, the others in
+    order from U+0100."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
+LETTERS = byte_letters()
+
+
+class _Pieces(dict):
+    """Ids of pieces as the splitter gives them, little-endian unsigned 32-bit."""
+
+    def __init__(self, model):
+        self._tokenize = model.tokenize
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = b"".join([t.id.to_bytes(4, "little") for t in self._tokenize(piece)])
+        if len(piece) <= KEPT_BYTES:
+            if len(self) >= KEPT:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
+class _Words(dict):
+    """Ids of words (UTF-8, without ASCII white space)."""
+
+    def __init__(self, tokenizer):
+        self._tokenizer, self._pieces = tokenizer, _Pieces(tokenizer.model)
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self._ids(word)
+        if len(word) <= KEPT_BYTES:
+            if len(self) >= KEPT:
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def _ids(self, word: bytes) -> bytes:
+        pieces = self._pieces
+        if word.isalpha():  # ASCII letters are one piece in lower case
+            return pieces[word.lower().decode()]
+        if word[-1:] in b".,!?;:" and word[:-1].isalpha():
+            return pieces[word[:-1].lower().decode()] + pieces[word[-1:].decode()]
+        text = word.decode()
+        if "<|" in text:  # may hold a special token
+            return b"".join([i.to_bytes(4, "little") for i in self._tokenizer.encode(text, add_special_tokens=False).ids])
+        if PLAIN.fullmatch(text):
+            parts = SPLIT.findall(text.lower())
+            return b"".join([pieces[p if p.isascii() else p.encode().decode("latin-1").translate(LETTERS)] for p in parts])
+        split = self._tokenizer.pre_tokenizer.pre_tokenize_str(self._tokenizer.normalizer.normalize_str(text))
+        return b"".join([pieces[piece] for piece, _ in split])
+
 
 class WordEncoder:
     """``encode`` gives the ids of texts (UTF-8) as little-endian unsigned 32-bit integers.
 
-    For tokenizers that drop ASCII white space and treat it as a border; ``word_bpe_49k.json`` does.
+    For the public word tokenizer: lower case, ASCII white space dropped and a border, letters and marks split.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._ids: dict[bytes, bytes] = {}
+        self._words = _Words(Tokenizer.from_file(path))
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        import numpy as np
-
-        known = self._ids
-        if len(known) > KEPT_WORDS:
-            known.clear()
-        split = [(t or b"").split() for t in texts]
-        new = list(set().union(*split) - known.keys()) if split else []
-        for start in range(0, len(new), 10_000):
-            block = new[start : start + 10_000]
-            for word, found in zip(block, self._tokenizer.encode_batch([w.decode() for w in block], add_special_tokens=False), strict=True):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > KEPT_BYTES:
-                del known[word]
-        return out
+        ids = self._words.__getitem__
+        return [b"".join(map(ids, (t or b"").split())) for t in texts]
 
 
 @cache

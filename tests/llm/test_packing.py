@@ -5,11 +5,15 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from streakline.llm.packing import Packing, PackParams, best_fit, crossover, evolve, lower_bound, packed_documents
 from streakline.llm.tokens import KEPT_BYTES, WordEncoder
 
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ENCODER, WHOLE = WordEncoder(PATH), Tokenizer.from_file(PATH)
 SCHEMA = "doc_id bigint, text string, n string, pool int, length string"
 TEXTS = [
     None,
@@ -34,6 +38,12 @@ def test_ids_equal_those_of_the_whole_text(spark, sf_dir):
     assert encoder.encode([]) == []
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("aZ's'tl'd09.,<|!~éÉßÿŸİıŉſĸ\u0301ÅåÇñ ×÷ªªªœŒ\u00ad\u212b"), max_size=24))
+def test_any_word(text):
+    assert np.frombuffer(ENCODER.encode([text.encode()])[0], "<u4").tolist() == WHOLE.encode(text, add_special_tokens=False).ids
+
+
 def check(place, sizes, free, capacity):
     used = np.bincount(place, weights=sizes).astype(int)
     assert (place >= 0).all() and used.min() > 0 and used.max() <= capacity
