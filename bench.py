@@ -33,7 +33,7 @@ HEADLINE = (
     "part_streak_days",
     "streak_running_extremes",
     "part_round_trips",
-    "part_strategy_trades",
+    "part_streak_trades",
     "purchase_breakdown",
     "sale_breakdown",
     "dq_freshness_high_low",

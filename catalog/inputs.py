@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streakline import schemas
+from streakline.functions.calendar import next_business_day
 from streakline.sources.bars import daily_bars, in_range
 from streakline.sources.landing import pivot_wide
 
 SPLIT = "2000-01-01"
+STEP_DAY = "1999-12-28"
 
 # The order priorities, which serve as ticker symbols.
 TICKERS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -20,16 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_bars(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Few stocks, long histories: order priorities as tickers, weekdays only. A range restricts
-    the orders that are read."""
+    """Few stocks, long histories: order priorities as tickers, business days. Orders of a weekend
+    trade on the Monday after. A range restricts the orders that are read."""
     day = F.to_date("o_orderdate")
-    return daily_bars(
-        in_range(table(spark, sf_dir, "orders"), "o_orderdate", start, end).where(F.weekday(day) < 5),
+    traded = F.when(F.weekday(day) >= 5, next_business_day(day)).otherwise(day)
+    since = None if start is None else date.fromisoformat(start) - timedelta(days=2)
+    bars = daily_bars(
+        in_range(table(spark, sf_dir, "orders"), "o_orderdate", since, end),
         stock=F.col("o_orderpriority"),
-        day=day,
+        day=traded,
         price=F.col("o_totalprice"),
         sequence=F.col("o_orderkey"),
     )
+    return in_range(bars, "stock_valuation_date", start, end)
 
 
 def part_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.inputs import SPLIT, TICKERS
+from catalog.inputs import SPLIT, STEP_DAY, TICKERS
 from streakline.config import FIELDS
 from streakline.families import AVERAGE, FAMILIES, HIGH_LOW, MOVING_AVG, BucketFamily
 from streakline.schemas import wide_column
@@ -11,13 +11,15 @@ ORACLES: dict[str, str] = {}
 
 ORDER_BARS = """
 bars AS (
-  SELECT o_orderpriority AS stock, CAST(o_orderdate AS DATE) AS stock_valuation_date,
+  SELECT o_orderpriority AS stock,
+         CAST(o_orderdate + CASE isodow(o_orderdate) WHEN 6 THEN INTERVAL 2 DAY WHEN 7 THEN INTERVAL 1 DAY
+              ELSE INTERVAL 0 DAY END AS DATE) AS stock_valuation_date,
          CAST(arg_min(o_totalprice, o_orderkey) AS DECIMAL(12,4)) AS open_value,
          CAST(max(o_totalprice) AS DECIMAL(12,4)) AS high_value,
          CAST(min(o_totalprice) AS DECIMAL(12,4)) AS low_value,
          CAST(arg_max(o_totalprice, o_orderkey) AS DECIMAL(12,4)) AS close_value,
          CAST(count(*) AS DECIMAL(18,0)) AS volume_value
-  FROM orders WHERE isodow(o_orderdate) < 6 GROUP BY 1, 2)"""
+  FROM orders GROUP BY 1, 2)"""
 
 PART_BARS = """
 ticks AS (
@@ -39,9 +41,7 @@ EVENT_BARS = """
 bars AS (
   SELECT event_type AS stock, CAST(ts AS DATE) AS stock_valuation_date,
          CAST(arg_max(value, event_id) AS DECIMAL(12,4)) AS close_value
-  FROM events
-  WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
-  GROUP BY 1, 2)"""
+  FROM events GROUP BY 1, 2)"""
 
 CLASSIFIED = """
 measured AS (
@@ -106,9 +106,16 @@ UNION ALL SELECT * FROM advanced"""
 METRIC_ID = "md5(CAST(start_date AS VARCHAR) || '-' || stock) AS id"
 
 
+# The ids of the buckets, spelled out so that a wrong one in the library shows.
+DIMS = {
+    "high_low": "(1, 'near_record_low'), (2, 'lower_range'), (3, 'mid_range'), (4, 'higher_range'), (5, 'near_record_high')",
+    "average": "(1, 'above'), (2, 'below'), (3, 'within')",
+    "moving_avg": "(1, 'bullish_alignment'), (2, 'bearish_alignment')",
+}
+
+
 def _dim(family: BucketFamily, name: str = "dim") -> str:
-    rows = ", ".join(f"({i}, '{bucket}')" for i, bucket, _ in family.buckets)
-    return f"\n{name}(id, bucket_name) AS (VALUES {rows})"
+    return f"\n{name}(id, bucket_name) AS (VALUES {DIMS[family.name]})"
 
 
 def _metric(family: BucketFamily, source: str = "days", name: str = "metric", dim: str = "dim") -> str:
@@ -155,10 +162,7 @@ order(
     f"""SELECT * FROM bars WHERE stock_valuation_date >= DATE '1997-01-01' AND stock_valuation_date < DATE '1998-01-01'
     AND stock IN ('{TICKERS[0]}', '{TICKERS[1]}')""",
 )
-order(
-    "bars_full_history",
-    "SELECT * FROM bars WHERE stock_valuation_date >= DATE '1995-01-01' AND stock_valuation_date < DATE '2001-07-01'",
-)
+order("bars_full_history", "SELECT * FROM bars")
 order("bars_yesterday", "SELECT * FROM bars WHERE stock_valuation_date = DATE '2000-01-04'")
 
 _wide_columns = ",\n         ".join(
@@ -304,12 +308,12 @@ SELECT o_orderkey, CAST(o_orderdate - CASE isodow(o_orderdate) WHEN 1 THEN INTER
 # --- streaks, marts, increments -------------------------------------------------------------------
 
 
-def _increment(family: BucketFamily) -> tuple[str, ...]:
+def _increment(family: BucketFamily, old: str = OLD_DAYS, fresh: str = FIRST_NEW) -> tuple[str, ...]:
     key = family.key_column
     return (
         CLASSIFIED,
-        OLD_DAYS,
-        FIRST_NEW,
+        old,
+        fresh,
         _dim(family),
         _metric(family, "old_days"),
         f"""
@@ -357,8 +361,42 @@ for _family in FAMILIES:
 
 HIGH_LOW_MART = (CLASSIFIED, _dim(HIGH_LOW), _metric(HIGH_LOW))
 HIGH_LOW_STEP = _increment(HIGH_LOW)
+ON_STEP_DAY = _increment(
+    HIGH_LOW,
+    f"\nold_days AS (SELECT * FROM days WHERE stock_valuation_date < DATE '{STEP_DAY}')",
+    f"\nfirst_new AS (SELECT * FROM days WHERE stock_valuation_date = DATE '{STEP_DAY}')",
+)
 
 part("part_advance_many_days", "SELECT * FROM metric", *HIGH_LOW_MART)
+# Days without a price have no bucket, belong to no streak and end the one before.
+_gaps = """
+all_bars AS (SELECT * FROM bars),
+gap_days AS (
+  SELECT stock, stock_valuation_date,
+         CASE WHEN ((date_diff('day', DATE '1970-01-01', stock_valuation_date) * 7 + CAST(stock AS BIGINT)) % 5 + 5) % 5 <> 0
+              THEN close_value END AS v
+  FROM all_bars),
+ranged AS (
+  SELECT *, min(v) OVER w AS lo, max(v) OVER w AS hi FROM gap_days
+  WINDOW w AS (PARTITION BY stock ORDER BY stock_valuation_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+placed AS (
+  SELECT *, CASE WHEN v IS NULL THEN NULL WHEN hi = lo THEN 3 WHEN v - lo <= 0.20 * (hi - lo) THEN 1
+                 WHEN v - lo <= 0.40 * (hi - lo) THEN 2 WHEN v - lo <= 0.60 * (hi - lo) THEN 3
+                 WHEN v - lo <= 0.87 * (hi - lo) THEN 4 ELSE 5 END AS bucket FROM ranged),
+parted AS (
+  SELECT *, sum(CASE WHEN bucket = before THEN 0 ELSE 1 END) OVER (PARTITION BY stock ORDER BY stock_valuation_date) AS run
+  FROM (SELECT *, lag(bucket) OVER (PARTITION BY stock ORDER BY stock_valuation_date) AS before FROM placed)),
+gap_metric AS (
+  SELECT md5(CAST(min(stock_valuation_date) AS VARCHAR) || '-' || stock) AS id, stock,
+         CAST(bucket AS INTEGER) AS highest_lowest_valuation_key, min(stock_valuation_date) AS start_date,
+         max(stock_valuation_date) AS end_date,
+         CAST(date_diff('day', min(stock_valuation_date), max(stock_valuation_date)) + 1 AS INTEGER) AS day_length
+  FROM parted WHERE bucket IS NOT NULL GROUP BY stock, run, bucket)"""
+part("part_metric_full_null", "SELECT * FROM gap_metric", _gaps)
+part("part_advance_many_days_null", "SELECT * FROM gap_metric", _gaps)
+for _family in FAMILIES:
+    # Batches over stored state must give what a rebuild over all days gives.
+    part(f"part_store_{_family.name}", "SELECT * FROM metric", CLASSIFIED, _dim(_family), _metric(_family))
 order(
     "streak_extremes",
     """SELECT d.stock, highest_lowest_valuation, min(stock_valuation_date) AS start_date, max(stock_valuation_date) AS end_date,
@@ -397,8 +435,8 @@ _steps = {
     "switch_streaks": "SELECT * FROM switched",
 }
 for _name, _select in _steps.items():
-    order(_name, _select, *HIGH_LOW_STEP)
-    part(f"part_{_name}", _select, *HIGH_LOW_STEP)
+    order(_name, _select, *ON_STEP_DAY)
+    part(f"part_{_name}", _select, *ON_STEP_DAY)
 part("part_advance_high_low", "SELECT * FROM advanced", *HIGH_LOW_STEP)
 part("part_upsert_streaks_high_low", UPSERTED, *HIGH_LOW_STEP)
 part("part_last_snapshot", LAST_SNAPSHOT, CLASSIFIED)
@@ -481,35 +519,23 @@ sells AS (
   FROM looked WHERE highest_lowest_valuation_key = 5 AND next_key = 5)"""
 KEYED = (CLASSIFIED, _dim(HIGH_LOW), _keyed)
 
-# The fold, in whole numbers: cash in 1e-7, shares in 1e-3, prices in 1e-4.
-_fold = """
-sig AS (
-  SELECT *, row_number() OVER (PARTITION BY stock ORDER BY signal_date) AS rn,
-         CAST(price * 10000 AS HUGEINT) AS p4, CAST(floor_price * 10000 AS HUGEINT) AS f4
-  FROM (SELECT *, NULL AS floor_price, true AS is_buy FROM buys UNION ALL
-        SELECT stock, signal_date, trade_date, price, streak_run, floor_price, false FROM sells)),
-fold AS (
-  SELECT DISTINCT stock, CAST(0 AS BIGINT) AS rn, CAST(NULL AS VARCHAR) AS action, false AS holding, CAST(0 AS HUGEINT) AS cost,
-         CAST(100000000000 AS HUGEINT) AS cash, CAST(0 AS HUGEINT) AS shares, CAST(0 AS BIGINT) AS trade_no FROM sig
-  UNION ALL
-  SELECT s.stock, s.rn,
-         CASE WHEN s.is_buy AND NOT f.holding THEN 'buy' WHEN NOT s.is_buy AND f.holding AND s.f4 > f.cost THEN 'sell' END,
-         CASE WHEN s.is_buy AND NOT f.holding THEN true WHEN NOT s.is_buy AND f.holding AND s.f4 > f.cost THEN false ELSE f.holding END,
-         CASE WHEN s.is_buy AND NOT f.holding THEN s.p4 ELSE f.cost END,
-         CASE WHEN NOT s.is_buy AND f.holding AND s.f4 > f.cost THEN f.shares * s.p4 ELSE f.cash END,
-         CASE WHEN s.is_buy AND NOT f.holding THEN (2 * f.cash + s.p4) // (2 * s.p4) ELSE f.shares END,
-         CASE WHEN s.is_buy AND NOT f.holding THEN f.trade_no + 1 ELSE f.trade_no END
-  FROM fold f JOIN sig s ON s.stock = f.stock AND s.rn = f.rn + 1),
-acts AS (
-  SELECT f.stock, f.trade_no, f.action, f.cash, f.shares, s.signal_date, s.trade_date, s.price, s.streak_run
-  FROM fold f JOIN sig s ON s.stock = f.stock AND s.rn = f.rn WHERE f.action IS NOT NULL),
+# The first buy of each streak and its first better sale; shares in whole thousandths, prices in 1e-4.
+_traded = """
+first_buys AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stock, streak_run ORDER BY signal_date) AS nth FROM buys)
+  WHERE nth = 1 AND price > 0),
+matched AS (
+  SELECT b.stock, b.signal_date AS purchase_signal_date, b.trade_date AS purchased_date, b.price AS purchased_price,
+         b.streak_run AS purchase_run, min(s.signal_date) AS sale_signal_date
+  FROM first_buys b LEFT JOIN sells s ON s.stock = b.stock AND s.signal_date > b.signal_date AND s.floor_price > b.price
+  GROUP BY ALL),
 trades AS (
-  SELECT b.stock, CAST(b.trade_no AS INTEGER) AS trade_no, CAST(CAST(b.shares AS DECIMAL(30,0)) * 0.001 AS DECIMAL(38,3)) AS shares,
-         b.signal_date AS purchase_signal_date, b.trade_date AS purchased_date, b.price AS purchased_price,
-         b.streak_run AS purchase_run, s.signal_date AS sale_signal_date, s.trade_date AS sale_date, s.price AS sale_unit_price,
-         CAST(CAST(s.cash AS DECIMAL(30,0)) * 0.0000001 AS DECIMAL(38,7)) AS sale_price, s.streak_run AS sale_run
-  FROM acts b LEFT JOIN acts s ON s.stock = b.stock AND s.trade_no = b.trade_no AND s.action = 'sell'
-  WHERE b.action = 'buy')"""
+  SELECT m.stock, CAST(CAST((200000000000::HUGEINT + CAST(purchased_price * 10000 AS HUGEINT)) // (2 * CAST(purchased_price * 10000 AS HUGEINT))
+                            AS DECIMAL(17,0)) * 0.001 AS DECIMAL(20,3)) AS shares,
+         purchase_signal_date, purchased_date, purchased_price, purchase_run, sale_signal_date, s.trade_date AS sale_date,
+         s.price AS sale_unit_price, s.streak_run AS sale_run
+  FROM matched m LEFT JOIN sells s ON s.stock = m.stock AND s.signal_date = m.sale_signal_date),
+priced AS (SELECT *, CAST(shares * sale_unit_price AS DECIMAL(38,7)) AS sale_price FROM trades)"""
 
 _breakdowns = """
 streak_window AS (
@@ -524,14 +550,14 @@ purchases AS (
   SELECT t.stock, purchase_signal_date, purchased_date, purchased_price, min_close AS min_window_price, min_date AS min_price_date,
          max_close AS max_window_price, max_date AS max_price_date,
          CAST(purchased_price - min_close AS DOUBLE) / CAST(purchased_price AS DOUBLE) * 100 AS drawdown_pct
-  FROM trades t JOIN price_window w ON w.stock = t.stock AND w.streak_run = t.purchase_run),
+  FROM priced t JOIN price_window w ON w.stock = t.stock AND w.streak_run = t.purchase_run),
 sales AS (
   SELECT t.stock, sale_signal_date, sale_date, sale_price,
          CAST(CAST(shares AS DECIMAL(20,3)) * min_close AS DECIMAL(38,7)) AS min_window_sale, min_date AS min_sale_date,
          CAST(CAST(shares AS DECIMAL(20,3)) * max_close AS DECIMAL(38,7)) AS max_window_sale, max_date AS max_sale_date,
          CAST(max_close - sale_unit_price AS DOUBLE) / CAST(sale_unit_price AS DOUBLE) * 100 AS potential_increment_pct
-  FROM trades t JOIN price_window w ON w.stock = t.stock AND w.streak_run = t.sale_run)"""
-BACKTEST = (*KEYED, _fold, _breakdowns)
+  FROM priced t JOIN price_window w ON w.stock = t.stock AND w.streak_run = t.sale_run)"""
+BACKTEST = (*KEYED, _traded, _breakdowns)
 
 _shown = "stock, stock_valuation_date, close_value, highest_lowest_valuation_key"
 order("ticker_filter", f"SELECT {_shown} FROM keyed WHERE stock = '{TICKERS[1]}'", *KEYED)
@@ -544,10 +570,10 @@ _trips = """SELECT b.stock, b.trade_date AS purchased_date, b.price AS purchased
        GROUP BY b.stock, b.signal_date, b.trade_date, b.price"""
 order("round_trips", _trips, *KEYED)
 part("part_round_trips", _trips, *KEYED)
-_trade_columns = """stock, trade_no, shares, purchase_signal_date, purchased_date, purchased_price, sale_signal_date, sale_date,
+_trade_columns = """stock, shares, purchase_signal_date, purchased_date, purchased_price, sale_signal_date, sale_date,
        sale_unit_price, sale_price"""
-order("strategy_trades", f"SELECT {_trade_columns} FROM trades", *KEYED, _fold)
-part("part_strategy_trades", f"SELECT {_trade_columns} FROM trades", *KEYED, _fold)
+order("streak_trades", f"SELECT {_trade_columns} FROM priced", *KEYED, _traded)
+part("part_streak_trades", f"SELECT {_trade_columns} FROM priced", *KEYED, _traded)
 order("purchase_breakdown", "SELECT * FROM purchases", *BACKTEST)
 order("sale_breakdown", "SELECT * FROM sales", *BACKTEST)
 order(
@@ -557,7 +583,7 @@ order(
 )
 order(
     "max_increment",
-    "SELECT * FROM sales QUALIFY row_number() OVER (PARTITION BY stock ORDER BY potential_increment_pct DESC, sale_date) = 1",
+    "SELECT * FROM sales QUALIFY row_number() OVER (PARTITION BY stock ORDER BY potential_increment_pct DESC, sale_date, sale_price DESC) = 1",
     *BACKTEST,
 )
 _stable = """SELECT stock, max(stock_valuation_date) AS last_date,

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.inputs import SPLIT, TICKERS, new, old, order_bars, part_bars, staging_wide, table
+from catalog.inputs import SPLIT, STEP_DAY, TICKERS, new, old, order_bars, part_bars, staging_wide, table
 from streakline.config import IndicatorParams
 from streakline.families import AVERAGE, FAMILIES, HIGH_LOW, MOVING_AVG, BucketFamily
 from streakline.functions.calendar import instant_utc, next_business_day, prev_business_day
@@ -21,7 +22,7 @@ from streakline.session import scratch_path
 from streakline.sources import bars as bar_source
 from streakline.sources.dims import dim
 from streakline.sources.landing import append_rows, pivot_wide, read_wide_csv, write_wide_csv
-from streakline.streaming.streaks import closed_day_bars, last_batch, start_streaks
+from streakline.streaming.streaks import closed_day_bars, flush, last_batch, start_streaks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,6 +68,16 @@ def old_and_next(days: DataFrame, family: BucketFamily = HIGH_LOW) -> tuple[Data
     return metric, indicators.snapshot_columns(first)
 
 
+def old_and_day(days: DataFrame, family: BucketFamily = HIGH_LOW) -> tuple[DataFrame, DataFrame]:
+    """The stored mart up to the day before ``STEP_DAY``, and the snapshot of that one day."""
+    spark = days.sparkSession
+    days = marts.write_and_read(days, scratch_path(spark, "days"))
+    day = F.lit(STEP_DAY).cast("date")
+    metric = streaks.metric_full(days.where(F.col("stock_valuation_date") < day), family)
+    snapshot = indicators.snapshot_columns(days.where(F.col("stock_valuation_date") == day))
+    return marts.write_and_read(metric, scratch_path(spark, family.mart)), snapshot
+
+
 # --- scans, landing, dimensions -------------------------------------------------------------------
 
 
@@ -83,8 +94,7 @@ def _(spark, sf_dir):
 
 @query("bars_full_history")
 def _(spark, sf_dir):
-    span = "1995-01-01", "2001-07-01"
-    return bar_source.bars_full_history(order_bars(spark, sf_dir, *span), *span)
+    return bar_source.bars_full_history(order_bars(spark, sf_dir))
 
 
 @query("bars_yesterday")
@@ -194,7 +204,7 @@ def _(spark, sf_dir):
 @query("ingest")
 def _(spark, sf_dir):
     live = cleaning.typed_bars(_long_text(spark, sf_dir)).where(F.col("stock_valuation_date") < F.lit(SPLIT))
-    return marts.ingest(staging_wide(spark, sf_dir), TICKERS, live)
+    return marts.ingest(staging_wide(spark, sf_dir), TICKERS, live).live
 
 
 @query("late_rows")
@@ -346,6 +356,28 @@ def _(spark, sf_dir):
     return incremental.advance_many_days(*stored_mart_and_new_days(days), HIGH_LOW)
 
 
+def _with_gaps(spark, sf_dir):
+    """Part bars of which every fifth one, by a hash, has no price."""
+    gap = F.pmod(F.unix_date("stock_valuation_date") * 7 + F.col("stock").cast("bigint"), F.lit(5)) == 0
+    return part_bars(spark, sf_dir).withColumn("close_value", F.when(~gap, F.col("close_value")))
+
+
+NULL_BREAKS = IndicatorParams(null_policy="null")
+
+
+@query("part_metric_full_null")
+def _(spark, sf_dir):
+    return streaks.metric_full(indicators.classified(_with_gaps(spark, sf_dir), NULL_BREAKS), HIGH_LOW)
+
+
+@query("part_advance_many_days_null")
+def _(spark, sf_dir):
+    days = indicators.classified(_with_gaps(spark, sf_dir), NULL_BREAKS).select(*KEYS, HIGH_LOW.bucket_column, HIGH_LOW.run_column)
+    days = marts.write_and_read(days, scratch_path(spark, "days"))
+    metric = marts.write_and_read(streaks.metric_full(old(days), HIGH_LOW), scratch_path(spark, HIGH_LOW.mart))
+    return incremental.advance_many_days(metric, new(days), HIGH_LOW, old(days))
+
+
 @query("streak_extremes")
 def _(spark, sf_dir):
     days = indicators.classified(order_bars(spark, sf_dir), carry=("high_value", "low_value"))
@@ -373,22 +405,22 @@ def _(spark, sf_dir):
 
 
 def _trailing_and_snapshot(days: DataFrame) -> tuple[DataFrame, DataFrame]:
-    metric, snapshot = old_and_next(days)
+    metric, snapshot = old_and_day(days)
     return incremental.trailing_streaks(metric), incremental.snapshot_with_key(snapshot, HIGH_LOW)
 
 
 def _register_increment_steps(prefix: str, days_of: Query) -> None:
     @query(f"{prefix}closed_streaks")
     def _(spark, sf_dir):
-        return incremental.closed_streaks(*old_and_next(days_of(spark, sf_dir)))
+        return incremental.closed_streaks(*old_and_day(days_of(spark, sf_dir)))
 
     @query(f"{prefix}trailing_streaks")
     def _(spark, sf_dir):
-        return incremental.trailing_streaks(old_and_next(days_of(spark, sf_dir))[0])
+        return incremental.trailing_streaks(old_and_day(days_of(spark, sf_dir))[0])
 
     @query(f"{prefix}trailing_streaks_by_day")
     def _(spark, sf_dir):
-        return incremental.trailing_streaks(*old_and_next(days_of(spark, sf_dir)))
+        return incremental.trailing_streaks(*old_and_day(days_of(spark, sf_dir)))
 
     @query(f"{prefix}snapshot_with_key")
     def _(spark, sf_dir):
@@ -430,6 +462,31 @@ def _(spark, sf_dir):
     return indicators.classify_increment(tail, new(bars)).withColumn("stddev_90", F.round("stddev_90", 4))
 
 
+STORE_CUTS = ("1997-01-01", "1998-07-01", "2000-01-01", "2001-01-01")
+
+
+def _register_store(family: BucketFamily) -> None:
+    @query(f"part_store_{family.name}")
+    def _(spark, sf_dir):
+        """Five batches over stored state. From the second on each brings, besides its own span, the
+        month before with other prices, which lies behind the stored days and changes nothing. Most
+        stocks are idle in some batch, some appear late."""
+        bars = marts.write_and_read(part_bars(spark, sf_dir).select(*KEYS, "close_value"), scratch_path(spark, "bars"))
+        store = StreakStore(spark, scratch_path(spark, "store"), (family,))
+        edges = (None, *STORE_CUTS, None)
+        for batch, (start, end) in enumerate(zip(edges, edges[1:], strict=False)):
+            span = bar_source.bars_in_range(bars, start, end)
+            if start:
+                before = bar_source.in_range(bars, "stock_valuation_date", date.fromisoformat(start) - timedelta(days=30), start)
+                span = span.unionByName(before.withColumn("close_value", (F.col("close_value") + 1).cast("decimal(12,4)")))
+            store.apply(batch, span)
+        return store.metric(family, len(STORE_CUTS))
+
+
+for _family in FAMILIES:
+    _register_store(_family)
+
+
 # --- alerts ---------------------------------------------------------------------------------------
 
 
@@ -492,10 +549,6 @@ def _keyed(spark, sf_dir):
     return backtest.keyed_days(order_days(spark, sf_dir))
 
 
-def _trades(spark, sf_dir):
-    return backtest.strategy_trades(backtest.signals(_keyed(spark, sf_dir)))
-
-
 @query("ticker_filter")
 def _(spark, sf_dir):
     return backtest.ticker_filter(_keyed(spark, sf_dir), TICKERS[1]).drop("streak_run")
@@ -521,15 +574,15 @@ def _(spark, sf_dir):
     return backtest.round_trips(backtest.signals(_keyed(spark, sf_dir)))
 
 
-@query("strategy_trades")
+@query("streak_trades")
 def _(spark, sf_dir):
-    return _trades(spark, sf_dir).drop("purchase_run", "sale_run")
+    return backtest.streak_trades(backtest.signals(_keyed(spark, sf_dir))).drop("purchase_run", "sale_run")
 
 
-@query("part_strategy_trades")
+@query("part_streak_trades")
 def _(spark, sf_dir):
     days = backtest.keyed_days(part_days(spark, sf_dir))
-    return backtest.strategy_trades(backtest.signals(days)).drop("purchase_run", "sale_run")
+    return backtest.streak_trades(backtest.signals(days)).drop("purchase_run", "sale_run")
 
 
 @query("part_round_trips")
@@ -612,9 +665,10 @@ def _(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     # A glob, because a stream takes no plain path to a single file.
     ticks = spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet")
-    ticks = ticks.withColumn("ts", instant_utc(F.col("ts")))
-    bars = closed_day_bars(ticks, F.col("event_type"), "ts", F.col("value"), F.col("event_id"))
+    columns = F.col("event_type"), "ts", F.col("value"), F.col("event_id")
+    bars = closed_day_bars(ticks.withColumn("ts", instant_utc(F.col("ts"))), *columns)
     store = StreakStore(spark, scratch_path(spark, "streaks"), (HIGH_LOW,))
     stream = start_streaks(bars, store, scratch_path(spark, "checkpoint"))
     stream.awaitTermination()
-    return store.metric(HIGH_LOW, last_batch(stream))
+    finished = table(spark, sf_dir, "events").withColumn("ts", instant_utc(F.col("ts")))
+    return store.metric(HIGH_LOW, flush(store, last_batch(stream), finished, *columns))

@@ -8,10 +8,6 @@ from decimal import Decimal
 # Upper bounds of the first four position buckets, as shares of the record range.
 POSITION_BOUNDS = (Decimal("0.20"), Decimal("0.40"), Decimal("0.60"), Decimal("0.87"))
 
-# Bounds of the full back-fill, end exclusive.
-HISTORY_START = "2005-08-01"
-HISTORY_END = "2026-08-01"
-
 FIELDS = ("close", "high", "low", "open", "volume")
 
 

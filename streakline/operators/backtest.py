@@ -1,20 +1,15 @@
-"""Back-test of the two-bucket strategy on classified days.
+"""Back-test of the two-bucket strategy on classified days, in set operations.
 
 Buy after two days in ``higher_range``, at the second day's close; sell after
 two days in ``near_record_high`` that both lie over the purchase price, at
-the second day's close. Only executed trades depend on earlier ones; all
-other steps are set operations.
+the second day's close. Each ``higher_range`` streak is bought once, with the
+same capital, and each purchase ends with its first better sale.
 """
 
 from __future__ import annotations
 
-import sys
-from bisect import bisect_left
-from collections.abc import Callable, Iterable, Iterator
-from decimal import ROUND_HALF_UP, Context, Decimal
+from decimal import Decimal
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,21 +18,20 @@ from streakline.families import HIGH_LOW
 from streakline.operators.indicators import by_day
 from streakline.operators.streaks import with_key
 
-# The two Python steps travel to the executors with the plan; the package need not be installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 KEY = HIGH_LOW.key_column
 BUY_KEY, SELL_KEY = 4, 5
-START_CASH = Decimal(10_000)
+CAPITAL = Decimal(10_000)
+BLOCK = 32
 
 
 def streak_days(live: DataFrame, metric: DataFrame, key_column: str = KEY) -> DataFrame:
     """Live days joined with the streak they lie in (``start_date <= day <= end_date``).
 
-    Streaks of a stock do not overlap (``quality.streak_shape`` checks it), so
-    the only candidate for a day is the last streak begun by then. Both sides
-    are merged in day order in one pass: linear, whatever the lengths, where
-    an interval condition would compare every day with every streak.
+    Streaks of a stock do not overlap, so the only candidate for a day is the
+    last streak begun by then; overlapping ones are an error, found on the way.
+    Both sides are merged in day order in one pass: linear, whatever the
+    lengths, where an interval condition would compare every day with every
+    streak.
     """
     columns = [key_column, "start_date", "end_date", "day_length"]
     bars = live.select("stock", "stock_valuation_date", "close_value", F.lit(True).alias("_is_bar"))
@@ -49,10 +43,16 @@ def streak_days(live: DataFrame, metric: DataFrame, key_column: str = KEY) -> Da
         .orderBy("stock_valuation_date", "_is_bar")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    merged = bars.unionByName(begun, allowMissingColumns=True).withColumn(
-        "_streak", F.last("_begun", ignorenulls=True).over(in_order)
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    merged = bars.unionByName(begun, allowMissingColumns=True).withColumns(
+        {
+            "_streak": F.last("_begun", ignorenulls=True).over(in_order),
+            "_ended": F.max("_begun.end_date").over(before),
+        }
     )
-    inside = F.col("_is_bar") & (F.col("stock_valuation_date") <= F.col("_streak.end_date"))
+    overlap = ~F.col("_is_bar") & (F.col("_ended") >= F.col("stock_valuation_date"))
+    fault = F.raise_error(F.concat(F.lit("streaks overlap: "), F.concat_ws(", ", "stock", F.col("stock_valuation_date").cast("string"))))
+    inside = F.when(overlap, fault.cast("boolean")).otherwise(F.col("_is_bar") & (F.col("stock_valuation_date") <= F.col("_streak.end_date")))
     return merged.where(inside).select(
         "stock", "stock_valuation_date", "close_value", *(F.col(f"_streak.{name}") for name in columns)
     )
@@ -139,142 +139,79 @@ def signals(days: DataFrame) -> DataFrame:
     return both.select(*_signal_columns(), (F.col(KEY) == BUY_KEY).alias("is_buy"), floor.alias("floor_price"))
 
 
-def _units(name: str) -> Column:
-    """A price as a whole number of 1/10000; fits 64 bits, so Python sees plain integers."""
-    return (F.col(name) * 10_000).cast("bigint").alias(name)
-
-
-def _signal_numbers(candidates: DataFrame, *order: Column) -> DataFrame:
-    """Signals as plain numbers, each stock's rows together and in the given order.
-
-    The Python steps below read them batch by batch and keep only a small state
-    for the stock at hand, so no history has to fit in memory at once.
-    """
-    numbers = candidates.select(
-        "stock",
-        F.unix_date("signal_date").alias("signal_day"),
-        F.unix_date("trade_date").alias("trade_day"),
-        _units("price"),
-        "is_buy",
-        F.coalesce((F.col("floor_price") * 10_000).cast("bigint"), F.lit(0)).alias("floor_price"),
-        "streak_run",
+def _numbered(candidates: DataFrame) -> DataFrame:
+    """Signals with ``k``: a sell's number in its stock, a buy's number of the next sell; and the numbers of its
+    block of ``BLOCK`` sells and of its block of blocks."""
+    earlier = Window.partitionBy("stock").orderBy("signal_date").rowsBetween(Window.unboundedPreceding, -1)
+    k = F.coalesce(F.sum((~F.col("is_buy")).cast("int")).over(earlier), F.lit(0))
+    return candidates.withColumn("k", k).withColumns({"block": F.floor(F.col("k") / BLOCK), "super": F.floor(F.col("k") / BLOCK**2)})
+
+
+def _first_better_sale(numbered: DataFrame) -> DataFrame:
+    """Buys with ``sale``, the first later sell whose floor beats the price.
+
+    Only the buy's own block, the first later block of the same super-block whose highest floor beats the price, and
+    the first such block of the first such super-block can hold it. Each step compares a buy with at most ``BLOCK``
+    maxima (37 on the last level: a stock has one sell a day), whatever the length of the history."""
+    place = ["stock", "signal_date"]
+    buys = numbered.where("is_buy").select("stock", "signal_date", "trade_date", "price", "streak_run", "k", "block", "super")
+    sells = numbered.where("not is_buy")
+    sold = F.struct("k", "signal_date", "trade_date", "price", "streak_run").alias("sale")
+    blocks = sells.groupBy("stock", "super", "block").agg(F.max("floor_price").alias("top"))
+    supers = blocks.groupBy("stock", "super").agg(F.max("top").alias("top"))
+
+    ahead = buys.alias("b").join(supers.alias("u"), F.expr("b.stock = u.stock and u.super > b.super and u.top > b.price"))
+    next_super = ahead.groupBy("b.stock", "b.signal_date").agg(F.min("u.super").alias("next_super"))
+    wide = buys.join(next_super, place, "left").withColumn("look", F.explode(F.array_compact(F.array("super", "next_super"))))
+    ahead = wide.alias("b").join(
+        blocks.alias("u"), F.expr("b.stock = u.stock and b.look = u.super and u.block > b.block and u.top > b.price")
     )
-    return numbers.repartition("stock").sortWithinPartitions("stock", *order)
-
-
-def _rows(batch: pd.DataFrame) -> Iterator[tuple]:
-    return zip(*(batch[name].tolist() for name in batch.columns), strict=True)
-
-
-def _price(units: str) -> Column:
-    return (F.col(units).cast("decimal(16,0)") / F.lit(10_000)).cast(schemas.PRICE)
-
-
-_TRIP_COLUMNS = ["stock", "buy_day", "buy_price", "sell_day", "sell_price"]
-_TRIP_SCHEMA = "stock string, buy_day int, buy_price bigint, sell_day int, sell_price bigint"
-
-
-def _first_better_sale(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Reads each stock backwards. Of the sells met so far only those no earlier sell outbids are
-    kept; their floors rise with time, so a buy finds its sell by bisection."""
-    current, negated_floors, sells = None, [], []
-    for batch in batches:
-        trips = []
-        for stock, _, trade_day, price, is_buy, floor, _ in _rows(batch):
-            if stock != current:
-                current, negated_floors, sells = stock, [], []
-            if is_buy:
-                beating = bisect_left(negated_floors, -price)
-                if beating:
-                    trips.append((stock, trade_day, price, *sells[beating - 1]))
-            else:
-                while negated_floors and -negated_floors[-1] <= floor:
-                    negated_floors.pop()
-                    sells.pop()
-                negated_floors.append(-floor)
-                sells.append((trade_day, price))
-        yield pd.DataFrame(trips, columns=_TRIP_COLUMNS)
+    next_block = ahead.groupBy("b.stock", "b.signal_date").agg(F.min("u.block").alias("next_block"))
+    wide = buys.join(next_block, place, "left").withColumn("look", F.explode(F.array_compact(F.array("block", "next_block"))))
+    ahead = wide.alias("b").join(
+        sells.select("stock", "block", "floor_price", sold).alias("s"),
+        F.expr("b.stock = s.stock and b.look = s.block and s.sale.k >= b.k and s.floor_price > b.price"),
+    )
+    first = ahead.groupBy("b.stock", "b.signal_date").agg(F.min("s.sale").alias("sale"))
+    return buys.join(first, place, "left")
 
 
 def round_trips(candidates: DataFrame) -> DataFrame:
-    """For every buy candidate the first later sell candidate that beats its price.
-
-    ``candidates`` are ``signals``. The search visits no pairs.
-    """
-    backwards = _signal_numbers(candidates, F.desc("signal_day"))
-    return backwards.mapInPandas(_first_better_sale, _TRIP_SCHEMA).select(
-        "stock",
-        F.date_from_unix_date("buy_day").alias("purchased_date"),
-        _price("buy_price").alias("purchased_price"),
-        F.date_from_unix_date("sell_day").alias("sale_date"),
-        _price("sell_price").alias("sale_unit_price"),
+    """For every buy candidate the first later sell candidate that beats its price. ``candidates`` are ``signals``."""
+    return (
+        _first_better_sale(_numbered(candidates))
+        .where(F.col("sale").isNotNull())
+        .select(
+            "stock",
+            F.col("trade_date").alias("purchased_date"),
+            F.col("price").alias("purchased_price"),
+            F.col("sale.trade_date").alias("sale_date"),
+            F.col("sale.price").alias("sale_unit_price"),
+        )
     )
 
 
-_BOUGHT = ["stock", "trade_no", "shares", "buy_signal_day", "buy_day", "buy_price", "buy_run"]
-_SOLD = ["sell_signal_day", "sell_day", "sell_price", "sell_run", "proceeds"]
-_TRADE_SCHEMA = (
-    "stock string, trade_no int, shares decimal(38,3), "
-    "buy_signal_day int, buy_day int, buy_price bigint, buy_run bigint, "
-    "sell_signal_day int, sell_day int, sell_price bigint, sell_run bigint, proceeds decimal(38,7)"
-)
-_EXACT = Context(prec=76, rounding=ROUND_HALF_UP)
-_MILLI = Decimal("0.001")
-
-
-def _trader(start_cash: Decimal) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Alternating purchases and sales from flat; all cash goes into each purchase."""
-    never_sold = (None,) * len(_SOLD)
-
-    def frame(trades: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(trades, columns=_BOUGHT + _SOLD, dtype="object")
-
-    def trade(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, position = None, None
-        for batch in batches:
-            done = []
-            for stock, signal_day, trade_day, price, is_buy, floor, run in _rows(batch):
-                if stock != current:
-                    if position:
-                        done.append(position + never_sold)
-                    current, position, cash, count = stock, None, start_cash, 0
-                unit = Decimal(price).scaleb(-4, _EXACT)
-                if is_buy and position is None and price > 0:
-                    count += 1
-                    shares = _EXACT.divide(cash, unit).quantize(_MILLI, context=_EXACT)
-                    position = (stock, count, shares, signal_day, trade_day, price, run)
-                elif not is_buy and position and floor > position[5]:
-                    cash = _EXACT.multiply(position[2], unit)
-                    done.append((*position, signal_day, trade_day, price, run, cash))
-                    position = None
-            yield frame(done)
-        if position:
-            yield frame([position + never_sold])
-
-    return trade
-
-
-def strategy_trades(candidates: DataFrame, start_cash: Decimal = START_CASH) -> DataFrame:
-    """Executed trades per stock: one position at a time, cash reinvested, shares rounded half up
-    to three digits. A position never sold has NULL sale columns.
-
-    Each trade depends on the one before, so a stock's signals are read in
-    order by one task; only signal days, not all days, reach Python.
-    """
-    forwards = _signal_numbers(candidates, F.col("signal_day"))
-    return forwards.mapInPandas(_trader(start_cash), _TRADE_SCHEMA).select(
+def streak_trades(candidates: DataFrame, capital: Decimal = CAPITAL) -> DataFrame:
+    """One trade per ``higher_range`` streak: its first buy signal, and the first better sale after it.
+
+    Every trade starts with ``capital``; shares are rounded half up to three digits. A purchase never
+    sold has NULL sale columns."""
+    numbered = _numbered(candidates)
+    in_streak = Window.partitionBy("stock", "streak_run", "is_buy").orderBy("signal_date")
+    first = numbered.withColumn("_nth", F.row_number().over(in_streak)).where("not is_buy or (_nth = 1 and price > 0)").drop("_nth")
+    shares = F.round(F.lit(capital).cast("decimal(12,4)") / F.col("price"), 3).cast("decimal(20,3)")
+    return _first_better_sale(first).select(
         "stock",
-        "trade_no",
-        "shares",
-        F.date_from_unix_date("buy_signal_day").alias("purchase_signal_date"),
-        F.date_from_unix_date("buy_day").alias("purchased_date"),
-        _price("buy_price").alias("purchased_price"),
-        F.col("buy_run").alias("purchase_run"),
-        F.date_from_unix_date("sell_signal_day").alias("sale_signal_date"),
-        F.date_from_unix_date("sell_day").alias("sale_date"),
-        _price("sell_price").alias("sale_unit_price"),
-        F.col("proceeds").alias("sale_price"),
-        F.col("sell_run").alias("sale_run"),
+        shares.alias("shares"),
+        F.col("signal_date").alias("purchase_signal_date"),
+        F.col("trade_date").alias("purchased_date"),
+        F.col("price").alias("purchased_price"),
+        F.col("streak_run").alias("purchase_run"),
+        F.col("sale.signal_date").alias("sale_signal_date"),
+        F.col("sale.trade_date").alias("sale_date"),
+        F.col("sale.price").alias("sale_unit_price"),
+        (shares * F.col("sale.price")).cast("decimal(38,7)").alias("sale_price"),
+        F.col("sale.streak_run").alias("sale_run"),
     )
 
 
@@ -340,8 +277,8 @@ def sale_breakdown(trades: DataFrame, days: DataFrame) -> DataFrame:
     )
 
 
-def _worst(breakdown: DataFrame, percent: str, day: str) -> DataFrame:
-    order = Window.partitionBy("stock").orderBy(F.desc(percent), day)
+def _worst(breakdown: DataFrame, percent: str, *ties: str | Column) -> DataFrame:
+    order = Window.partitionBy("stock").orderBy(F.desc(percent), *ties)
     return breakdown.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
@@ -351,8 +288,8 @@ def max_drawdown(purchases: DataFrame) -> DataFrame:
 
 
 def max_increment(sales: DataFrame) -> DataFrame:
-    """Each stock's sale that left the most on the table."""
-    return _worst(sales, "potential_increment_pct", "sale_date")
+    """Each stock's sale that left the most on the table; of equal ones the first, then the largest."""
+    return _worst(sales, "potential_increment_pct", "sale_date", F.desc("sale_price"))
 
 
 def stable_stocks(days: DataFrame, months: int = 36) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -102,9 +103,16 @@ def late_rows(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Merge on ``keys``: matched rows are replaced, others inserted. ``source`` is unique on them."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns)
-    return kept.unionByName(source.select(*target.columns))
+    """Merge on ``keys``: matched rows are replaced, others inserted. A key that ``source`` has
+    twice is an error; NULL keys match nothing.
+
+    One pass over both sides: they meet in one window per key, and each source row counts once."""
+    both = target.withColumn("_new", F.lit(0)).unionByName(source.select(*target.columns).withColumn("_new", F.lit(1)))
+    known = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    incoming = F.when(known, F.sum("_new").over(Window.partitionBy(*keys))).otherwise(0)
+    twice = F.concat(F.lit("the source has twice the key "), F.concat_ws(", ", *(F.col(k).cast("string") for k in keys)))
+    kept = F.when(F.col("_incoming") > 1, F.raise_error(twice).cast("boolean")).otherwise((F.col("_new") == 1) | (F.col("_incoming") == 0))
+    return both.withColumn("_incoming", incoming).where(kept).select(*target.columns)
 
 
 def upsert_live(target: DataFrame, source: DataFrame, allow_corrections: bool = True) -> DataFrame:

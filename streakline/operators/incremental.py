@@ -130,11 +130,11 @@ def advance(
     stored rows pass through unchanged.
 
     Under ``null_policy="null"`` days without a bucket end a streak. Those
-    among ``new_days`` are seen; ``last_days`` (stock and newest classified
-    day so far) tells of those after the stored streaks.
+    among ``new_days`` are seen wherever they lie; ``last_days`` (stock and
+    newest classified day so far) tells of those after the stored streaks.
     """
     key = family.key_column
-    fresh = with_key(new_days, family).select(
+    fresh = with_key(new_days, family, keep_missing=True).select(
         "stock",
         key,
         F.col("stock_valuation_date").alias("start_date"),
@@ -158,8 +158,10 @@ def advance(
     runs = later.withColumn("_changed", (~same).cast("int")).withColumn(
         "_run", F.sum("_changed").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
+    # Days without a bucket have parted the runs; they are in none themselves.
     folded = (
-        runs.groupBy("stock", "_run", key)
+        runs.where(F.col(key).isNotNull())
+        .groupBy("stock", "_run", key)
         .agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"))
         .withColumn("day_length", calendar_length(F.col("start_date"), F.col("end_date")))
         .withColumn("is_open", F.lead("_run").over(by_stock.orderBy("_run")).isNull())
@@ -175,16 +177,21 @@ def advance(
     )
 
 
-def advance_many_days(metric: DataFrame | None, new_days: DataFrame, family: BucketFamily) -> DataFrame:
+def advance_many_days(
+    metric: DataFrame | None, new_days: DataFrame, family: BucketFamily, last_days: DataFrame | None = None
+) -> DataFrame:
     """The whole mart after ``new_days``, in one pass over its rows and the new days; without a
-    mart the full build. A table too large to pass over is kept as a ``StreakStore``."""
+    mart the full build. A table too large to pass over is kept as a ``StreakStore``.
+    ``last_days`` is needed under ``null_policy="null"``, as in ``advance``."""
     if metric is None:
         return metric_full(new_days, family)
-    return advance(metric, new_days, family).drop("is_open")
+    return advance(metric, new_days, family, last_days).drop("is_open")
 
 
-def build_or_advance(metric: DataFrame | None, new_days: DataFrame, family: BucketFamily) -> DataFrame:
+def build_or_advance(
+    metric: DataFrame | None, new_days: DataFrame, family: BucketFamily, last_days: DataFrame | None = None
+) -> DataFrame:
     """Picks the full build for a missing or empty mart after looking at one row of it."""
     if metric is None or metric.isEmpty():
         return metric_full(new_days, family)
-    return advance_many_days(metric, new_days, family)
+    return advance_many_days(metric, new_days, family, last_days)

@@ -250,13 +250,21 @@ def classify_increment(tail: DataFrame, new_bars: DataFrame, params: IndicatorPa
 def last_snapshot(classified_days: DataFrame) -> DataFrame:
     """The newest classified row of each stock, in snapshot columns.
 
-    Looks ahead in the order the rows already have instead of sorting again.
+    Looks ahead in the order that freshly classified rows already have instead of sorting again;
+    ``last_snapshot_of_stored`` is the way for a table.
     """
     following = F.lead("stock_valuation_date").over(by_day())
     newest = classified_days.withColumn("_next", following).where(F.col("_next").isNull())
     return snapshot_columns(newest)
 
 
+def last_snapshot_of_stored(classified_days: DataFrame) -> DataFrame:
+    """The same from a stored table: each task sends one row per stock, nothing is sorted by day."""
+    whole = F.struct(*classified_days.columns)
+    newest = classified_days.groupBy("stock").agg(F.max_by(whole, "stock_valuation_date").alias("_newest"))
+    return snapshot_columns(newest.select("_newest.*"))
+
+
 def snapshot_columns(days: DataFrame) -> DataFrame:
     return days.select(
         surrogate_id(F.col("stock_valuation_date"), F.col("stock")).alias("id"),

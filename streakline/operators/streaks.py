@@ -26,12 +26,15 @@ def streaks(days: DataFrame, family: BucketFamily) -> DataFrame:
     )
 
 
-def with_key(df: DataFrame, family: BucketFamily) -> DataFrame:
-    """Adds the bucket's dimension id. A name the dimension lacks drops the row (inner join)."""
-    ids = dim(df.sparkSession, family).select(
-        F.col("id").alias(family.key_column), F.col("bucket_name").alias(family.bucket_column)
-    )
-    return df.join(F.broadcast(ids), family.bucket_column)
+def with_key(df: DataFrame, family: BucketFamily, keep_missing: bool = False) -> DataFrame:
+    """Adds the bucket's dimension id. A name the dimension lacks is an error. Rows without a
+    bucket are left out, or kept without an id (``keep_missing``)."""
+    ids = dim(df.sparkSession, family).select(F.col("id").alias("_id"), F.col("bucket_name").alias(family.bucket_column))
+    named = F.col(family.bucket_column).isNotNull()
+    unknown = F.concat(F.lit(f"{family.dim} lacks "), family.bucket_column)
+    key = F.when(named & F.col("_id").isNull(), F.raise_error(unknown).cast("int")).otherwise(F.col("_id"))
+    rows = df if keep_missing else df.where(named)
+    return rows.join(F.broadcast(ids), family.bucket_column, "left").withColumn(family.key_column, key).drop("_id")
 
 
 def metric_columns(df: DataFrame, family: BucketFamily) -> DataFrame:

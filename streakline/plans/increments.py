@@ -9,6 +9,7 @@ again. Work per batch follows the new days plus a bounded tail per stock.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,7 @@ class StreakStore:
 
         if batch == 0:
             days = classified(incoming, self.params)
+            self._write(incoming.limit(0), "late", batch)
         else:
             tail = self._read("tail", schemas.CLASSIFIED, batch - 1)
             days = classify_increment(tail, incremental_filter(incoming, tail), self.params)
@@ -91,6 +93,11 @@ class StreakStore:
         """Each stock's current streak as of ``batch``."""
         return self._read(family.mart, self._streak_schema(family), batch).where("is_open = 1").drop("is_open")
 
+    def newest_day(self, batch: int) -> date | None:
+        """The newest day taken in by ``batch``, from the tail alone."""
+        tail = self._read("tail", schemas.CLASSIFIED, batch)
+        return tail.agg(F.max("stock_valuation_date").alias("day")).first()["day"]
+
     def days(self, batch: int) -> DataFrame:
         schema = _plus(schemas.CLASSIFIED, "batch")
         return self._read("days", schema).where(F.col("batch") <= batch).select(*CLASSIFIED_COLUMNS)

@@ -12,10 +12,27 @@ from streakline.operators import alerts, backtest, cleaning, indicators, streaks
 from streakline.session import scratch_path
 
 
-def ingest(landing: DataFrame, tickers: tuple[str, ...], live: DataFrame | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Ingested:
+    """``live``: the new live table. ``late``: bars behind their stock's newest day that live does not
+    hold. ``rejected``: texts that do not cast. Nothing that lands is in none of them."""
+
+    live: DataFrame
+    late: DataFrame
+    rejected: DataFrame
+
+
+def ingest(landing: DataFrame, tickers: tuple[str, ...], live: DataFrame | None = None) -> Ingested:
     """Landing rows to the new live table: dedup, melt, type, filter by high-water mark, merge."""
-    bars = cleaning.typed_bars(cleaning.unpivot_live(cleaning.dedup_by_date(landing), tickers))
-    return bars if live is None else cleaning.upsert_live(live, bars, allow_corrections=False)
+    return ingest_long(cleaning.unpivot_live(cleaning.dedup_by_date(landing), tickers), live)
+
+
+def ingest_long(long_text: DataFrame, live: DataFrame | None = None) -> Ingested:
+    """The same from text rows of one stock and day each, for any number of stocks."""
+    bars, rejected = cleaning.typed_bars(long_text), cleaning.rejected_rows(long_text)
+    if live is None:
+        return Ingested(bars, bars.limit(0), rejected)
+    return Ingested(cleaning.upsert_live(live, bars, allow_corrections=False), cleaning.late_rows(bars, live), rejected)
 
 
 def classified_table(live: DataFrame, path: str | None = None, params: IndicatorParams | None = None) -> DataFrame:
@@ -50,5 +67,5 @@ class BackTest:
 def run_backtest(days: DataFrame) -> BackTest:
     """Trades and their two breakdowns for every stock in ``days`` (classified)."""
     keyed = backtest.keyed_days(days)
-    trades = backtest.strategy_trades(backtest.signals(keyed))
+    trades = backtest.streak_trades(backtest.signals(keyed))
     return BackTest(trades, backtest.purchase_breakdown(trades, keyed), backtest.sale_breakdown(trades, keyed))

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streakline import schemas
-from streakline.config import HISTORY_END, HISTORY_START
 from streakline.functions.calendar import next_business_day
 
 
@@ -65,8 +64,8 @@ def bars_in_range(
     return bars if stocks is None else bars.where(F.col("stock").isin(list(stocks)))
 
 
-def bars_full_history(bars: DataFrame, start: str = HISTORY_START, end: str = HISTORY_END) -> DataFrame:
-    """The back-fill window."""
+def bars_full_history(bars: DataFrame, start: str | date | None = None, end: str | date | None = None) -> DataFrame:
+    """The whole history, or a back-fill window of it."""
     return bars_in_range(bars, start, end)
 
 
@@ -83,7 +82,8 @@ def last_saved_date(landing: DataFrame, column: str = "date") -> DataFrame:
 
 
 def next_business_day_slice(bars: DataFrame, last_saved: DataFrame, as_of: str | date | None = None) -> DataFrame:
-    """Bars of the first weekday after ``last_saved.max_date``.
+    """Bars of the first day after ``last_saved.max_date`` that has bars, a weekday: the next
+    weekday, or after a holiday the first one that follows.
 
     A last date after ``as_of`` (default: today) or a missing one is an error
     when the slice is evaluated.
@@ -95,7 +95,9 @@ def next_business_day_slice(bars: DataFrame, last_saved: DataFrame, as_of: str |
         .when(saved > today, F.raise_error(F.lit("last date out of bounds")).cast("date"))
         .otherwise(next_business_day(saved))
     )
-    target = last_saved.select(checked.alias("next_day")).scalar()
+    earliest = last_saved.select(checked.alias("next_day")).scalar()
+    ahead = bars.where((F.col("stock_valuation_date") >= earliest) & (F.weekday("stock_valuation_date") < 5))
+    target = ahead.agg(F.min("stock_valuation_date")).scalar()
     return bars.where(F.col("stock_valuation_date") == target)
 
 

@@ -31,10 +31,12 @@ def register_sources(spark: SparkSession, landing: DataFrame, config: LandingCon
 def rebuild_and_swap(spark: SparkSession, name: str, rebuilt: DataFrame) -> None:
     """Replace table ``name`` by ``rebuilt``, which may read the table itself.
 
-    The new content is complete before the first rename, so a lost job leaves
-    the old table in place.
+    The new content is complete before the first rename. A run lost between the
+    renames leaves the old content as ``<name>_old``; the next one, or
+    ``restore``, brings it back first.
     """
     fresh, old = f"{name}_rebuilt", f"{name}_old"
+    restore(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {fresh}")
     rebuilt.write.format("parquet").saveAsTable(fresh)
     spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
@@ -42,6 +44,15 @@ def rebuild_and_swap(spark: SparkSession, name: str, rebuilt: DataFrame) -> None
     spark.sql(f"DROP TABLE {old}")
 
 
+def restore(spark: SparkSession, name: str) -> None:
+    """Ends a swap that was lost half-way: without table ``name`` its old content returns under
+    that name, with it the leftover goes."""
+    old = f"{name}_old"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(old):
+        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
 def write_by_stock(df: DataFrame, path: str, day: str = "stock_valuation_date", mode: str = "overwrite") -> None:
     """Range layout on (stock, day): neighbours share files, row-group statistics prune both
     columns, and a long history is cut by day instead of filling one file."""
@@ -62,7 +73,8 @@ def save_clustered(df: DataFrame, table: str, buckets: int, day: str = "stock_va
 
 
 def write_by_year(df: DataFrame, path: str, day: str = "stock_valuation_date") -> None:
-    """Year partitions; with dynamic overwrite only the years present in ``df`` are replaced."""
+    """Year partitions; with dynamic overwrite only the years present in ``df`` are replaced, each as a whole: ``df``
+    holds every row of its years."""
     (
         df.withColumn("year", F.year(day))
         .repartitionByRange("year", "stock", day)

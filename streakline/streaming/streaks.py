@@ -17,14 +17,31 @@ def closed_day_bars(
     ticks: DataFrame, stock: Column, ts: str, price: Column, sequence: Column, delay: str = "1 hour"
 ) -> DataFrame:
     """Bars of UTC days the watermark has passed. ``ts`` is the TIMESTAMP column of the stream."""
+    return _close_of_day(ticks.withWatermark(ts, delay), stock, ts, price, sequence)
+
+
+def _close_of_day(ticks: DataFrame, stock: Column, ts: str, price: Column, sequence: Column) -> DataFrame:
     return (
-        ticks.withWatermark(ts, delay)
-        .groupBy(F.window(ts, "1 day"), stock.alias("stock"))
+        ticks.groupBy(F.window(ts, "1 day"), stock.alias("stock"))
         .agg(F.max_by(price, sequence).cast(schemas.PRICE).alias("close_value"))
         .select("stock", utc_day(F.col("window.start")).alias("stock_valuation_date"), "close_value")
     )
 
 
+def flush(
+    store: StreakStore, batch: int, ticks: DataFrame, stock: Column, ts: str, price: Column, sequence: Column
+) -> int:
+    """The end of a source that is finished: bars of the days the watermark never passed.
+
+    ``ticks`` is the same source as a table; only days from the newest one the store holds are read.
+    They become a batch of their own, whose number is returned; a day taken in already stays as it is.
+    """
+    newest = store.newest_day(batch)
+    open_ticks = ticks if newest is None else ticks.where(F.col(ts) >= F.unix_seconds(F.lit(newest).cast("timestamp")).cast("timestamp"))
+    store.apply(batch + 1, _close_of_day(open_ticks, stock, ts, price, sequence))
+    return batch + 1
+
+
 def start_streaks(
     bars: DataFrame,
     store: StreakStore,

@@ -1,13 +1,10 @@
 from __future__ import annotations
 
 import random
-import subprocess
-import sys
 from datetime import date, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from streakline.operators import backtest
@@ -40,12 +37,12 @@ def _day(n):
 
 
 def test_worked_example(make_days):
-    """Buy on day 2 at 9, sell on day 4 at 12; the last pair buys on day 6 at 8 and stays open."""
+    """Buy on day 2 at 9, sell on day 4 at 12; the last streak buys on day 6 at 8 and stays open."""
     days = make_days({"A": list(zip((4, 4, 5, 5, 4, 4, 4), (10, 9, 11, 12, 8, 8, 8), strict=True))})
-    trades = backtest.strategy_trades(backtest.signals(days))
-    first, second = rows(trades, "trade_no", "shares", "purchased_date", "purchased_price", "sale_date", "sale_price")
-    assert first == (1, Decimal("1111.111"), _day(2), Decimal("9.0000"), _day(4), Decimal("13333.3320000"))
-    assert second[:4] == (2, Decimal("1666.667"), _day(6), Decimal("8.0000")) and second[4:] == (None, None)
+    trades = backtest.streak_trades(backtest.signals(days))
+    first, second = rows(trades, "purchased_date", "shares", "purchased_price", "sale_date", "sale_price")
+    assert first == (_day(2), Decimal("1111.111"), Decimal("9.0000"), _day(4), Decimal("13333.3320000"))
+    assert second == (_day(6), Decimal("1250.000"), Decimal("8.0000"), None, None)
 
     bought = rows(backtest.purchase_breakdown(trades, days))
     assert [r[1:8] for r in bought] == [
@@ -67,23 +64,26 @@ def test_last_day_gives_no_signal_and_nulls_never_trade(spark, make_days):
 
 def test_sale_needs_both_days_over_the_cost(make_days):
     days = make_days({"A": [(4, 9), (4, 10), (5, 10), (5, 12), (5, 13)]})
-    (trade,) = rows(backtest.strategy_trades(backtest.signals(days)), "sale_signal_date", "sale_date", "sale_unit_price")
+    (trade,) = rows(backtest.streak_trades(backtest.signals(days)), "sale_signal_date", "sale_date", "sale_unit_price")
     assert trade == (_day(4), _day(5), Decimal("13.0000"))
     assert backtest.sell_candidates(days).count() == 2
     assert backtest.sell_candidates(days, Decimal(10)).count() == 1
 
 
 def _brute_trades(series):
-    """The state machine, one day after the other."""
-    cash, cost, shares, trades = Decimal(10_000), None, None, []
-    for (key, value), (next_key, following) in zip(series, series[1:], strict=False):
-        if key == 4 and next_key == 4 and cost is None:
-            cost = following
-            shares = (cash / cost).quantize(Decimal("0.001"), ROUND_HALF_UP)
-            trades.append([cost, shares, None])
-        elif key == 5 and next_key == 5 and cost is not None and value > cost and following > cost:
-            cash, cost = shares * following, None
-            trades[-1][2] = cash
+    """One day after the other: the first buy of each streak and its first better sale."""
+    trades, bought, run = [], set(), 0
+    for i, ((key, _), (next_key, cost)) in enumerate(zip(series, series[1:], strict=False)):
+        run += i > 0 and series[i - 1][0] != key
+        if key == 4 and next_key == 4 and run not in bought:
+            bought.add(run)
+            shares = (Decimal(10_000) / cost).quantize(Decimal("0.001"), ROUND_HALF_UP)
+            sale = None
+            for (k, v), (after, w) in zip(series[i + 1 :], series[i + 2 :], strict=False):
+                if k == 5 and after == 5 and min(v, w) > cost:
+                    sale = shares * w
+                    break
+            trades.append([cost, shares, sale])
     return trades
 
 
@@ -111,18 +111,13 @@ def random_stocks():
     return stocks
 
 
-@pytest.mark.parametrize("batch_rows", [10_000, 3])
-def test_trades_and_trips_against_brute_force(spark, make_days, random_stocks, batch_rows):
-    """Also with Arrow batches much shorter than a stock's history."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, batch_rows)
-    try:
-        signals = backtest.signals(make_days(random_stocks))
-        trades = backtest.strategy_trades(signals).orderBy("stock", "trade_no").collect()
-        trips = backtest.round_trips(signals).collect()
-    finally:
-        spark.conf.set(key, before)
+@pytest.mark.parametrize("block", [32, 2, 1])
+def test_trades_and_trips_against_brute_force(monkeypatch, make_days, random_stocks, block):
+    """Also with blocks of sells much shorter than a stock's history."""
+    monkeypatch.setattr(backtest, "BLOCK", block)
+    signals = backtest.signals(make_days(random_stocks))
+    trades = backtest.streak_trades(signals).orderBy("stock", "purchased_date").collect()
+    trips = backtest.round_trips(signals).collect()
     for stock, series in random_stocks.items():
         ours = [[t.purchased_price, t.shares, t.sale_price] for t in trades if t.stock == stock]
         assert ours == _brute_trades(series)
@@ -130,18 +125,9 @@ def test_trades_and_trips_against_brute_force(spark, make_days, random_stocks, b
         assert found == _brute_trips(series)
 
 
-def test_python_steps_need_no_installed_package(tmp_path):
-    """Executors unpickle the helpers without being able to import this repository."""
-    for step in (backtest._first_better_sale, backtest._trader(Decimal(1))):
-        file = tmp_path / "step.pickle"
-        file.write_bytes(cloudpickle.dumps(step))
-        code = f"import pickle, sys; pickle.load(open({str(file)!r}, 'rb')); assert 'streakline' not in sys.modules"
-        subprocess.run([sys.executable, "-I", "-c", code], check=True, cwd=tmp_path)
-
-
 def test_no_signals_no_trades(make_days):
     signals = backtest.signals(make_days({"A": [(1, 5), (2, 6), (3, 7)]}))
-    assert backtest.strategy_trades(signals).count() == 0
+    assert backtest.streak_trades(signals).count() == 0
     assert backtest.round_trips(signals).count() == 0
 
 
@@ -166,9 +152,20 @@ def test_streak_days_and_running_extremes(spark, make_bars):
     assert {r[1] for r in running} == {calendar[0], calendar[4]}
 
 
+def test_overlapping_streaks_are_an_error(spark, make_bars):
+    calendar = weekdays("2024-01-01", 4)
+    bars = make_bars([("A", d, 1) for d in calendar])
+    metric = spark.createDataFrame(
+        [("A", 4, calendar[0], calendar[3], 4), ("A", 5, calendar[1], calendar[1], 1)],
+        f"stock string, {backtest.KEY} int, start_date date, end_date date, day_length int",
+    )
+    with pytest.raises(Exception, match="streaks overlap"):
+        backtest.streak_days(bars, metric).collect()
+
+
 def test_worst_rows(make_days):
     days = make_days({"A": [(4, 10), (4, 10), (4, 6), (5, 12), (5, 13), (5, 26)]})
-    trades = backtest.strategy_trades(backtest.signals(days))
+    trades = backtest.streak_trades(backtest.signals(days))
     (worst,) = rows(backtest.max_drawdown(backtest.purchase_breakdown(trades, days)), "drawdown_pct")
     (best,) = rows(backtest.max_increment(backtest.sale_breakdown(trades, days)), "potential_increment_pct")
     assert worst == (40.0,) and best == (100.0,)

@@ -178,11 +178,34 @@ def test_days_without_bucket_end_streaks_in_batches_too(spark, make_bars, tmp_pa
     params = IndicatorParams(null_policy="null")
     whole = rows(streaks.metric_full(indicators.classified(make_bars(all_rows), params), HIGH_LOW))
     assert len(whole) == 4
-    for cuts in ((3, 4), (4, 6), (5, 6), (6, 7)):
+    for cuts in ((3, 4), (3, 6), (5, 8), (6, 7)):
         store = StreakStore(spark, str(tmp_path / f"null{cuts}"), (HIGH_LOW,), params)
         for batch, (start, end) in enumerate(zip((0, *cuts), (*cuts, 9), strict=True)):
             store.apply(batch, make_bars(all_rows[start:end]))
         assert rows(store.metric(HIGH_LOW, 2)) == whole, cuts
+    assert store.late(0).count() == 0
+
+
+def test_any_cuts_give_the_rebuild_under_the_null_policy(spark, make_bars):
+    """All pairs of cuts of nine days, a stock for each, so that one plan tries them all at once."""
+    calendar = weekdays("2024-01-01", 9)
+    closes = (1, 9, 9, None, 9, None, 9, 9, 9)
+    pairs = [(a, b) for a in range(1, 9) for b in range(a, 9)]
+    bars = make_bars([(f"{a}-{b}", d, c) for a, b in pairs for d, c in zip(calendar, closes, strict=True)])
+    days = indicators.classified(bars, IndicatorParams(null_policy="null")).cache()
+    place = F.datediff("stock_valuation_date", F.lit(calendar[0])) - 2 * (F.datediff("stock_valuation_date", F.lit(calendar[0])) >= 7).cast("int")
+    first, second = (F.split("stock", "-")[i].cast("int") for i in (0, 1))
+    parts = [days.where(place < first), days.where((place >= first) & (place < second)), days.where(place >= second)]
+    for family in FAMILIES:
+        whole = rows(streaks.metric_full(days, family))
+        by_steps = incremental.advance_many_days(streaks.metric_full(parts[0], family), parts[1], family, parts[0])
+        by_steps = incremental.advance_many_days(by_steps, parts[2], family, parts[0].unionByName(parts[1]))
+        assert rows(by_steps) == whole
+        open_ = incremental.advance(None, parts[0], family)
+        then = incremental.advance(open_.drop("is_open"), parts[1], family, parts[0])
+        last = incremental.advance(then.drop("is_open"), parts[2], family, parts[0].unionByName(parts[1]))
+        assert rows(last.drop("is_open")) == whole
+    days.unpersist()
 
 
 def test_store_keeps_late_bars_apart(spark, make_bars, tmp_path):

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -41,7 +43,9 @@ def test_relationships_both_ways(spark):
     days = spark.createDataFrame([("mid_range",), ("sideways",), (None,)], f"{HIGH_LOW.bucket_column} string")
     missing = quality.relationships(days, HIGH_LOW.bucket_column, names, "bucket_name")
     assert rows(missing) == [("sideways",)]
-    assert streaks.with_key(days, HIGH_LOW).count() == 1
+    assert streaks.with_key(days.where("highest_lowest_valuation <> 'sideways'"), HIGH_LOW).count() == 1
+    with pytest.raises(Exception, match="lacks sideways"):
+        streaks.with_key(days, HIGH_LOW).collect()
 
 
 def test_cover_counts_gaps_and_overlaps(spark, make_bars):

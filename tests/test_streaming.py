@@ -11,7 +11,7 @@ from streakline.families import HIGH_LOW
 from streakline.operators import indicators, streaks
 from streakline.plans.increments import StreakStore
 from streakline.plans.marts import daily_alerts
-from streakline.streaming.streaks import closed_day_bars, last_batch, start_streaks
+from streakline.streaming.streaks import closed_day_bars, flush, last_batch, start_streaks
 from tests.conftest import rows, weekdays
 
 PARAMS = IndicatorParams(band_rows=5, short_rows=2, long_rows=6)
@@ -66,3 +66,6 @@ def test_only_closed_days_become_bars(spark, tmp_path):
     closes = rows(store.days(last_batch(query)), "stock_valuation_date", "stock_value")
     # Ticks run from 1 January 12:00 to 4 January 06:00; the last one of a day closes it.
     assert [(d.day, int(v)) for d, v in closes] == [(1, 1), (2, 5), (3, 9)]
+    last = flush(store, last_batch(query), df, F.col("symbol"), "ts", F.col("price"), F.col("id"))
+    closes = rows(store.days(last), "stock_valuation_date", "stock_value")
+    assert [(d.day, int(v)) for d, v in closes] == [(1, 1), (2, 5), (3, 9), (4, 11)]
