@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streakline import schemas
+from streakline.config import FIELDS
 from streakline.functions.calendar import next_business_day
 from streakline.sources.bars import daily_bars, in_range
 from streakline.sources.landing import pivot_wide
@@ -60,6 +61,23 @@ def new(bars: DataFrame) -> DataFrame:
     return bars.where(F.col("stock_valuation_date") >= F.lit(SPLIT).cast("date"))
 
 
+def part_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing rows in the long form, one per part and day, with faults: every tenth day lands twice, first with
+    the opening price as close; on the 7th the close of parts ending in 7 reads ``nan``; volumes read ``12.0``."""
+    bars = part_bars(spark, sf_dir)
+    text = bars.select(
+        F.col("stock_valuation_date").cast("string").alias("date"),
+        "stock",
+        *(F.col(f"{field}_value").cast("string").alias(field) for field in FIELDS),
+        F.dayofmonth("stock_valuation_date").alias("_day"),
+    )
+    copies = F.sequence(F.lit(1).cast("bigint"), F.when(F.col("_day") % 10 == 0, 2).otherwise(1).cast("bigint"))
+    landed = text.withColumn("ingest_seq", F.explode(copies))
+    stale = (F.col("_day") % 10 == 0) & (F.col("ingest_seq") == 1)
+    close = F.when(stale, F.col("open")).when((F.col("_day") == 7) & F.col("stock").endswith("7"), "nan").otherwise(F.col("close"))
+    return landed.withColumns({"close": close, "volume": F.concat("volume", F.lit(".0"))}).drop("_day")
+
+
 def staging_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing rows with the faults of real ones: every tenth day lands twice, first with opening
     prices as closing prices; on the 7th the first ticker's close reads ``nan``; volumes read ``12.0``."""

@@ -268,6 +268,28 @@ order(
      AND b.stock_valuation_date < DATE '{SPLIT}' AND day(b.stock_valuation_date) <> 12)""",
 )
 
+PART_LIVE = """
+live AS (
+  SELECT md5(CAST(stock_valuation_date AS VARCHAR) || '-' || stock) AS id, stock_valuation_date, stock,
+         CASE WHEN day(stock_valuation_date) = 7 AND stock LIKE '%7' THEN NULL ELSE close_value END AS close_value,
+         high_value, low_value, open_value, volume_value FROM bars),
+marked AS (
+  SELECT *, stock_valuation_date < DATE '2000-01-01' AND day(stock_valuation_date) <> 12 AS known,
+         max(CASE WHEN stock_valuation_date < DATE '2000-01-01' AND day(stock_valuation_date) <> 12 THEN stock_valuation_date END)
+           OVER (PARTITION BY stock) AS high_water FROM live)"""
+part("part_ingest", "SELECT * EXCLUDE (known, high_water) FROM marked WHERE known OR high_water IS NULL OR stock_valuation_date > high_water", PART_LIVE)
+part("part_late_rows", "SELECT * EXCLUDE (known, high_water) FROM marked WHERE NOT known AND stock_valuation_date <= high_water", PART_LIVE)
+part(
+    "part_rejected_rows",
+    """SELECT CAST(stock_valuation_date AS VARCHAR) AS date, stock, 'close' AS field, 'nan' AS raw_value FROM bars
+    WHERE day(stock_valuation_date) = 7 AND stock LIKE '%7'""",
+)
+part(
+    "part_upsert_live",
+    f"""SELECT {_kept}, CAST(CASE WHEN stock_valuation_date >= DATE '1999-01-01' THEN volume_value + 1
+    ELSE volume_value END AS DECIMAL(18,0)) AS volume_value FROM bars""",
+)
+
 # --- indicators and classifiers -------------------------------------------------------------------
 
 _value = "stock, stock_valuation_date, stock_value AS close_value"
@@ -394,6 +416,13 @@ gap_metric AS (
   FROM parted WHERE bucket IS NOT NULL GROUP BY stock, run, bucket)"""
 part("part_metric_full_null", "SELECT * FROM gap_metric", _gaps)
 part("part_advance_many_days_null", "SELECT * FROM gap_metric", _gaps)
+CORRECTED = PART_BARS.replace("\nbars AS", "\nraw_bars AS") + """,
+bars AS (
+  SELECT stock, stock_valuation_date, CAST(CASE WHEN stock LIKE '%0' AND stock_valuation_date BETWEEN DATE '1999-03-01' AND DATE '1999-04-30'
+                                                THEN close_value + 1000 ELSE close_value END AS DECIMAL(12,4)) AS close_value
+  FROM raw_bars)"""
+ORACLES["part_corrected_streaks"] = _with(CORRECTED, *HIGH_LOW_MART, select="SELECT * FROM metric")
+part("part_build_or_advance", "SELECT * FROM metric", *HIGH_LOW_MART)
 for _family in FAMILIES:
     # Batches over stored state must give what a rebuild over all days gives.
     part(f"part_store_{_family.name}", "SELECT * FROM metric", CLASSIFIED, _dim(_family), _metric(_family))
@@ -610,6 +639,19 @@ order(
        WHERE highest_lowest_valuation NOT IN ('lower_range', 'mid_range', 'higher_range') GROUP BY 1""",
     CLASSIFIED,
 )
+part(
+    "part_dq_accepted_values",
+    """SELECT highest_lowest_valuation AS unexpected_value, count(*) AS row_count FROM days
+       WHERE highest_lowest_valuation NOT IN ('near_record_low', 'lower_range', 'mid_range', 'higher_range', 'near_record_high') GROUP BY 1""",
+    CLASSIFIED,
+)
+part(
+    "part_dq_streak_cover",
+    """SELECT b.stock, stock_valuation_date, CAST(2 AS BIGINT) AS streak_count
+       FROM bars b JOIN metric m ON b.stock = m.stock AND stock_valuation_date BETWEEN start_date AND end_date
+       WHERE date_diff('day', DATE '1970-01-01', start_date) % 3 = 0""",
+    *HIGH_LOW_MART,
+)
 order("dq_relationships", "SELECT * FROM metric WHERE highest_lowest_valuation_key > 3", *HIGH_LOW_MART)
 order(
     "dq_streak_cover",

@@ -9,7 +9,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.inputs import SPLIT, STEP_DAY, TICKERS, new, old, order_bars, part_bars, staging_wide, table
+from catalog.inputs import SPLIT, STEP_DAY, TICKERS, new, old, order_bars, part_bars, part_landing, staging_wide, table
 from streakline.config import IndicatorParams
 from streakline.families import AVERAGE, FAMILIES, HIGH_LOW, MOVING_AVG, BucketFamily
 from streakline.functions.calendar import instant_utc, next_business_day, prev_business_day
@@ -213,6 +213,35 @@ def _(spark, sf_dir):
     return cleaning.late_rows(bars, old(bars).where(F.dayofmonth("stock_valuation_date") != 12))
 
 
+def _part_ingested(spark, sf_dir) -> marts.Ingested:
+    """Parts in the long form land whole on a live table that ends at the split and lacks every 12th of a month."""
+    long_text = marts.write_and_read(cleaning.dedup_long(part_landing(spark, sf_dir)), scratch_path(spark, "long_text"))
+    known = old(cleaning.typed_bars(long_text)).where(F.dayofmonth("stock_valuation_date") != 12)
+    return marts.ingest_long(long_text, known)
+
+
+@query("part_ingest")
+def _(spark, sf_dir):
+    return _part_ingested(spark, sf_dir).live
+
+
+@query("part_late_rows")
+def _(spark, sf_dir):
+    return _part_ingested(spark, sf_dir).late
+
+
+@query("part_rejected_rows")
+def _(spark, sf_dir):
+    return _part_ingested(spark, sf_dir).rejected
+
+
+@query("part_upsert_live")
+def _(spark, sf_dir):
+    bars = part_bars(spark, sf_dir)
+    recent = bars.where(F.col("stock_valuation_date") >= F.lit("1999-01-01").cast("date"))
+    return cleaning.upsert_live(old(bars), recent.withColumn("volume_value", (F.col("volume_value") + 1).cast("decimal(18,0)")))
+
+
 # --- indicators and classifiers -------------------------------------------------------------------
 
 
@@ -462,6 +491,24 @@ def _(spark, sf_dir):
     return indicators.classify_increment(tail, new(bars)).withColumn("stddev_90", F.round("stddev_90", 4))
 
 
+@query("part_corrected_streaks")
+def _(spark, sf_dir):
+    """Parts ending in 0 are corrected in two months of 1999, long after most of their streaks."""
+    bars = marts.write_and_read(part_bars(spark, sf_dir).select(*KEYS, "close_value"), scratch_path(spark, "bars"))
+    days = marts.write_and_read(indicators.classified(bars), scratch_path(spark, "days"))
+    wrong = F.col("stock").endswith("0") & F.col("stock_valuation_date").between(F.lit("1999-03-01").cast("date"), F.lit("1999-04-30").cast("date"))
+    live = bars.withColumn("close_value", F.when(wrong, F.col("close_value") + 1000).otherwise(F.col("close_value")).cast("decimal(12,4)"))
+    return incremental.correct_streaks(streaks.metric_full(days, HIGH_LOW), days, live, bars.where(wrong), HIGH_LOW)
+
+
+@query("part_build_or_advance")
+def _(spark, sf_dir):
+    """The first load builds, the second one advances what it built."""
+    days = marts.write_and_read(part_days(spark, sf_dir), scratch_path(spark, "days"))
+    first = incremental.build_or_advance(None, old(days), HIGH_LOW)
+    return incremental.build_or_advance(marts.write_and_read(first, scratch_path(spark, HIGH_LOW.mart)), new(days), HIGH_LOW)
+
+
 STORE_CUTS = ("1997-01-01", "1998-07-01", "2000-01-01", "2001-01-01")
 
 
@@ -639,6 +686,20 @@ def _(spark, sf_dir):
     return quality.accepted_values(order_days(spark, sf_dir), HIGH_LOW.bucket_column, HIGH_LOW.bucket_names[1:4])
 
 
+@query("part_dq_accepted_values")
+def _(spark, sf_dir):
+    return quality.accepted_values(part_days(spark, sf_dir), HIGH_LOW.bucket_column, HIGH_LOW.bucket_names)
+
+
+@query("part_dq_streak_cover")
+def _(spark, sf_dir):
+    """Each third streak, by its start, is there twice: its days lie in two streaks."""
+    bars = marts.write_and_read(part_bars(spark, sf_dir), scratch_path(spark, "bars"))
+    metric = streaks.metric_full(indicators.classified(bars), HIGH_LOW)
+    copies = F.when(F.unix_date("start_date") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return quality.streak_cover(bars, metric.withColumn("_copy", F.explode(copies)).drop("_copy"))
+
+
 @query("dq_relationships")
 def _(spark, sf_dir):
     parents = dim(spark, HIGH_LOW).where("id <= 3")

@@ -33,6 +33,13 @@ def dedup_by_date(wide: DataFrame) -> DataFrame:
     return newest_per_key(wide, [day], [F.desc("ingest_seq"), *rest])
 
 
+def dedup_long(long_text: DataFrame) -> DataFrame:
+    """One text row per stock and day: the latest ingest, as ``dedup_by_date`` for the long form."""
+    day = F.coalesce(F.col("date").try_cast("date").cast("string"), F.col("date"))
+    rest = [F.desc(name) for name in FIELDS]
+    return newest_per_key(long_text, [F.col("stock"), day], [F.desc("ingest_seq"), *rest]).select("date", "stock", *FIELDS)
+
+
 def unpivot_live(wide: DataFrame, tickers: tuple[str, ...]) -> DataFrame:
     """Wide to long, still text: a row per day and ticker, in one pass and without a shuffle."""
     rows = [

@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from streakline.config import IndicatorParams
 from streakline.families import BucketFamily
 from streakline.functions.calendar import calendar_length, prev_business_day
 from streakline.functions.keys import surrogate_id
 from streakline.operators.cleaning import newest_per_key, upsert
+from streakline.operators.indicators import classify_increment, history_tail
 from streakline.operators.streaks import metric_columns, metric_full, with_key
 
 STREAK_KEY = ("stock", "start_date")
@@ -188,6 +190,40 @@ def advance_many_days(
     return advance(metric, new_days, family, last_days).drop("is_open")
 
 
+def correct_streaks(
+    metric: DataFrame,
+    days: DataFrame,
+    live: DataFrame,
+    corrections: DataFrame,
+    family: BucketFamily,
+    params: IndicatorParams | None = None,
+) -> DataFrame:
+    """The mart after corrections of old bars, as a rebuild over ``live`` would give it.
+
+    ``days`` are the classified days so far, ``live`` the bars with the
+    corrections in them, ``corrections`` tells their stocks and days. Stocks
+    without one pass through. The others are classified anew from their first
+    corrected day on; of the days before only the tail is read for that, and
+    the streak that reached over that day is cut there and goes on from it.
+    """
+    params = params or IndicatorParams()
+    touched = corrections.groupBy("stock").agg(F.min("stock_valuation_date").alias("_from"))
+    before = days.join(touched, "stock").where(F.col("stock_valuation_date") < F.col("_from")).select(*days.columns)
+    after = live.join(touched, "stock").where(F.col("stock_valuation_date") >= F.col("_from")).select(*live.columns)
+    again = classify_increment(history_tail(before, params), after, params)
+    newest = before.groupBy("stock").agg(F.max("stock_valuation_date").alias("_newest"))
+    end = F.least("end_date", "_newest")
+    kept = (
+        metric.join(touched, "stock")
+        .where(F.col("start_date") < F.col("_from"))
+        .join(newest, "stock")
+        .withColumns({"end_date": end, "day_length": calendar_length(F.col("start_date"), end)})
+        .select(*metric.columns)
+    )
+    rebuilt = advance(kept, again, family, before).drop("is_open")
+    return metric.join(touched, "stock", "left_anti").select(*metric.columns).unionByName(rebuilt)
+
+
 def build_or_advance(
     metric: DataFrame | None, new_days: DataFrame, family: BucketFamily, last_days: DataFrame | None = None
 ) -> DataFrame:
