@@ -154,7 +154,9 @@ def _write(folder: str, end: int | None, tokenizer: str | None, frame: int):
                     writer.add(doc, ids + tail)
                     docs += 1
             writer.finish()
-        # The whole file takes its name at once; a lost or repeated attempt leaves nothing under it.
+        # The whole file takes its name at once; the same content may be there from a lost attempt.
+        if system.get_file_info(f"{root}/{name}").type != fs.FileType.NotFound:
+            system.delete_file(f"{root}/{name}")
         system.move(attempt, f"{root}/{name}")
         yield pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int32()), pa.array([f"{folder}/{name}"]), pa.array([docs], pa.int64()), pa.array([writer.ids], pa.int64())],
