@@ -3,7 +3,10 @@
 Each batch writes its own subfolders and reads state only from the batch
 before it. A batch that is run again therefore overwrites its own output with
 the same content, and closed streaks are written once and never touched
-again. Work per batch follows the new days plus a bounded tail per stock.
+again. A batch writes the tail and the open streak of the stocks it touches;
+the state of a stock is what its newest batch wrote. Every ``compact_every``
+batches all stocks are written, so no read goes back further. Work per batch
+follows the new days plus a bounded tail per touched stock.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +39,7 @@ class StreakStore:
     root: str
     families: tuple[BucketFamily, ...] = FAMILIES
     params: IndicatorParams = IndicatorParams()
+    compact_every: int = 16
 
     def _path(self, table: str, batch: int) -> str:
         return f"{self.root}/{table}/batch={batch}"
@@ -48,6 +52,18 @@ class StreakStore:
         path = f"{self.root}/{table}" if batch is None else self._path(table, batch)
         return self.spark.read.schema(schema).parquet(path)
 
+    def _newest(self, table: str, schema: T.StructType, batch: int, condition: str = "true") -> DataFrame:
+        """The rows of each stock from the newest batch up to ``batch`` that wrote some; batches
+        before the last compaction are not read."""
+        base = batch // self.compact_every * self.compact_every
+        rows = self._read(table, _plus(schema, "batch")).where(F.col("batch").between(base, batch)).where(condition)
+        newest = F.max("batch").over(Window.partitionBy("stock"))
+        return rows.withColumn("_newest", newest).where("batch = _newest").drop("_newest", "batch")
+
+    def tail(self, batch: int) -> DataFrame:
+        """The bounded history of every stock as of ``batch``."""
+        return self._newest("tail", schemas.CLASSIFIED, batch)
+
     def _streak_schema(self, family: BucketFamily) -> T.StructType:
         return _plus(schemas.metric(family), "is_open")
 
@@ -61,7 +77,8 @@ class StreakStore:
             days = classified(incoming, self.params)
             self._write(incoming.limit(0), "late", batch)
         else:
-            tail = self._read("tail", schemas.CLASSIFIED, batch - 1)
+            touched = incoming.select("stock").distinct()
+            tail = self.tail(batch - 1).join(touched, "stock", "left_semi")
             days = classify_increment(tail, incremental_filter(incoming, tail), self.params)
             oldest = incoming.agg(F.min("stock_valuation_date")).scalar()
             known = self.days(batch - 1).where(F.col("stock_valuation_date") >= oldest)
@@ -69,34 +86,37 @@ class StreakStore:
         self._write(days, "days", batch)
         days = self._read("days", schemas.CLASSIFIED, batch)
 
-        history = days if batch == 0 else tail.unionByName(days)
-        self._write(history_tail(history, self.params), "tail", batch)
+        compacts = batch > 0 and batch % self.compact_every == 0
+        history = history_tail(days if batch == 0 else tail.unionByName(days), self.params)
+        if compacts:
+            history = history.unionByName(self.tail(batch - 1).join(touched, "stock", "left_anti"))
+        self._write(history, "tail", batch)
         for family in self.families:
             if batch == 0:
                 changed = advance(None, days, family)
             else:
                 last_days = tail if self.params.null_policy == "null" else None
-                changed = advance(self.open_streaks(family, batch - 1), days, family, last_days)
+                open_ = self.open_streaks(family, batch - 1)
+                changed = advance(open_.join(touched, "stock", "left_semi"), days, family, last_days)
+                if compacts:
+                    idle = open_.join(touched, "stock", "left_anti").withColumn("is_open", F.lit(True))
+                    changed = changed.unionByName(idle)
             changed = changed.withColumn("is_open", F.col("is_open").cast("int"))
             self._write(changed, family.mart, batch, "is_open")
 
     def metric(self, family: BucketFamily, batch: int) -> DataFrame:
-        """The family's mart as of ``batch``: all closed streaks, and the open ones of that batch.
-        Both conditions are on partition columns, so no superseded file is read."""
+        """The family's mart as of ``batch``: all closed streaks, and each stock's open one."""
         schema = _plus(self._streak_schema(family), "batch")
-        rows = self._read(family.mart, schema).where(
-            (F.col("batch") <= batch) & ((F.col("is_open") == 0) | (F.col("batch") == batch))
-        )
-        return rows.drop("is_open", "batch")
+        closed = self._read(family.mart, schema).where((F.col("batch") <= batch) & (F.col("is_open") == 0))
+        return closed.drop("is_open", "batch").unionByName(self.open_streaks(family, batch))
 
     def open_streaks(self, family: BucketFamily, batch: int) -> DataFrame:
         """Each stock's current streak as of ``batch``."""
-        return self._read(family.mart, self._streak_schema(family), batch).where("is_open = 1").drop("is_open")
+        return self._newest(family.mart, self._streak_schema(family), batch, "is_open = 1").drop("is_open")
 
     def newest_day(self, batch: int) -> date | None:
         """The newest day taken in by ``batch``, from the tail alone."""
-        tail = self._read("tail", schemas.CLASSIFIED, batch)
-        return tail.agg(F.max("stock_valuation_date").alias("day")).first()["day"]
+        return self.tail(batch).agg(F.max("stock_valuation_date").alias("day")).first()["day"]
 
     def days(self, batch: int) -> DataFrame:
         schema = _plus(schemas.CLASSIFIED, "batch")

@@ -171,6 +171,26 @@ def test_store_in_batches_equals_rebuild(spark, make_bars, tmp_path):
     assert store.metric(HIGH_LOW, 1).agg(F.max("end_date")).first()[0] <= calendar[7]
 
 
+@pytest.mark.parametrize("every", [1, 2, 3, 16])
+def test_touched_stocks_and_compaction(spark, make_bars, tmp_path, every):
+    """One stock trades in each batch, one only in the first, one comes and goes."""
+    calendar = weekdays("2024-01-01", 12)
+    chance = random.Random(8)
+    closes = {s: [chance.randint(1, 9) for _ in calendar] for s in "ABC"}
+    store = StreakStore(spark, str(tmp_path / "touched"), (HIGH_LOW,), PARAMS, compact_every=every)
+    taken = []
+    for batch in range(6):
+        present = "ABC" if batch == 0 else "AC" if batch % 2 else "A"
+        fresh = [(s, calendar[i], closes[s][i]) for s in present for i in (2 * batch, 2 * batch + 1)]
+        taken += fresh
+        store.apply(batch, make_bars(fresh))
+        written = spark.read.parquet(f"{store.root}/tail/batch={batch}").select("stock").distinct()
+        assert {r[0] for r in written.collect()} == set("ABC" if batch % every == 0 else present)
+    whole = indicators.classified(make_bars(taken), PARAMS)
+    assert rows(store.metric(HIGH_LOW, 5)) == rows(streaks.metric_full(whole, HIGH_LOW))
+    assert rows(store.open_streaks(HIGH_LOW, 5), "stock") == [("A",), ("B",), ("C",)]
+
+
 def test_days_without_bucket_end_streaks_in_batches_too(spark, make_bars, tmp_path):
     calendar = weekdays("2024-01-01", 9)
     closes = (1, 9, 9, None, 9, None, 9, 9, 9)
