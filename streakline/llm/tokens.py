@@ -15,7 +15,7 @@ from functools import cache
 import public_tokenizers
 
 WORD_BPE = "word_bpe_49k.json"
-KEPT = 600_000
+KEPT = 250_000
 KEPT_BYTES = 64
 
 #: Words of printable ASCII and of Latin letters that normalize to themselves and have a lower case of one letter.
