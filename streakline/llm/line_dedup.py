@@ -163,7 +163,8 @@ def drop_repeated_lines(
         ),
         "line_suspects",
     )
-    frequent = suspects.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("key")
+    # Stored, so that the join deals the suspects by itself and can split a key that many rows have.
+    frequent = stored(suspects.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("key"), "frequent_lines")
     drops = suspects.join(frequent, "key").groupBy("row").agg(F.collect_set("key").alias("drops"))
     without = F.arrow_udf(_without, "struct<n_lines: bigint, n_dropped: bigint, kept: string>")
     result = (
