@@ -15,4 +15,26 @@ SELECT doc_id, count(*) AS n_lines, count(f.k) AS n_dropped,
 FROM keyed LEFT JOIN frequent AS f USING (k) GROUP BY r, doc_id
 """
 
-ORACLES = {"op7_line_dedup": LINE_DEDUP}
+# Texts as hexadecimal digits of their bytes, so that a byte is two characters.
+SUFFIX_DEDUP = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT r, h, unnest(range(0, length(h) // 2 - 399)) AS p FROM docs WHERE length(h) >= 800),
+strings AS (SELECT r, p, md5(substr(h, CAST(2 * p + 1 AS BIGINT), 800)) AS s FROM starts),
+repeated AS (SELECT s FROM strings GROUP BY s HAVING count(*) > 1),
+hits AS (SELECT r, p FROM strings SEMI JOIN repeated USING (s)),
+runs AS (
+  SELECT r, p, sum(fresh) OVER (PARTITION BY r ORDER BY p) AS run
+  FROM (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 400 THEN 0 ELSE 1 END AS fresh FROM hits)),
+spans AS (SELECT r, min(p) AS a, max(p) + 400 AS b FROM runs GROUP BY r, run),
+gaps AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS since FROM spans),
+kept AS (
+  SELECT r, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, CAST(2 * since + 1 AS BIGINT), CAST(2 * (a - since) AS BIGINT)), '' ORDER BY a)
+           || substr(any_value(h), CAST(2 * max(b) + 1 AS BIGINT)) AS rest
+  FROM gaps JOIN docs USING (r) GROUP BY r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+ORACLES = {"op1_suffix_dedup": SUFFIX_DEDUP, "op7_line_dedup": LINE_DEDUP}
