@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streakline.llm.common import bounded_batches, packed, unpacked
+from streakline.llm.common import packed, prepare, unpacked
 
 BLOCK = 1 << 18
 RANKS = "byte_bpe_50k.tiktoken"
@@ -73,7 +73,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 def encode(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """The documents' columns and ``ids array<int>``; a null or empty text has no ids. A column ``ids`` is replaced."""
-    bounded_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(values: pa.Array) -> pa.Array:
         return _lists([encode_text(t or "", path) for t in values.to_pylist()])

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import streakline
 from streakline.session import scratch_path
 
 #: The white space that separates words: space and U+0009 to U+000D.
@@ -17,8 +22,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 256 rows or about 4 MB, so that long texts do not pile up in a worker."""
+_SHIPPED: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """Before Python runs on executors: the package's modules travel with the application, so that no installation is
+    needed there, and Arrow batches have at most 256 rows or about 4 MB, so that long texts do not pile up."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(streakline.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="streakline-")) / "streakline_modules.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for module in sorted(package.rglob("*.py")):
+                out.write(module, module.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 

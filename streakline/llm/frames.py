@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm.common import bounded_batches, partitions, stored
+from streakline.llm.common import partitions, prepare, stored
 from streakline.llm.tokens import word_encoder
 from streakline.session import scratch_path
 
@@ -173,7 +173,7 @@ def write_ids(
     a hash of the text). Returns the files: ``number``, ``file``, ``docs``, ``ids``. A null or empty text has the end
     id only. ``folder`` is a location all executors reach."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     place = qualified(spark, folder)
     keyed = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text")).withColumn("h", F.xxhash64("text"))
     ordered = keyed.repartitionByRange(partitions(spark), "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
@@ -202,6 +202,7 @@ def read_digests(files: DataFrame) -> DataFrame:
 
     The driver holds one number per file; each file is read by one task, frame by frame."""
     spark = files.sparkSession
+    prepare(spark)
     rows, before = [], 0
     for r in files.orderBy("number").collect():
         rows.append((r["file"], before))

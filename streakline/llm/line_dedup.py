@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streakline.llm.common import ORIGINAL, SPACE, bounded_batches, packed, partitions, stored, unpacked
+from streakline.llm.common import ORIGINAL, SPACE, packed, partitions, prepare, stored, unpacked
 
 PROBES = 4
 
@@ -154,7 +154,7 @@ def drop_repeated_lines(
     text; if two rows shared it, each would only see more keys that are dropped everywhere anyway.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     table = spark.sparkContext.broadcast(repeat_filter(docs, text, segments, once_bits, twice_bits))
     row = F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
     suspects = stored(

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streakline.llm.common import bounded_batches, stored
+from streakline.llm.common import prepare, stored
 from streakline.llm.tokens import word_encoder
 
 
@@ -28,7 +28,7 @@ class PackParams:
     one bin for each pool beyond its optimum."""
 
     capacity: int = 2048
-    pool: int = 4096
+    pool: int = 16_384
     islands: int = 2
     epochs: int = 2
     generations: int = 12
@@ -63,7 +63,7 @@ def _cut(capacity: int, end: int, path: str | None):
 def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", capacity: int = 2048, end: int = 0, tokenizer: str | None = None) -> DataFrame:
     """The documents' token ids and an end id, cut every ``capacity`` ids: ``n`` (a number of the piece), ``doc_id``,
     ``piece`` from 0, ``start``, ``length``, ``ids_crc32``. A null or empty text is one piece of the end id."""
-    bounded_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text")).mapInArrow(
         _cut(capacity, end, tokenizer), PIECES
     )
@@ -219,6 +219,7 @@ def pack(items: DataFrame, params: PackParams | None = None) -> DataFrame:
     Bins are gapless from 0. ``items`` is read several times; give a stored table. The pools follow a hash of ``n``, so
     no key gathers rows; an island holds the lengths of one pool and a few packings of it, whatever the input."""
     params = params or PackParams()
+    prepare(items.sparkSession)
     pools = max(1, round(items.count() / params.pool))
     pool = F.pmod(F.xxhash64("n"), F.lit(pools))
     slim = items.select("n", "length", pool.alias("pool"))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streakline.llm.common import ORIGINAL, bounded_batches, packed, stored, unpacked
+from streakline.llm.common import ORIGINAL, packed, prepare, stored, unpacked
 from streakline.llm.components import components
 
 SEED = 42
@@ -137,7 +137,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle
     their own; a class whose ids are all null has a null ``component_id``, and still its own ``root``.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     content = F.col(f"`{text}`")
     table = stored(
         docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{doc_id}`"), content).alias("row"), content.cast("binary").alias("text")).select(

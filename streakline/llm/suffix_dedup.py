@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm.common import bounded_batches, packed, partitions, stored, unpacked
+from streakline.llm.common import packed, partitions, prepare, stored, unpacked
 
 FLUSH = 1 << 20
 KNOWN = np.uint32(0xFFFFFFFF)
@@ -309,7 +309,7 @@ def classes_without_repeats(docs: DataFrame, text: str = "text", length: int = 4
     """For each different text with something to remove: ``sha256`` of it, ``kept`` (its remaining bytes),
     ``n_spans`` and ``n_removed``. A text of ``length`` bytes or more that occurs twice goes as a whole."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     raw = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit("").cast("binary"))
     with _shuffles_removed(spark):
         long = docs.select(raw.alias("raw")).where(F.octet_length("raw") >= length).select(F.sha2("raw", 256).alias("sha256"), "raw")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streakline.llm.common import bounded_batches, partitions
+from streakline.llm.common import partitions, prepare
 
 SHINGLE = 5
 DIMENSIONS = 1 << 18
@@ -180,7 +180,7 @@ def compared_with_edits(docs: DataFrame, text: str = "text", doc_id: str = "doc_
     the first as many of the next document, or all it has), ``fingerprint``, ``edited_fingerprint``, ``near_edited``
     and ``near_next``. A null text counts as empty. A single document is its own next one."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     content = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), content.alias("text")).withColumn("fingerprint", fingerprints("text"))
     followed = with_next(own, "doc_id", ["text", "fingerprint"], 4 * partitions(spark))
