@@ -156,7 +156,8 @@ def _estimates(vectors: DataFrame, params: QualityParams) -> DataFrame:
         far = _add_distance(vectors.join(now.drop("rows"), "group")).withColumn(
             "bin", F.when(F.col("d2") < 100, F.floor(F.col("d2") * 16)).otherwise(1600 + F.least(F.floor(F.log(F.col("d2"))), F.lit(400))).cast("int")
         )
-        cut = _quantile_bin(far, F.col("bin"), params.share).select("group", F.col("bin").alias("cut"))
+        # Stored, so that its size is known: a row per group is broadcast where that is small, and the vectors stay in place.
+        cut = stored(_quantile_bin(far, F.col("bin"), params.share).select("group", F.col("bin").alias("cut")), "cut")
         subset = far.select("group", "bin", *[f"x{i}" for i in range(4)]).join(cut, "group").where("bin <= cut")
         now = stored(_factored(_sums(subset), ["group"], params, params.consistency).join(sizes, "group"), "estimate")
     return now
