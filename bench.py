@@ -12,7 +12,7 @@ import sys
 import time
 
 from catalog.queries import QUERIES
-from streakline.session import build_session
+from streakline.session import build_session, remove_scratch
 
 HEADLINE = (
     "order_bars",
@@ -63,6 +63,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+    remove_scratch(spark)
     spark.stop()
     print(
         json.dumps(

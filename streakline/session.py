@@ -46,6 +46,20 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="streakline-")
 
 
+_written: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path no other run uses, below the shared folder."""
-    return f"{shared_folder(spark)}/streakline/{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_folder(spark)}/streakline/{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return f"{folder}/{name}"
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Deletes the scratch folders of this application, once nothing reads them any more; how many there were."""
+    folders = _written.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(folders)

@@ -87,6 +87,19 @@ def test_no_plan_runs_python_or_all_pairs(spark, sf_dir):
             assert join not in text, name
 
 
+def test_scratch_can_be_removed(spark, monkeypatch):
+    from pathlib import Path
+
+    from streakline import session
+
+    monkeypatch.setattr(session, "_written", {})
+    path = session.scratch_path(spark, "some")
+    spark.range(3).write.parquet(path)
+    assert Path(path).exists()
+    assert session.remove_scratch(spark) == 1 and not Path(path).parent.exists()
+    assert session.remove_scratch(spark) == 0
+
+
 def test_merge_reads_each_side_once(spark, stored):
     metric = streaks.metric_full(indicators.classified(stored), HIGH_LOW)
     merged = incremental.upsert_streaks(metric, metric)
