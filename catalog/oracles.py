@@ -216,9 +216,10 @@ order("last_saved_date", "SELECT max(CAST(date AS DATE)) AS max_date FROM stagin
 order(
     "next_business_day_slice",
     f"""SELECT * FROM bars WHERE stock_valuation_date = (
-      SELECT CAST(max(stock_valuation_date) + CASE isodow(max(stock_valuation_date)) WHEN 5 THEN INTERVAL 3 DAY
-             WHEN 6 THEN INTERVAL 2 DAY ELSE INTERVAL 1 DAY END AS DATE)
-      FROM bars WHERE stock_valuation_date < DATE '{SPLIT}')""",
+      SELECT min(stock_valuation_date) FROM bars WHERE isodow(stock_valuation_date) < 6 AND stock_valuation_date >= (
+        SELECT CAST(max(stock_valuation_date) + CASE isodow(max(stock_valuation_date)) WHEN 5 THEN INTERVAL 3 DAY
+               WHEN 6 THEN INTERVAL 2 DAY ELSE INTERVAL 1 DAY END AS DATE)
+        FROM bars WHERE stock_valuation_date < DATE '{SPLIT}'))""",
 )
 order("pivot_wide", "SELECT * FROM wide", WIDE)
 order("wide_csv_roundtrip", "SELECT * FROM wide", WIDE)
