@@ -17,6 +17,7 @@ from streakline import schemas
 from streakline.families import HIGH_LOW
 from streakline.operators.indicators import by_day
 from streakline.operators.streaks import with_key
+from streakline.session import scratch_path
 
 KEY = HIGH_LOW.key_column
 BUY_KEY, SELL_KEY = 4, 5
@@ -141,10 +142,13 @@ def signals(days: DataFrame) -> DataFrame:
 
 def _numbered(candidates: DataFrame) -> DataFrame:
     """Signals with ``k``: a sell's number in its stock, a buy's number of the next sell; and the numbers of its
-    block of ``BLOCK`` sells and of its block of blocks."""
+    block of ``BLOCK`` sells and of its block of blocks. Written once, because the search reads them several times."""
     earlier = Window.partitionBy("stock").orderBy("signal_date").rowsBetween(Window.unboundedPreceding, -1)
     k = F.coalesce(F.sum((~F.col("is_buy")).cast("int")).over(earlier), F.lit(0))
-    return candidates.withColumn("k", k).withColumns({"block": F.floor(F.col("k") / BLOCK), "super": F.floor(F.col("k") / BLOCK**2)})
+    numbered = candidates.withColumn("k", k).withColumns({"block": F.floor(F.col("k") / BLOCK), "super": F.floor(F.col("k") / BLOCK**2)})
+    path = scratch_path(candidates.sparkSession, "signals")
+    numbered.write.parquet(path)
+    return candidates.sparkSession.read.schema(numbered.schema).parquet(path)
 
 
 def _first_better_sale(numbered: DataFrame) -> DataFrame:
