@@ -22,17 +22,20 @@ STATISTICS = ("length", "symbols", "lines", "repeats")
 
 @dataclass(frozen=True)
 class QualityParams:
-    """Limits. ``share`` is the share of rows in the least-distance subset, ``consistency`` its factor for four normal
-    dimensions (share / P(chi2(6) <= chi2(4) quantile of share)). ``floors`` are the least standard deviations, in the
+    """Limits. ``share`` is the share of rows in the least-distance subset, at least (rows + 5) / 2 of them: half, so that
+    the estimate stands as long as less than half of a group is junk. ``consistency`` is its factor for four normal
+    dimensions (share / P(chi2(6) <= chi2(4) quantile of share)). ``steps`` limits the concentration steps, None does
+    not; ``patience`` is the step from which the determinant has to fall. ``floors`` are the least standard deviations, in the
     units of the transformed statistics, so that a statistic that is nearly constant in a group does not make every
     small departure an outlier. ``cutoff`` is the largest squared distance that is kept, about the 1 - 1e-6 quantile
     of chi2(4). Groups of fewer than ``min_rows`` rows take the estimate of their language."""
 
     min_words: int = 10
     max_repeat_percent: int = 20
-    share: float = 0.75
-    consistency: float = 1.486
-    steps: int = 4
+    share: float = 0.5
+    consistency: float = 2.109
+    steps: int | None = None
+    patience: int = 10
     floors: tuple[float, float, float, float] = (2.0, 0.6, 0.6, 0.06)
     cutoff: float = 33.4
     min_rows: int = 100
@@ -116,51 +119,89 @@ def _bin(x: Column, width: float, most: int) -> Column:
     return F.least(F.greatest(F.floor(x / width), F.lit(-most)), F.lit(most)).cast("int")
 
 
-def _quantile_bin(rows: DataFrame, bins: Column, share: float) -> DataFrame:
-    """``group`` and the first bin at which ``share`` of its rows are reached; a group has a bounded number of bins."""
-    counted = rows.groupBy("group", bins.alias("bin")).agg(F.count("*").alias("n"))
-    through = Window.partitionBy("group").orderBy("bin")
-    total = Window.partitionBy("group")
+def _quantile_bins(rows: DataFrame, keys: list[str], bins: Column, wanted: dict[str, Column]) -> DataFrame:
+    """``keys``, the first bin at which each number of ``wanted`` is reached, and ``rows``; a group has a bounded number of bins."""
+    counted = rows.groupBy(*keys, bins.alias("bin")).agg(F.count("*").alias("n"))
+    through = Window.partitionBy(*keys).orderBy("bin")
+    total = Window.partitionBy(*keys)
     return (
         counted.withColumn("upto", F.sum("n").over(through))
-        .withColumn("all", F.sum("n").over(total))
-        .where(F.col("upto") >= F.col("all") * share)
-        .groupBy("group")
-        .agg(F.min("bin").alias("bin"), F.first("all").alias("rows"))
+        .withColumn("rows", F.sum("n").over(total))
+        .groupBy(*keys)
+        .agg(*[F.min(F.when(F.col("upto") >= least, F.col("bin"))).alias(name) for name, least in wanted.items()], F.first("rows").alias("rows"))
     )
 
 
-def _sums(rows: DataFrame) -> DataFrame:
+def _sums(rows: DataFrame, keys: list[str]) -> DataFrame:
     whole = "decimal(38,0)"
-    return rows.groupBy("group").agg(
+    return rows.groupBy(*keys).agg(
         F.count("*").alias("n"),
         *[F.sum(F.col(f"x{i}").cast(whole)).alias(f"s{i}") for i in range(4)],
         *[F.sum(F.col(f"x{i}").cast(whole) * F.col(f"x{j}").cast("decimal(19,0)")).cast(whole).alias(f"s{i}{j}") for i in range(4) for j in range(i + 1)],
     )
 
 
-def _estimates(vectors: DataFrame, params: QualityParams) -> DataFrame:
-    """Concentration steps from the median and the floors: distances, the subset of least distances, its mean and
-    covariance, and again. Squared distances are cut on a grid of sixteenths up to 100 and of whole logarithms above."""
-    medians = []
+def _starts(vectors: DataFrame, params: QualityParams) -> DataFrame:
+    """A row per group and start: ``group``, ``start``, ``rows``, centres and a diagonal factor, from quantiles of each
+    statistic. Start 0 is the median and twice the floors; the others are the middle and the width of the middle half,
+    of the shortest half (on sixteenths of the rows), of the lower and of the upper half."""
+    sixteenths = {f"q{k}": F.col("rows") * (k / 16) for k in range(17)}
+    of_statistics = []
+    for i in range(4):
+        unit = params.floors[i] / 4
+        q = _quantile_bins(vectors, ["group"], _bin(F.col(f"x{i}") / UNIT, unit, 4000), sixteenths)
+        shortest = F.least(*[F.struct((F.col(f"q{k + 8}") - F.col(f"q{k}")).alias("width"), F.col(f"q{k}").alias("low"), F.col(f"q{k + 8}").alias("high")) for k in range(9)])
+        halves = [(F.col("q4"), F.col("q12")), (shortest["low"], shortest["high"]), (F.col("q0"), F.col("q8")), (F.col("q8"), F.col("q16"))]
+        places = [F.struct(((F.col("q8") + 0.5) * unit).alias("m"), F.lit(2 * params.floors[i]).alias("l"))]
+        for low, high in halves:
+            # Half the width holds a quarter of a normal distribution on each side of the middle.
+            places.append(F.struct(((low + high + 1) / 2 * unit).alias("m"), F.greatest((high - low + 1) * (unit / 2 / 0.6745), F.lit(params.floors[i])).alias("l")))
+        of_statistics.append(q.select("group", *(["rows"] if i == 0 else []), F.array(*places).alias(f"places{i}")))
+    joined = of_statistics[0]
+    for other in of_statistics[1:]:
+        joined = joined.join(other, "group")
+    # Only these are read later: groups of enough rows, and languages.
+    used = joined.where((F.col("rows") >= params.min_rows) | F.col("group").startswith("language "))
+    each = used.withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    numbers = [F.get(F.col(f"places{i}"), F.col("start"))["m"].alias(f"m{i}") for i in range(4)]
     for i in range(4):
-        middle = _quantile_bin(vectors, _bin(F.col(f"x{i}") / UNIT, params.floors[i] / 4, 4000), 0.5)
-        medians.append(middle.select("group", ((F.col("bin") + 0.5) * (params.floors[i] / 4)).alias(f"m{i}"), *(["rows"] if i == 0 else [])))
-    start = medians[0]
-    for other in medians[1:]:
-        start = start.join(other, "group")
-    zero = {f"l{i}{j}": F.lit(2 * params.floors[i] if i == j else 0.0) for i in range(4) for j in range(i + 1)}
-    now = stored(start.withColumns(zero), "estimate")
-    sizes = now.select("group", "rows")
-    for step in range(params.steps):
-        far = _add_distance(vectors.join(now.drop("rows"), "group")).withColumn(
-            "bin", F.when(F.col("d2") < 100, F.floor(F.col("d2") * 16)).otherwise(1600 + F.least(F.floor(F.log(F.col("d2"))), F.lit(400))).cast("int")
-        )
-        # Stored, so that its size is known: a row per group is broadcast where that is small, and the vectors stay in place.
-        cut = stored(_quantile_bin(far, F.col("bin"), params.share).select("group", F.col("bin").alias("cut")), "cut")
-        subset = far.select("group", "bin", *[f"x{i}" for i in range(4)]).join(cut, "group").where("bin <= cut")
-        now = stored(_factored(_sums(subset), ["group"], params, params.consistency).join(sizes, "group"), "estimate")
-    return now
+        for j in range(i + 1):
+            numbers.append((F.get(F.col(f"places{i}"), F.col("start"))["l"] if i == j else F.lit(0.0)).alias(f"l{i}{j}"))
+    return each.select("group", "start", "rows", *numbers)
+
+
+def _estimates(vectors: DataFrame, params: QualityParams) -> DataFrame:
+    """Concentration steps from several starts: distances, the subset of least distances, its mean and covariance, and
+    again until the subset stays the same; of a group's starts, the one with the least determinant. Squared distances
+    are cut on a grid of 32nds up to 1 and of 32nds of a power of two above. Starts that have met go on as one. From
+    ``patience`` steps on, a determinant that does not fall ends a start too: the grid could let it run in a circle."""
+    keys = ["group", "start"]
+    numbers = [f"m{i}" for i in range(4)] + [f"l{i}{j}" for i in range(4) for j in range(i + 1)]
+    size = sum((F.log(F.col(f"l{i}{i}")) for i in range(1, 4)), F.log(F.col("l00")))
+    enough = F.least(F.col("rows"), F.greatest(F.col("rows") * params.share, F.floor((F.col("rows") + 5) / 2)))
+    grid = F.when(F.col("d2") < 1, F.floor(F.col("d2") * 32)).otherwise(32 + F.least(F.floor(32 * F.log2("d2")), F.lit(6400))).cast("int")
+    active, ended, step = stored(_starts(vectors, params), "starts"), [], 0
+    while True:
+        step += 1
+        far = _add_distance(vectors.join(active.drop("rows"), "group")).withColumn("bin", grid)
+        # Stored, so that its size is known: a row per start is broadcast where that is small, and the vectors stay in place.
+        cut = stored(_quantile_bins(far, keys, F.col("bin"), {"cut": enough}).select(*keys, "cut"), "cut")
+        subset = far.select(*keys, "bin", *[f"x{i}" for i in range(4)]).join(cut, keys).where("bin <= cut")
+        now = _factored(_sums(subset, keys), keys, params, params.consistency).withColumn("size", size)
+        before = active.select(*keys, "rows", F.struct(*numbers).alias("old"), size.alias("old_size"))
+        same = F.struct(*numbers).eqNullSafe(F.col("old"))
+        over = same | (F.lit(step >= params.patience) & (F.col("size") >= F.col("old_size"))) | F.lit(step == params.steps)
+        joined = now.join(before, keys).withColumn("over", over)
+        now = stored(joined.groupBy("group", "rows", "size", *numbers).agg(F.min("start").alias("start"), F.max("over").alias("over")), "estimate")
+        ended.append(now.where("over").drop("over"))
+        active = now.where("not over").select(*keys, "rows", *numbers)
+        if active.isEmpty():
+            break
+    every = ended[0]
+    for other in ended[1:]:
+        every = every.unionByName(other)
+    best = every.groupBy("group").agg(F.min(F.struct("size", "start", "rows", *numbers)).alias("best"))
+    return stored(best.select("group", "best.rows", *[f"best.{x}" for x in numbers]), "estimate")
 
 
 def quality(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", params: QualityParams | None = None) -> DataFrame:
@@ -195,8 +236,8 @@ def _judged(stats: DataFrame, columns: list[str], params: QualityParams) -> Data
     some = F.greatest(n, F.lit(1))
     mean = F.col("word_chars") / some
     # The middle of a language's mean word lengths, on a grid of sixteenths; it only centres a statistic.
-    centre = _quantile_bin(passed.select(F.col("language").alias("group"), mean.alias("mean")), _bin(F.col("mean"), 1 / 16, 1600), 0.5)
-    centre = stored(centre.select(F.col("group").alias("language"), ((F.col("bin") + 0.5) / 16).alias("centre")), "centre")
+    centre = _quantile_bins(passed.select("language", mean.alias("mean")), ["language"], _bin(F.col("mean"), 1 / 16, 1600), {"bin": F.col("rows") * 0.5})
+    centre = stored(centre.select("language", ((F.col("bin") + 0.5) / 16).alias("centre")), "centre")
     vector = {
         # Deviation of the mean word length in units that do not depend on the number of words.
         "x0": _scaled(F.sqrt(F.least(n, F.lit(200)).cast("double")) * (mean - F.col("centre"))),

@@ -91,3 +91,21 @@ def test_distance_is_that_of_the_subset(spark):
 
 def test_empty(spark):
     assert quality(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_a_third_of_a_group_is_junk(spark):
+    """One way or two ways of junk in the same group, near or far; the fixed limits pass all of it."""
+    rng = random.Random(5)
+    junk, rows = {}, []
+    for i in range(900):
+        source = ("near", "far", "mixed")[i // 300]
+        words = ["".join(rng.choice("aeiounst") for _ in range(max(1, round(rng.gauss(5, 2))))) for _ in range(rng.randint(60, 300))]
+        junk[i] = i % 3 == 0
+        if junk[i] and source == "mixed" and i % 2:
+            words = [w + "aaaaaaa" for w in words]
+        elif junk[i]:
+            words = [w + "$" * (1 if source == "near" else 40) for w in words]
+        rows.append((i, " ".join(words), "en", source, "", 0, ""))
+    got = {r["doc_id"]: r for r in verdicts(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert all(got[i]["kept"] != junk[i] for i in junk)
