@@ -37,4 +37,29 @@ SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0)
 FROM docs LEFT JOIN kept USING (r)
 """
 
-ORACLES = {"op1_suffix_dedup": SUFFIX_DEDUP, "op7_line_dedup": LINE_DEDUP}
+
+
+def _round(i: int) -> str:
+    """Nearest centroids ``n<i>`` of the vectors, and the centroids ``c<i + 1>`` after them."""
+    return f"""
+d{i} AS (SELECT r, c, sum((cells.x - c{i}.x) * (cells.x - c{i}.x)) AS dist FROM cells JOIN c{i} USING (d) GROUP BY r, c),
+n{i} AS MATERIALIZED (SELECT r, c, dist FROM d{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY dist, c) = 1),
+s{i} AS (SELECT c, d, sum(x) AS s, count(*) AS n FROM n{i} JOIN cells USING (r) GROUP BY c, d),
+c{i + 1} AS MATERIALIZED (SELECT c, d, CASE WHEN n IS NULL THEN x ELSE (s - ((s % n) + n) % n) // n END AS x FROM c{i} LEFT JOIN s{i} USING (c, d))"""
+
+
+CENTROIDS = f"""
+WITH whole AS (
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64),
+cells AS MATERIALIZED (SELECT r, CAST(unnest(v) AS HUGEINT) AS x, generate_subscripts(v, 1) AS d FROM whole),
+first AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c, v FROM whole QUALIFY c < 40),
+c0 AS MATERIALIZED (SELECT c, CAST(unnest(v) AS HUGEINT) AS x, generate_subscripts(v, 1) AS d FROM first),
+{",".join(_round(i) for i in range(6))},
+shas AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS sha FROM c5 GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(dist AS BIGINT) AS distance,
+       CAST(sum(dist) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(dist) OVER () AS BIGINT) AS inertia, sha AS centroid_sha256
+FROM n5 JOIN whole USING (r) JOIN shas USING (c)
+"""
+
+ORACLES = {"op1_suffix_dedup": SUFFIX_DEDUP, "op7_line_dedup": LINE_DEDUP, "op11_centroids": CENTROIDS}

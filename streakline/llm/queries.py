@@ -1,11 +1,11 @@
-"""One query per operator over the whole ``documents`` table, with production parameters."""
+"""One query per operator over its whole table, with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm import byte_bpe, frames, line_dedup, packing, pseudonyms, quality, secret_scan, simhash, suffix_dedup, weighted_sampling
+from streakline.llm import byte_bpe, centroids, frames, line_dedup, packing, pseudonyms, quality, secret_scan, simhash, suffix_dedup, weighted_sampling
 from streakline.llm.common import documents
 
 
@@ -65,6 +65,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found = centroids.cluster(vectors, k=40, rounds=5, dims=64, scale=256, prefix="2:")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroids.centroid_sha256("centroid").alias("centroid_sha256"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
@@ -76,4 +82,5 @@ QUERIES = {
     "op8_pseudonyms": op8_pseudonyms,
     "op9_packing": op9_packing,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_centroids": op11_centroids,
 }
