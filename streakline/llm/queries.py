@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm import byte_bpe, centroids, frames, line_dedup, packing, pseudonyms, quality, secret_scan, simhash, suffix_dedup, weighted_sampling
+from streakline.llm import byte_bpe, centroids, frames, line_dedup, packing, periodic_runs, pseudonyms, quality, secret_scan, simhash, suffix_dedup, weighted_sampling
 from streakline.llm.common import documents
 
 
@@ -71,6 +71,22 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroids.centroid_sha256("centroid").alias("centroid_sha256"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_repeated_tails(documents(spark, sf_dir).select("doc_id", "text"))
+    found = periodic_runs.periodic_runs(docs, exponent=4, least=6, keep=["doc_id"])
+    run = periodic_runs.longest("runs")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        run["start"].alias("start"),
+        (-run["length"]).alias("length"),
+        run["period"].alias("period"),
+        F.floor(-1000 * run["length"] / run["period"]).cast("bigint").alias("exponent_milli"),
+        F.sha2(periodic_runs.run_lines("runs").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
@@ -83,4 +99,5 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_centroids": op11_centroids,
+    "op12_periodic_runs": op12_periodic_runs,
 }

@@ -1,0 +1,137 @@
+"""Periodic runs against a comparison of every word with those of every period before it."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import time
+import zlib
+
+import numpy as np
+import pytest
+
+from streakline.llm import periodic_runs as pr
+
+
+def brute(words, exponent=4, least=6):
+    n, found = len(words), {}
+    for p in range(1, n // exponent + 1):
+        i = 0
+        while i + p < n:
+            j = i
+            while j + p < n and words[j] == words[j + p]:
+                j += 1
+            if j + p - i >= max(least, exponent * p):
+                found.setdefault((i, j + p), p)
+            i = max(j, i) + 1
+    return sorted(((s, e, p) for (s, e), p in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def _random_words(rnd):
+    n, letters = rnd.randint(0, 150), rnd.randint(1, 4)
+    words = [rnd.randrange(letters) for _ in range(n)]
+    if n > 4 and rnd.random() < 0.6:
+        a = rnd.randrange(n)
+        p = 1 + rnd.randrange(1 + (n - a) // 3)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    return words
+
+
+@pytest.mark.parametrize("exponent", [2, 3, 4, 6])
+def test_as_brute_force(exponent):
+    rnd = random.Random(exponent)
+    for _ in range(500):
+        words = _random_words(rnd)
+        assert pr.find_runs(np.array(words, np.int64), exponent) == brute(words, exponent), words
+
+
+def test_nested_runs():
+    inner = [0] * 6 + [1]
+    words = [9, 8, *inner * 5, 7]
+    assert pr.find_runs(np.array(words)) == brute(words)
+    assert len(brute(words)) == 6
+
+
+def test_a_misleading_hash_is_found_out(monkeypatch):
+    """With prefix hashes that always agree in the first sweep, the second one gives the runs."""
+    sweeps, honest = [], pr._Prefixes.equal
+
+    def equal(self, a, b, length):
+        return np.ones(len(a), bool) if len(sweeps) == 1 else honest(self, a, b, length)
+
+    stretches = pr._stretches
+    monkeypatch.setattr(pr, "_stretches", lambda *args: (sweeps.append(1), stretches(*args))[1])
+    monkeypatch.setattr(pr._Prefixes, "equal", equal)
+    words = [*range(100, 120), *[1, 2, 3] * 9, *range(200, 230)]
+    assert pr.find_runs(np.array(words)) == [(20, 47, 3)]
+    assert len(sweeps) == 2
+
+
+@pytest.mark.parametrize("n", [300_000])
+def test_long_texts_take_about_linear_time(n):
+    start = time.time()
+    assert pr.find_runs(np.zeros(n, np.int64)) == [(0, n, 1)]
+    assert pr.find_runs(np.array(([0] * (n // 6) + [1]) * 6))[-1][2] == 1
+    assert pr.find_runs(np.arange(n) % 1000) == [(0, n, 1000)]
+    assert pr.find_runs(np.arange(n)) == []
+    assert time.time() - start < 30
+
+
+def _plain(doc_id, text):
+    words = re.findall("[^\x20\x09-\x0D]+", text or "")
+    n = len(words)
+    if doc_id is not None and n:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute(words)
+    drop = {i for s, e, p in runs for i in range(s + p, e)}
+    best = min(((s - e, s, p) for s, e, p in runs), default=None)
+    first = (None,) * 4 if best is None else (best[1], -best[0], best[2], 1000 * -best[0] // best[2])
+    lines = "".join(f"{s},{e - s},{p}\n" for s, e, p in runs)
+    rest = " ".join(w for i, w in enumerate(words) if i not in drop)
+    return (doc_id, len(runs), *first, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(rest.encode()).hexdigest())
+
+
+def _query(spark, rows, tmp_path, schema="doc_id bigint, text string"):
+    from streakline.llm.queries import QUERIES
+
+    spark.createDataFrame(rows, schema).repartition(3).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    return QUERIES["op12_periodic_runs"](spark, str(tmp_path))
+
+
+COLUMNS = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+
+
+def test_query_as_defined(spark, tmp_path, monkeypatch):
+    rnd = random.Random(3)
+    rows = [(i, " \t\n"[i % 3].join(f"wö{w}" if w else "a" for w in _random_words(rnd))) for i in range(400)]
+    rows += [(None, "a a a a a a a"), (500, None), (501, ""), (502, " \n\t "), (503, "x\u00a0x " * 7), (504, "ok " * 3_000), *rows[:5]]
+    df = _query(spark, rows, tmp_path)
+    assert df.columns == COLUMNS
+    assert {t for n, t in df.dtypes if not n.endswith("256")} == {"bigint"}
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted((_plain(*r) for r in rows), key=repr)
+
+
+def test_whole_table(spark, sf_dir):
+    from streakline.llm.queries import QUERIES
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    found = QUERIES["op12_periodic_runs"](spark, sf_dir).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted((_plain(*d) for d in docs), key=repr)
+
+
+def test_empty_table_and_clashing_columns(spark, tmp_path):
+    assert _query(spark, [], tmp_path).count() == 0
+    df = spark.createDataFrame([(1, "b b b b b b b c", "x", 3)], "doc_id bigint, text string, runs string, collapsed int")
+    row = pr.periodic_runs(df).first()
+    assert row.asDict(recursive=True) == {"doc_id": 1, "text": "b b b b b b b c", "runs": [{"start": 0, "length": 7, "period": 1}], "collapsed": "b c"}
+
+
+def test_texts_do_not_run_into_each_other(spark):
+    df = spark.createDataFrame([(i, "a b a b") for i in range(8)], "doc_id bigint, text string").coalesce(1)
+    assert {len(r["runs"]) for r in pr.periodic_runs(df).collect()} == {0}
