@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streakline.llm import byte_bpe, centroids, frames, line_dedup, packing, periodic_runs, pseudonyms, quality, secret_scan, simhash, suffix_dedup, weighted_sampling
+from streakline.llm import byte_bpe, centroids, frames, language_mixture, line_dedup, packing, periodic_runs, pseudonyms, quality, secret_scan, simhash, suffix_dedup, weighted_sampling
 from streakline.llm.common import documents
 
 
@@ -87,6 +87,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_mixture.languages(documents(spark, sf_dir)).drop("languages")
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
@@ -100,4 +104,5 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_centroids": op11_centroids,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_language": op13_language,
 }
