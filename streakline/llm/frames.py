@@ -149,8 +149,8 @@ def _write(folder: str, end: int | None, tokenizer: str | None, frame: int):
         docs = 0
         with system.open_output_stream(attempt, compression=None) as stream:
             writer = FrameWriter(stream, frame)
-            for batch in batches:
-                for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
+            for rows, texts in encoder.encode_rows(batches):
+                for doc, ids in zip(rows, texts, strict=True):
                     writer.add(doc, ids + tail)
                     docs += 1
             writer.finish()

@@ -44,9 +44,9 @@ def _cut(capacity: int, end: int, path: str | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, encoder = TaskContext.get().partitionId() << 40, word_encoder(path)
-        for batch in batches:
-            ids_of, columns = encoder.encode(batch.column(1).to_pylist()), [[] for _ in range(6)]
-            for doc, ids in zip(batch.column(0).to_pylist(), ids_of, strict=True):
+        for docs, texts in encoder.encode_rows(batches):
+            columns = [[] for _ in range(6)]
+            for doc, ids in zip(docs, texts, strict=True):
                 ids += tail
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]

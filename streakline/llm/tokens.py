@@ -1,27 +1,35 @@
-"""Token ids by the tokenizers library, word by word.
+"""Token ids by the tokenizers library, piece by piece.
 
 The tokenizer drops white space before it splits and never looks across it, so a text's ids are those of its words in
-order. Texts repeat words, and words repeat pieces (a word without its comma or its capital); each worker takes the
-library's steps (normalizer, splitter, merges) once for a word and once for a piece and keeps the ids, up to a bound.
-Normalizing and splitting a Latin word is done here by the same rules, the merges always by the library.
+order, and a word's those of its pieces. Texts repeat words, and words repeat pieces. The words of a stretch of texts
+become codes of its different words; these are lowered and split together by the tokenizer's own rules (Latin letters
+and ASCII; other words take the library's normalizer and splitter), each piece is merged by the library once a worker
+and kept, up to a bound; the ids of the texts are then gathered by the codes.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 WORD_BPE = "word_bpe_49k.json"
+#: Entries of the younger half of a cache; the older half has as many at most.
 KEPT = 250_000
-KEPT_BYTES = 64
+KEPT_LENGTH = 64
+#: Texts of about this many bytes are encoded together.
+STRETCH = 8 << 20
 
-#: Words of printable ASCII and of Latin letters that normalize to themselves and have a lower case of one letter.
-PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+")
-#: The tokenizer's own split, for such words in lower case.
-SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u017e0-9]+")
+#: Anything but white space, printable ASCII and Latin letters that normalize to themselves and have a lower case of one letter.
+OTHER = re.compile("[^\\x20\\x09-\\x0D!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]")
+#: The tokenizer's own split of words without such in lower case, each followed by a line feed.
+SPLIT = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u017e0-9\\x20\\x09-\\x0D]+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -35,49 +43,51 @@ def byte_letters() -> dict[int, str]:
 LETTERS = byte_letters()
 
 
-class _Pieces(dict):
-    """Ids of pieces as the splitter gives them, little-endian unsigned 32-bit."""
+class _Kept(dict):
+    """A cache of two generations: when the younger one is full it becomes the older one, whose entries return when
+    they are used again."""
 
-    def __init__(self, model):
-        self._tokenize = model.tokenize
+    def __init__(self):
+        self._older = {}
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = b"".join([t.id.to_bytes(4, "little") for t in self._tokenize(piece)])
-        if len(piece) <= KEPT_BYTES:
+    def __missing__(self, key: str) -> bytes:
+        ids = self._older.get(key)
+        if ids is None:
+            ids = self.made(key)
+        if len(key) <= KEPT_LENGTH:
             if len(self) >= KEPT:
+                self._older = dict(self)
                 self.clear()
-            self[piece] = ids
+            self[key] = ids
         return ids
 
 
-class _Words(dict):
-    """Ids of words (UTF-8, without ASCII white space)."""
+class _Pieces(_Kept):
+    """Ids of lowered pieces, little-endian unsigned 32-bit."""
 
     def __init__(self, tokenizer):
-        self._tokenizer, self._pieces = tokenizer, _Pieces(tokenizer.model)
+        super().__init__()
+        # The model of a tokenizer is a new object each time; the function keeps this one.
+        self._tokenize = tokenizer.model.tokenize
+        self._bytes = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self._ids(word)
-        if len(word) <= KEPT_BYTES:
-            if len(self) >= KEPT:
-                self.clear()
-            self[word] = ids
-        return ids
+    def made(self, piece: str) -> bytes:
+        if piece == "\n":  # ends a word
+            return b""
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(LETTERS)
+        ids = self._bytes
+        return b"".join([ids[t.id] for t in self._tokenize(letters)])
+
+
+class _Words(_Kept):
+    """Ids of words of any script, by all the library's steps."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self._tokenizer = tokenizer
 
-    def _ids(self, word: bytes) -> bytes:
-        pieces = self._pieces
-        if word.isalpha():  # ASCII letters are one piece in lower case
-            return pieces[word.lower().decode()]
-        if word[-1:] in b".,!?;:" and word[:-1].isalpha():
-            return pieces[word[:-1].lower().decode()] + pieces[word[-1:].decode()]
-        text = word.decode()
-        if "<|" in text:  # may hold a special token
-            return b"".join([i.to_bytes(4, "little") for i in self._tokenizer.encode(text, add_special_tokens=False).ids])
-        if PLAIN.fullmatch(text):
-            parts = SPLIT.findall(text.lower())
-            return b"".join([pieces[p if p.isascii() else p.encode().decode("latin-1").translate(LETTERS)] for p in parts])
-        split = self._tokenizer.pre_tokenizer.pre_tokenize_str(self._tokenizer.normalizer.normalize_str(text))
-        return b"".join([pieces[piece] for piece, _ in split])
+    def made(self, word: str) -> bytes:
+        return b"".join([i.to_bytes(4, "little") for i in self._tokenizer.encode(word, add_special_tokens=False).ids])
 
 
 class WordEncoder:
@@ -90,11 +100,64 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._words = _Words(Tokenizer.from_file(path))
+        tokenizer = Tokenizer.from_file(path)
+        self._pieces, self._words = _Pieces(tokenizer), _Words(tokenizer)
+
+    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words, one after the other, and how many each has."""
+        text = "\n".join(words) + "\n"
+        if "<|" in text or OTHER.search(text):  # the first may begin a special token
+            plain = [not ("<|" in w or OTHER.search(w)) for w in words]
+            ids = [self._piecewise(w) if p else self._words[w] for w, p in zip(words, plain, strict=True)]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        else:
+            pieces = SPLIT.findall(text.lower())
+            ids = list(map(self._pieces.__getitem__, pieces))
+            through = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+            ends = through[np.fromiter(map("\n".__eq__, pieces), bool, len(pieces))]
+            sizes = np.diff(ends, prepend=0) // 4
+        return np.frombuffer(b"".join(ids), "<u4"), sizes
+
+    def _piecewise(self, word: str) -> bytes:
+        return b"".join(map(self._pieces.__getitem__, SPLIT.findall(word.lower())))
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (binary or string), and the bounds of each text's; a null is an empty text."""
+        try:
+            strings = texts.cast(pa.large_string())
+        except pa.ArrowInvalid:  # bytes that are no UTF-8 become U+FFFD
+            strings = pa.array([None if t is None else bytes(t).decode("utf-8", "replace") for t in texts.to_pylist()], pa.large_string())
+        lists = pc.ascii_split_whitespace(strings.fill_null(""))
+        coded = lists.flatten().dictionary_encode()
+        ids, sizes = self._of_words(coded.dictionary.to_pylist())
+        code = coded.indices.to_numpy()
+        counts = sizes[code]
+        through = np.concatenate([[0], np.cumsum(counts)])
+        begins = np.cumsum(sizes) - sizes
+        places = np.arange(through[-1]) + np.repeat(begins[code] - through[:-1], counts)
+        words = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+        return ids[places], through[words]
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        ids = self._words.__getitem__
-        return [b"".join(map(ids, (t or b"").split())) for t in texts]
+        ids, bounds = self.encode_array(pa.array(texts, pa.large_binary()))
+        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def encode_rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+        """The first column and the ids of the second one, for stretches of rows."""
+        waiting, size = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            size += batch.column(1).nbytes
+            if size >= STRETCH:
+                yield self._rows(waiting)
+                waiting, size = [], 0
+        if waiting:
+            yield self._rows(waiting)
+
+    def _rows(self, batches: list[pa.RecordBatch]) -> tuple[list, list[bytes]]:
+        ids, bounds = self.encode_array(pa.concat_arrays([b.column(1).cast(pa.large_binary()) for b in batches]))
+        texts = [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return [x for b in batches for x in b.column(0).to_pylist()], texts
 
 
 @cache

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from streakline.llm.packing import Packing, PackParams, best_fit, crossover, evolve, lower_bound, packed_documents
-from streakline.llm.tokens import KEPT_BYTES, WordEncoder
+from streakline.llm.tokens import KEPT_LENGTH, WordEncoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ENCODER, WHOLE = WordEncoder(PATH), Tokenizer.from_file(PATH)
@@ -22,7 +22,7 @@ TEXTS = [
     "Plain words, and MORE words; it's we'll don't 'stuff 12 345",
     "Ärger É é ́x İ ΟΔΟΣ ΟΔΟΣ. ﬁ ½ 漢字かな 👩‍👩‍👧 a b c\u0085d\x1ce\x00f",
     "<|endoftext|> in <|startoftext|>text x<|endoftext|>y",
-    "x" * 3 * KEPT_BYTES + " tail " + "y" * 20_000,
+    "x" * 3 * KEPT_LENGTH + " tail " + "y" * 20_000,
 ]
 
 
