@@ -5,7 +5,7 @@ values of their format, and put back. The permutation is a Feistel network over
 format with a * b values is its own domain. Equal values have equal pseudonyms in all documents, different ones
 different pseudonyms. What does not validate stays as it is.
 
-Formats: payment card numbers with a right check digit (13 to 19 digits, plain or in fours), phone numbers (the ten
+Formats: payment card numbers with a right check digit (13 to 19 digits, plain, in fours, or as 4-6-5), phone numbers (the ten
 digits after the country code), IPv4 addresses, social security numbers, dates from 1600-03-01 to 2400-02-29 (each
 within its 400-year cycle of the calendar, as year-month-day, day.month.year or month/day/year), and the local part of mail addresses (letters and
 digits, in blocks of 22; equal up to case).
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from streakline.llm.common import ORIGINAL, packed, unpacked
 
 ROUNDS = 10
-MAIL = r"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,62}[A-Za-z0-9])?@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62}\.)+[A-Za-z]{2,24}"
+# A host has 127 labels at most; an open repetition of a group would take the regex engine's stack, a frame a label.
+MAIL = r"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,62}[A-Za-z0-9])?@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62}\.){1,127}[A-Za-z]{2,24}"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 EDGE, END = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
 NUMBERS = (
@@ -32,6 +33,7 @@ NUMBERS = (
     r"[0-9]{2}/[0-9]{2}/[0-9]{4}",
     rf"(?<![0-9]\.){OCTET}(?:\.{OCTET}){{3}}(?!\.[0-9])",
     r"[0-9]{4}([ \-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}",
+    r"[0-9]{4}([ \-])[0-9]{6}\2[0-9]{5}",
     r"[0-9]{13,19}",
     r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     r"[0-9]{3}-[0-9]{3}-[0-9]{4}",
@@ -115,9 +117,9 @@ def _card(key: Column, m: Column) -> Column:
         payload = F.substring(d, F.lit(1), F.length(d) - 1)
         full = _let(_permuted_digits(key, "card", payload), lambda p: F.concat(p, F.pmod(-_luhn(p, 1), F.lit(10)).cast("string")))
         group = F.substring(m, F.lit(5), F.lit(1))
-        spaced = _let(
-            full, lambda f: F.when(F.length(m) == F.length(d), f).otherwise(F.call_function("concat_ws", group, *[F.substring(f, F.lit(i), F.lit(4)) for i in (1, 5, 9, 13)]))
-        )
+        fours = lambda f: F.call_function("concat_ws", group, *[F.substring(f, F.lit(i), F.lit(4)) for i in (1, 5, 9, 13)])
+        three = lambda f: F.call_function("concat_ws", group, *[F.substring(f, F.lit(i), F.lit(n)) for i, n in ((1, 4), (5, 6), (11, 5))])
+        spaced = _let(full, lambda f: F.when(F.length(m) == F.length(d), f).when(F.length(d) == 15, three(f)).otherwise(fours(f)))
         return F.when(_luhn(d, 0) % 10 == 0, spaced).otherwise(m)
 
     return _let(digits, valid)
@@ -207,7 +209,7 @@ def pseudonym(m: Column, key: Column) -> Column:
         .when(m.rlike(r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), _date(key, m, mdy, "MM/dd/yyyy"))
         .when(m.rlike(rf"^{OCTET}(\.{OCTET}){{3}}$"), _address(key, m))
         .when(m.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), _social(key, m))
-        .when(m.rlike(r"^[0-9]{13,19}$|^[0-9]{4}([ \-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}$"), _card(key, m))
+        .when(m.rlike(r"^[0-9]{13,19}$|^[0-9]{4}([ \-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}$|^[0-9]{4}([ \-])[0-9]{6}\2[0-9]{5}$"), _card(key, m))
         .otherwise(_phone(key, m))
     )
 

@@ -59,7 +59,9 @@ def card(m):
         return m
     payload = digits(KEY, "card", d[:-1])
     full = next(payload + c for c in "0123456789" if luhn(payload + c) % 10 == 0)
-    return full if len(m) == len(d) else m[4].join(full[i : i + 4] for i in (0, 4, 8, 12))
+    if len(m) == len(d):
+        return full
+    return m[4].join([full[:4], full[4:10], full[10:]] if len(d) == 15 else [full[i : i + 4] for i in (0, 4, 8, 12)])
 
 
 def phone(m):
@@ -155,3 +157,21 @@ def test_clean_texts_stay(spark, sf_dir):
         for kind in (r"\+1 \(\d{3}\) \d{3}-\d{4}", r"(?<![\w.])[\w.]+@mail\d\.example\.com"):
             assert not set(re.findall(kind, texts[r["doc_id"]] or "")) & set(re.findall(kind, r["text"] or ""))
     assert pseudonymize(spark.createDataFrame([], SCHEMA), KEY).collect() == []
+
+
+@pytest.mark.parametrize("part", ["a.", "a-", "1", "@", "a@", "a@a.", ".", "1.", "1-", "(", "+1 ", "4111 ", "25/", "Aa0@.-+() /", "x" * 62 + "."])
+def test_long_texts_of_a_pattern(spark, part):
+    """Texts of the letters of the patterns, as long as a large page, neither fail nor change."""
+    text = ("a@" + part * (1_000_000 // len(part)))[:1_000_000]
+    df = spark.createDataFrame([(1, text), (2, "me@" + "a." * 2000), (3, "a@" + "b." * 126 + "com")], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["text"] for r in pseudonymize(df, KEY).collect()}
+    assert found[2] == "me@" + "a." * 2000 and found[3].endswith("@" + "b." * 126 + "com")
+    assert len(found[1]) == len(text)
+
+
+def test_cards_in_three_groups(spark):
+    cards = ["3782 822463 10005", "3782-822463-10005", "3782 822463 10006", "3782 822463-10005"]
+    df = spark.createDataFrame([(i, f"pay {c}.") for i, c in enumerate(cards)], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["text"] for r in pseudonymize(df, KEY).collect()}
+    assert [found[i] for i in range(4)] == [f"pay {card(c)}." for c in cards[:3]] + [f"pay {cards[3]}."]
+    assert found[0] != f"pay {cards[0]}."
