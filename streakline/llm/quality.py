@@ -9,6 +9,7 @@ results do not depend on the order of rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +26,8 @@ class QualityParams:
     """Limits. ``share`` is the share of rows in the least-distance subset, at least (rows + 5) / 2 of them: half, so that
     the estimate stands as long as less than half of a group is junk. ``consistency`` is its factor for four normal
     dimensions (share / P(chi2(6) <= chi2(4) quantile of share)). ``steps`` limits the concentration steps, None does
-    not; ``patience`` is the step from which the determinant has to fall. ``floors`` are the least standard deviations, in the
+    not; ``patience`` is the step from which the determinant has to fall. After ``trial`` steps the ``finalists`` of least
+    determinant go on, the other starts of the group end. ``floors`` are the least standard deviations, in the
     units of the transformed statistics, so that a statistic that is nearly constant in a group does not make every
     small departure an outlier. ``cutoff`` is the largest squared distance that is kept, about the 1 - 1e-6 quantile
     of chi2(4). Groups of fewer than ``min_rows`` rows take the estimate of their language."""
@@ -36,6 +38,8 @@ class QualityParams:
     consistency: float = 2.109
     steps: int | None = None
     patience: int = 10
+    trial: int = 2
+    finalists: int = 2
     floors: tuple[float, float, float, float] = (2.0, 0.6, 0.6, 0.06)
     cutoff: float = 33.4
     min_rows: int = 100
@@ -160,9 +164,7 @@ def _starts(vectors: DataFrame, params: QualityParams) -> DataFrame:
     joined = of_statistics[0]
     for other in of_statistics[1:]:
         joined = joined.join(other, "group")
-    # Only these are read later: groups of enough rows, and languages.
-    used = joined.where((F.col("rows") >= params.min_rows) | F.col("group").startswith("language "))
-    each = used.withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    each = joined.withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(4))))
     numbers = [F.get(F.col(f"places{i}"), F.col("start"))["m"].alias(f"m{i}") for i in range(4)]
     for i in range(4):
         for j in range(i + 1):
@@ -172,7 +174,8 @@ def _starts(vectors: DataFrame, params: QualityParams) -> DataFrame:
 
 def _estimates(vectors: DataFrame, params: QualityParams) -> DataFrame:
     """Concentration steps from several starts: distances, the subset of least distances, its mean and covariance, and
-    again until the subset stays the same; of a group's starts, the one with the least determinant. Squared distances
+    again until the subset stays the same; of a group's starts, the one with the least determinant. A start that is not
+    among the best after the first steps goes no further. Squared distances
     are cut on a grid of 32nds up to 1 and of 32nds of a power of two above. Starts that have met go on as one. From
     ``patience`` steps on, a determinant that does not fall ends a start too: the grid could let it run in a circle."""
     keys = ["group", "start"]
@@ -195,18 +198,22 @@ def _estimates(vectors: DataFrame, params: QualityParams) -> DataFrame:
         now = stored(joined.groupBy("group", "rows", "size", *numbers).agg(F.min("start").alias("start"), F.max("over").alias("over")), "estimate")
         ended.append(now.where("over").drop("over"))
         active = now.where("not over").select(*keys, "rows", *numbers)
+        if step == params.trial:
+            ahead = Window.partitionBy("group").orderBy("size", "start")
+            ranked = reduce(DataFrame.unionByName, ended[:-1], now.drop("over")).join(active.select(*keys, F.lit(True).alias("goes_on")), keys, "left")
+            finalists = ranked.withColumn("rank", F.row_number().over(ahead)).where((F.col("rank") <= params.finalists) & F.col("goes_on"))
+            ended.append(ranked.where("goes_on").drop("goes_on"))
+            active = stored(finalists.select(*keys, "rows", *numbers), "finalists")
         if active.isEmpty():
             break
-    every = ended[0]
-    for other in ended[1:]:
-        every = every.unionByName(other)
+    every = reduce(DataFrame.unionByName, ended)
     best = every.groupBy("group").agg(F.min(F.struct("size", "start", "rows", *numbers)).alias("best"))
     return stored(best.select("group", "best.rows", *[f"best.{x}" for x in numbers]), "estimate")
 
 
 def quality(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", params: QualityParams | None = None) -> DataFrame:
     """The documents' columns and ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
-    ``base_failed``, ``distance2`` (squared distance, null where the fixed limits fail) and ``kept``.
+    ``base_failed``, ``kept`` and ``distance2`` (squared distance, null where the fixed limits fail).
 
     A null text counts as empty and fails. A null language or source is a value of its own. Repeated rows count as
     often as they occur. Columns named like a new one are replaced.
@@ -247,7 +254,13 @@ def _judged(stats: DataFrame, columns: list[str], params: QualityParams) -> Data
     }
     slim = passed.select("group", "language", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     vectors = stored(slim.join(centre, "language").withColumns(vector).select("group", "language", *vector), "quality_vectors")
-    leveled = vectors.select(F.explode(F.array("group", F.concat(F.lit("language "), "language"))).alias("group"), *vector)
+    # A group of enough rows has its own estimate; a language has one where it has a smaller group.
+    sizes = vectors.groupBy("group", "language").agg((F.count("*") >= params.min_rows).alias("own"))
+    of_language = F.concat(F.lit("language "), F.col("language"))
+    small = F.min("own").over(Window.partitionBy("language"))
+    levels = F.array_compact(F.array(F.when(F.col("own"), F.col("group")), F.when(~F.col("all_own"), of_language)))
+    levels = stored(sizes.withColumn("all_own", small).select("group", levels.alias("levels")), "levels")
+    leveled = stored(vectors.join(levels, "group").select(F.explode("levels").alias("group"), *vector), "quality_levels")
     estimates = _estimates(leveled, params)
     large = stored(estimates.where(F.col("rows") >= params.min_rows), "estimates_of_groups")
     groups = large.select(F.col("group"), F.lit(True).alias("own"))
@@ -261,5 +274,5 @@ def _judged(stats: DataFrame, columns: list[str], params: QualityParams) -> Data
     scored = _add_distance(scored).withColumn("d2", F.when(~F.col("base_failed"), F.col("d2")))
     new = {
         name: F.col(name) for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    } | {"distance2": F.col("d2"), "kept": ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= params.cutoff)}
+    } | {"kept": ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= params.cutoff), "distance2": F.col("d2")}
     return unpacked(scored, columns, **new)
