@@ -202,7 +202,6 @@ def _estimates(vectors: DataFrame, params: QualityParams) -> DataFrame:
             ahead = Window.partitionBy("group").orderBy("size", "start")
             ranked = reduce(DataFrame.unionByName, ended[:-1], now.drop("over")).join(active.select(*keys, F.lit(True).alias("goes_on")), keys, "left")
             finalists = ranked.withColumn("rank", F.row_number().over(ahead)).where((F.col("rank") <= params.finalists) & F.col("goes_on"))
-            ended.append(ranked.where("goes_on").drop("goes_on"))
             active = stored(finalists.select(*keys, "rows", *numbers), "finalists")
         if active.isEmpty():
             break

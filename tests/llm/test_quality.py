@@ -163,6 +163,7 @@ def _plain_estimate(x, params):
             for s in sorted(done):
                 met.setdefault(tuple(np.round(np.concatenate([done[s][0], done[s][1].ravel()]), 9)), s)
             best = sorted(met.values(), key=lambda s: (size(done[s][1]), s))[: params.finalists]
+            done = {s: e for s, e in done.items() if s in best or s not in states or states[s][1]}
             states = {s: states[s] for s in states if s in best}
         states = {s: state for s, state in states.items() if not state[1]}
         if not states:
