@@ -63,7 +63,8 @@ def new(bars: DataFrame) -> DataFrame:
 
 def part_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing rows in the long form, one per part and day, with faults: every tenth day lands twice, first with
-    the opening price as close; on the 7th the close of parts ending in 7 reads ``nan``; volumes read ``12.0``."""
+    the opening price as close; on the 7th the close of parts ending in 7 reads ``nan``; volumes read ``12.0``; the
+    15th lands once more without a date, NULL for even parts, a blank for odd ones."""
     bars = part_bars(spark, sf_dir)
     text = bars.select(
         F.col("stock_valuation_date").cast("string").alias("date"),
@@ -71,8 +72,10 @@ def part_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(F.col(f"{field}_value").cast("string").alias(field) for field in FIELDS),
         F.dayofmonth("stock_valuation_date").alias("_day"),
     )
-    copies = F.sequence(F.lit(1).cast("bigint"), F.when(F.col("_day") % 10 == 0, 2).otherwise(1).cast("bigint"))
+    copies = F.sequence(F.lit(1).cast("bigint"), F.when((F.col("_day") % 10 == 0) | (F.col("_day") == 15), 2).otherwise(1).cast("bigint"))
+    blank = F.when(F.col("stock").cast("bigint") % 2 == 1, " ")
     landed = text.withColumn("ingest_seq", F.explode(copies))
+    landed = landed.withColumn("date", F.when((F.col("_day") == 15) & (F.col("ingest_seq") == 2), blank).otherwise(F.col("date")))
     stale = (F.col("_day") % 10 == 0) & (F.col("ingest_seq") == 1)
     close = F.when(stale, F.col("open")).when((F.col("_day") == 7) & F.col("stock").endswith("7"), "nan").otherwise(F.col("close"))
     return landed.withColumns({"close": close, "volume": F.concat("volume", F.lit(".0"))}).drop("_day")

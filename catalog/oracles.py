@@ -278,12 +278,37 @@ marked AS (
   SELECT *, stock_valuation_date < DATE '2000-01-01' AND day(stock_valuation_date) <> 12 AS known,
          max(CASE WHEN stock_valuation_date < DATE '2000-01-01' AND day(stock_valuation_date) <> 12 THEN stock_valuation_date END)
            OVER (PARTITION BY stock) AS high_water FROM live)"""
-part("part_ingest", "SELECT * EXCLUDE (known, high_water) FROM marked WHERE known OR high_water IS NULL OR stock_valuation_date > high_water", PART_LIVE)
-part("part_late_rows", "SELECT * EXCLUDE (known, high_water) FROM marked WHERE NOT known AND stock_valuation_date <= high_water", PART_LIVE)
+_live = "id, stock_valuation_date, stock, {} AS close_value, high_value, low_value, open_value, volume_value"
+_raised = "CAST(CASE WHEN known AND day(stock_valuation_date) = 14 THEN close_value + 1 ELSE close_value END AS DECIMAL(12,4))"
+part(
+    "part_ingest",
+    f"SELECT {_live.format(_raised)} FROM marked WHERE known OR high_water IS NULL OR stock_valuation_date > high_water",
+    PART_LIVE,
+)
+part(
+    "part_late_rows",
+    f"""SELECT {_live.format("close_value")} FROM marked
+    WHERE stock_valuation_date <= high_water AND (NOT known OR day(stock_valuation_date) = 14)""",
+    PART_LIVE,
+)
 part(
     "part_rejected_rows",
     """SELECT CAST(stock_valuation_date AS VARCHAR) AS date, stock, 'close' AS field, 'nan' AS raw_value FROM bars
-    WHERE day(stock_valuation_date) = 7 AND stock LIKE '%7'""",
+    WHERE day(stock_valuation_date) = 7 AND stock LIKE '%7'
+    UNION ALL SELECT blank, stock, 'date', blank FROM
+      (SELECT DISTINCT stock, CASE WHEN CAST(stock AS BIGINT) % 2 = 1 THEN ' ' END AS blank,
+              open_value, high_value, low_value, close_value, volume_value FROM bars WHERE day(stock_valuation_date) = 15)""",
+)
+part(
+    "part_landed_balance",
+    """, dateless AS (SELECT DISTINCT stock, open_value, high_value, low_value, close_value, volume_value FROM bars
+      WHERE day(stock_valuation_date) = 15),
+    kinds AS (SELECT CASE WHEN high_water IS NULL OR stock_valuation_date > high_water THEN 'new' WHEN NOT known THEN 'behind'
+                          WHEN day(stock_valuation_date) = 14 THEN 'restated' ELSE 'unchanged' END AS outcome FROM marked)
+    SELECT outcome, count(*) AS n FROM kinds GROUP BY outcome
+    UNION ALL SELECT 'dateless', count(*) FROM dateless
+    UNION ALL SELECT 'landed', (SELECT count(*) FROM dateless) + (SELECT count(*) FROM bars)""",
+    PART_LIVE,
 )
 part(
     "part_upsert_live",

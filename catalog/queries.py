@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.inputs import SPLIT, STEP_DAY, TICKERS, new, old, order_bars, part_bars, part_landing, staging_wide, table
+from streakline import schemas
 from streakline.config import IndicatorParams
 from streakline.families import AVERAGE, FAMILIES, HIGH_LOW, MOVING_AVG, BucketFamily
 from streakline.functions.calendar import instant_utc, next_business_day, prev_business_day
@@ -213,11 +214,22 @@ def _(spark, sf_dir):
     return cleaning.late_rows(bars, old(bars).where(F.dayofmonth("stock_valuation_date") != 12))
 
 
-def _part_ingested(spark, sf_dir) -> marts.Ingested:
-    """Parts in the long form land whole on a live table that ends at the split and lacks every 12th of a month."""
+def _part_landed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Parts in the long form, and a live table that ends at the split, lacks every 12th of a month and has a close that is
+    one higher on every 14th."""
     long_text = marts.write_and_read(cleaning.dedup_long(part_landing(spark, sf_dir)), scratch_path(spark, "long_text"))
     known = old(cleaning.typed_bars(long_text)).where(F.dayofmonth("stock_valuation_date") != 12)
-    return marts.ingest_long(long_text, known)
+    raised = (F.col("close_value") + F.when(F.dayofmonth("stock_valuation_date") == 14, 1).otherwise(0)).cast(schemas.PRICE)
+    return long_text, known.withColumn("close_value", raised)
+
+
+def _part_ingested(spark, sf_dir) -> marts.Ingested:
+    return marts.ingest_long(*_part_landed(spark, sf_dir))
+
+
+@query("part_landed_balance")
+def _(spark, sf_dir):
+    return cleaning.landed_balance(*_part_landed(spark, sf_dir))
 
 
 @query("part_ingest")

@@ -22,22 +22,28 @@ def newest_per_key(df: DataFrame, keys: Sequence[Column], newest_first: Sequence
     return df.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
+def _same_day(values: Sequence[str]) -> list[Column]:
+    """What makes two landing rows one: their day as a date, an unreadable date as text, without any date all values."""
+    day = F.coalesce(F.col("date").try_cast("date").cast("string"), F.col("date"))
+    dateless = F.when(_stripped("date").isNull(), F.struct(*(F.col(f"`{name}`") for name in values)))
+    return [day, dateless]
+
+
 def dedup_by_date(wide: DataFrame) -> DataFrame:
     """One landing row per day: the latest ingest, ties broken by all other columns.
 
     Days compare as dates, so two spellings of a day are one; unreadable
-    spellings compare as text and stay apart for ``rejected_rows``.
+    spellings compare as text, rows without a date by all their values, and
+    stay apart for ``rejected_rows``.
     """
-    day = F.coalesce(F.col("date").try_cast("date").cast("string"), F.col("date"))
-    rest = [F.desc(f"`{name}`") for name in wide.columns if name not in ("date", "ingest_seq")]
-    return newest_per_key(wide, [day], [F.desc("ingest_seq"), *rest])
+    values = [name for name in wide.columns if name not in ("date", "ingest_seq")]
+    return newest_per_key(wide, _same_day(values), [F.desc("ingest_seq"), *(F.desc(f"`{name}`") for name in values)])
 
 
 def dedup_long(long_text: DataFrame) -> DataFrame:
     """One text row per stock and day: the latest ingest, as ``dedup_by_date`` for the long form."""
-    day = F.coalesce(F.col("date").try_cast("date").cast("string"), F.col("date"))
     rest = [F.desc(name) for name in FIELDS]
-    return newest_per_key(long_text, [F.col("stock"), day], [F.desc("ingest_seq"), *rest]).select("date", "stock", *FIELDS)
+    return newest_per_key(long_text, [F.col("stock"), *_same_day(FIELDS)], [F.desc("ingest_seq"), *rest]).select("date", "stock", *FIELDS)
 
 
 def unpivot_live(wide: DataFrame, tickers: tuple[str, ...]) -> DataFrame:
@@ -74,17 +80,13 @@ def typed_bars(long_text: DataFrame) -> DataFrame:
 
 
 def rejected_rows(long_text: DataFrame) -> DataFrame:
-    """Every non-empty text that does not cast, one row each."""
-    checks = [("date", F.col("date").try_cast("date"))] + [(f, _number(f)) for f in FIELDS]
-    faults = F.array(
-        *(
-            F.when(
-                _stripped(name).isNotNull() & typed.isNull(),
-                F.struct(F.lit(name).alias("field"), F.col(name).alias("raw_value")),
-            )
-            for name, typed in checks
-        )
-    )
+    """Every non-empty text that does not cast, and every date that is missing, one row each."""
+
+    def fault(name: str, found: Column) -> Column:
+        return F.when(found, F.struct(F.lit(name).alias("field"), F.col(name).alias("raw_value")))
+
+    dateless = fault("date", F.col("date").try_cast("date").isNull())
+    faults = F.array(dateless, *(fault(f, _stripped(f).isNotNull() & _number(f).isNull()) for f in FIELDS))
     return long_text.select("date", "stock", F.inline(F.array_compact(faults)))
 
 
@@ -102,11 +104,36 @@ def incremental_filter(source: DataFrame, target: DataFrame) -> DataFrame:
     return _with_high_water(source, target).where(F.col("stock_valuation_date") > floor).select(*source.columns)
 
 
+def outcomes(source: DataFrame, target: DataFrame) -> DataFrame:
+    """The source and what becomes of each row, ``outcome``: ``new`` after its stock's newest target day; else
+    ``unchanged`` if the target holds the key with the same values, ``restated`` with others, ``behind`` if it lacks the
+    key. Values are the columns both sides have, NULL equals NULL. The target's keys are unique."""
+    values = [name for name in source.columns if name in target.columns and name not in (*LIVE_KEY, "id")]
+    known = target.select(*LIVE_KEY, F.struct(*values).alias("_known"))
+    kind = (
+        F.when(F.col("_high_water").isNull() | (F.col("stock_valuation_date") > F.col("_high_water")), "new")
+        .when(F.col("_known").isNull(), "behind")
+        .when(F.struct(*values).eqNullSafe(F.col("_known")), "unchanged")
+        .otherwise("restated")
+    )
+    joined = _with_high_water(source, target).join(known, list(LIVE_KEY), "left")
+    return joined.select(*source.columns, kind.alias("outcome"))
+
+
 def late_rows(source: DataFrame, target: DataFrame) -> DataFrame:
-    """What ``incremental_filter`` leaves out and the target does not hold either."""
-    behind = _with_high_water(source, target).where(F.col("stock_valuation_date") <= F.col("_high_water"))
-    known = target.select(*LIVE_KEY)
-    return behind.join(known, list(LIVE_KEY), "left_anti").select(*source.columns)
+    """What ``incremental_filter`` leaves out and the target does not hold with the same values: missing days, and
+    known days whose values are restated."""
+    return outcomes(source, target).where(F.col("outcome").isin("behind", "restated")).drop("outcome")
+
+
+def landed_balance(long_text: DataFrame, live: DataFrame) -> DataFrame:
+    """``outcome`` and ``n``: how many landed rows (``landed``) came to each of the ``outcomes`` or have no readable date
+    (``dateless``); these add up to those."""
+    of_bars = outcomes(typed_bars(long_text), live).groupBy("outcome").agg(F.count("*").alias("n"))
+    readable = F.col("date").try_cast("date").isNotNull()
+    counts = long_text.agg(F.count("*").alias("landed"), F.count_if(~readable).alias("dateless"))
+    of_text = counts.select(F.inline(F.array(*(F.struct(F.lit(c).alias("outcome"), F.col(c).alias("n")) for c in ("landed", "dateless")))))
+    return of_bars.unionByName(of_text)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

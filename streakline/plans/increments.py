@@ -69,7 +69,7 @@ class StreakStore:
 
     def apply(self, batch: int, bars: DataFrame) -> None:
         """Takes in one batch of bars, unique on (stock, day). Bars at or before their stock's
-        newest stored day go to the ``late`` table instead of changing history."""
+        newest stored day, missing or with another price, go to the ``late`` table instead of changing history."""
         self._write(bars.select(*_BAR_COLUMNS), "incoming", batch)
         incoming = self._read("incoming", _BARS, batch)
 
@@ -81,7 +81,8 @@ class StreakStore:
             tail = self.tail(batch - 1).join(touched, "stock", "left_semi")
             days = classify_increment(tail, incremental_filter(incoming, tail), self.params)
             oldest = incoming.agg(F.min("stock_valuation_date")).scalar()
-            known = self.days(batch - 1).where(F.col("stock_valuation_date") >= oldest)
+            days_before = self.days(batch - 1).select("stock", "stock_valuation_date", F.col("stock_value").alias("close_value"))
+            known = days_before.where(F.col("stock_valuation_date") >= oldest).join(touched, "stock", "left_semi")
             self._write(late_rows(incoming, known), "late", batch)
         self._write(days, "days", batch)
         days = self._read("days", schemas.CLASSIFIED, batch)

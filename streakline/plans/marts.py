@@ -14,8 +14,8 @@ from streakline.session import scratch_path
 
 @dataclass(frozen=True)
 class Ingested:
-    """``live``: the new live table. ``late``: bars behind their stock's newest day that live does not
-    hold. ``rejected``: texts that do not cast. Nothing that lands is in none of them."""
+    """``live``: the new live table. ``late``: bars up to their stock's newest day that live does not hold, or holds with
+    other values. ``rejected``: texts that do not cast and dates that are missing. Nothing that lands is in none of them."""
 
     live: DataFrame
     late: DataFrame

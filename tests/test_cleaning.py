@@ -95,7 +95,10 @@ def test_incremental_filter_and_late_rows(spark):
     source = _live(spark, *((f"2024-01-0{d}", 1, "9", "", "9") for d in (2, 3, 4, 5)))
     fresh = rows(cleaning.incremental_filter(source, target), "stock", "stock_valuation_date")
     assert fresh == [("AAPL", date(2024, 1, 5)), *(("NVDA", date(2024, 1, d)) for d in (3, 4, 5))]
-    assert rows(cleaning.late_rows(source, target), "stock", "stock_valuation_date") == [("AAPL", date(2024, 1, 3))]
+    late = rows(cleaning.late_rows(source, target), "stock", "stock_valuation_date")
+    assert late == [*(("AAPL", date(2024, 1, d)) for d in (2, 3, 4)), ("NVDA", date(2024, 1, 2))]
+    same = rows(cleaning.late_rows(target.unionByName(source.where("stock_valuation_date = '2024-01-03'")), target), "stock", "stock_valuation_date")
+    assert same == [("AAPL", date(2024, 1, 3))]
     assert cleaning.incremental_filter(source, target.limit(0)).count() == source.count()
 
 
@@ -127,10 +130,24 @@ def test_nothing_that_lands_is_lost(spark):
     out = marts.ingest(second, TICKERS, live)
     assert rows(out.live, "stock_valuation_date").count((date(2024, 1, 2),)) == 2
     assert {r[0].day for r in rows(out.live, "stock_valuation_date")} == {2, 4, 5}
-    assert {r[0].day for r in rows(out.late, "stock_valuation_date")} == {3}
+    assert {r[0].day for r in rows(out.late, "stock_valuation_date")} == {2, 3}
     assert {(r[0], r[1]) for r in rows(out.rejected, "field", "raw_value")} == {("close", "oops"), ("date", "no day")}
 
 
+def test_restated_and_dateless_rows_are_kept(spark):
+    """Another price of a known day is late, a row without a date rejected; rows without a date stay apart."""
+    live = marts.ingest(_landing(spark, ("2024-01-02", 1, "1", "", "2"), ("2024-01-04", 1, "2", "", "3")), TICKERS).live
+    second = _landing(spark, ("2024-01-02", 1, "8", "", "2"), ("2024-01-04", 1, "2", "", ""), (None, 1, "1", "", "1"), (None, 2, "2", "", "2"), (" ", 3, "1", "", "1"))
+    out = marts.ingest(second, TICKERS, live)
+    assert rows(out.live) == rows(live)
+    late = {(r["stock"], r["stock_valuation_date"].day, r["close_value"]) for r in out.late.collect()}
+    assert late == {("AAPL", 2, Decimal("8.0000")), ("NVDA", 4, None)}
+    assert rows(out.rejected, "date", "field").count((None, "date")) == 4 and rows(out.rejected, "date", "field").count((" ", "date")) == 2
+    long_text = cleaning.unpivot_live(cleaning.dedup_by_date(second), TICKERS)
+    balance = {r["outcome"]: r["n"] for r in cleaning.landed_balance(long_text, live).collect()}
+    assert balance == {"landed": 10, "unchanged": 2, "restated": 2, "dateless": 6}
+
+
 def test_empty_landing(spark):
     empty = _landing(spark, ("2024-01-02", 1, "1", "", "2")).limit(0)
     assert marts.ingest(empty, TICKERS).live.count() == 0
