@@ -472,6 +472,7 @@ _summary = """SELECT stock, highest_lowest_valuation_key, count(*) AS streak_cou
        CAST(sum(day_length) AS DOUBLE) / count(*) AS average_days, max(day_length) AS longest_days FROM metric GROUP BY 1, 2"""
 order("bucket_summary", _summary, *HIGH_LOW_MART)
 part("part_bucket_summary", _summary, *HIGH_LOW_MART)
+part("part_store_summary", _summary, *HIGH_LOW_MART)
 order(
     "daily_tracking",
     f"""SELECT {BAR_COLUMNS}, lag(close_value) OVER w AS previous_close, close_value - lag(close_value) OVER w AS day_change
@@ -698,3 +699,39 @@ order(
 # --- streaming ------------------------------------------------------------------------------------
 
 ORACLES["streak_stream"] = _with(EVENT_BARS, *HIGH_LOW_MART, select="SELECT * FROM metric")
+
+# --- events as of their time, versions of a table ---------------------------------------------------
+
+_lines = """, placed AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS stock, CAST(o_orderdate AS DATE) AS day
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+for _name, _compare in (("part_asof", ">="), ("part_asof_forward", "<=")):
+    part(
+        _name,
+        f"""{_lines}
+        SELECT l_orderkey, l_linenumber, CASE WHEN abs(day - stock_valuation_date) <= 90 THEN stock_valuation_date END AS price_date,
+               CASE WHEN abs(day - stock_valuation_date) <= 90 THEN close_value END AS close_value
+        FROM placed r ASOF LEFT JOIN bars b ON r.stock = b.stock AND r.day {_compare} b.stock_valuation_date""",
+    )
+part(
+    "part_asof_nearest",
+    f"""{_lines},
+    both_sides AS (SELECT r.*, b.stock_valuation_date AS d1, b.close_value AS c1, a.stock_valuation_date AS d2, a.close_value AS c2
+      FROM placed r ASOF LEFT JOIN bars b ON r.stock = b.stock AND r.day >= b.stock_valuation_date
+      ASOF LEFT JOIN bars a ON r.stock = a.stock AND r.day <= a.stock_valuation_date),
+    chosen AS (SELECT *, d2 IS NULL OR day - d1 <= d2 - day AS early FROM both_sides)
+    SELECT l_orderkey, l_linenumber, CASE WHEN abs(day - CASE WHEN early THEN d1 ELSE d2 END) <= 90 THEN CASE WHEN early THEN d1 ELSE d2 END END AS price_date,
+           CASE WHEN abs(day - CASE WHEN early THEN d1 ELSE d2 END) <= 90 THEN CASE WHEN early THEN c1 ELSE c2 END END AS close_value FROM chosen""",
+)
+part(
+    "part_merge_files",
+    """, picked AS (SELECT stock, stock_valuation_date, close_value FROM bars WHERE CAST(stock AS BIGINT) % 50 = 0 AND year(stock_valuation_date) = 1997),
+    moved AS (SELECT stock, stock_valuation_date, close_value FROM picked
+      UNION ALL SELECT stock, CAST(stock_valuation_date + INTERVAL 4 YEAR AS DATE), close_value FROM picked)
+    SELECT stock, stock_valuation_date, CAST(close_value + 1 AS DECIMAL(12,4)) AS close_value FROM moved
+    UNION ALL SELECT stock, stock_valuation_date, close_value FROM bars b
+    WHERE NOT EXISTS (SELECT 1 FROM moved m WHERE m.stock = b.stock AND m.stock_valuation_date = b.stock_valuation_date)""",
+)
+part(
+    "part_table_as_of",
+    f"""SELECT stock, stock_valuation_date, close_value, unnest(CASE WHEN stock_valuation_date < DATE '{SPLIT}' THEN [0, 1] ELSE [1] END) AS version FROM bars""",
+)

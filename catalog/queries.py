@@ -17,12 +17,14 @@ from streakline.functions.calendar import instant_utc, next_business_day, prev_b
 from streakline.functions.classify import bucket_position, classify_high_low
 from streakline.functions.keys import surrogate_id
 from streakline.operators import alerts, backtest, cleaning, incremental, indicators, quality, streaks
+from streakline.operators.asof import asof_join
 from streakline.plans import marts
 from streakline.plans.increments import StreakStore
 from streakline.session import scratch_path
 from streakline.sources import bars as bar_source
 from streakline.sources.dims import dim
 from streakline.sources.landing import append_rows, pivot_wide, read_wide_csv, write_wide_csv
+from streakline.sources.versioned import VersionedTable
 from streakline.streaming.streaks import closed_day_bars, flush, last_batch, start_streaks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -524,28 +526,85 @@ def _(spark, sf_dir):
 STORE_CUTS = ("1997-01-01", "1998-07-01", "2000-01-01", "2001-01-01")
 
 
+def _part_store(spark: SparkSession, sf_dir: str, family: BucketFamily) -> StreakStore:
+    """Five batches over stored state. From the second on each brings, besides its own span, the
+    month before with other prices, which lies behind the stored days and changes nothing. Most
+    stocks are idle in some batch, some appear late."""
+    bars = marts.write_and_read(part_bars(spark, sf_dir).select(*KEYS, "close_value"), scratch_path(spark, "bars"))
+    store = StreakStore(spark, scratch_path(spark, "store"), (family,))
+    edges = (None, *STORE_CUTS, None)
+    for batch, (start, end) in enumerate(zip(edges, edges[1:], strict=False)):
+        span = bar_source.bars_in_range(bars, start, end)
+        if start:
+            before = bar_source.in_range(bars, "stock_valuation_date", date.fromisoformat(start) - timedelta(days=30), start)
+            span = span.unionByName(before.withColumn("close_value", (F.col("close_value") + 1).cast("decimal(12,4)")))
+        store.apply(batch, span)
+    return store
+
+
 def _register_store(family: BucketFamily) -> None:
     @query(f"part_store_{family.name}")
     def _(spark, sf_dir):
-        """Five batches over stored state. From the second on each brings, besides its own span, the
-        month before with other prices, which lies behind the stored days and changes nothing. Most
-        stocks are idle in some batch, some appear late."""
-        bars = marts.write_and_read(part_bars(spark, sf_dir).select(*KEYS, "close_value"), scratch_path(spark, "bars"))
-        store = StreakStore(spark, scratch_path(spark, "store"), (family,))
-        edges = (None, *STORE_CUTS, None)
-        for batch, (start, end) in enumerate(zip(edges, edges[1:], strict=False)):
-            span = bar_source.bars_in_range(bars, start, end)
-            if start:
-                before = bar_source.in_range(bars, "stock_valuation_date", date.fromisoformat(start) - timedelta(days=30), start)
-                span = span.unionByName(before.withColumn("close_value", (F.col("close_value") + 1).cast("decimal(12,4)")))
-            store.apply(batch, span)
-        return store.metric(family, len(STORE_CUTS))
+        return _part_store(spark, sf_dir, family).metric(family, len(STORE_CUTS))
 
 
 for _family in FAMILIES:
     _register_store(_family)
 
 
+@query("part_store_summary")
+def _(spark, sf_dir):
+    """The summary kept by the five batches, without a look at closed streaks."""
+    return _part_store(spark, sf_dir, HIGH_LOW).summary(HIGH_LOW, len(STORE_CUTS))
+
+
+# --- events as of their time ----------------------------------------------------------------------
+
+
+def _register_asof(direction: str) -> None:
+    @query("part_asof" if direction == "backward" else f"part_asof_{direction}")
+    def _(spark, sf_dir):
+        """Each line, on the day of its order, beside the part's closing price of that day or the nearest one within 90 days."""
+        ordered = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("stock_valuation_date"))
+        lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("stock")).join(ordered, "l_orderkey")
+        prices = part_bars(spark, sf_dir).select(*KEYS, "close_value")
+        found = asof_join(lines, prices, ["stock"], "stock_valuation_date", "90 days", direction)
+        return found.select(
+            "l_orderkey", "l_linenumber", F.col("matched.stock_valuation_date").alias("price_date"), F.col("matched.close_value").alias("close_value")
+        )
+
+
+for _direction in ("backward", "forward", "nearest"):
+    _register_asof(_direction)
+
+
+# --- versions of a table --------------------------------------------------------------------------
+
+
+def _versioned_parts(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    """Version 0 holds the bars up to the split, 1 also those after it, in 2 the closes of some parts' days of 1997 are one
+    higher, and days of 2001 come in."""
+    bars = part_bars(spark, sf_dir).select(*KEYS, "close_value")
+    versions = VersionedTable(spark, scratch_path(spark, "versions"), bars.schema)
+    versions.replace(old(bars).repartitionByRange("stock", "stock_valuation_date"))
+    versions.merge(new(bars), KEYS)
+    some = bars.where((F.col("stock").cast("bigint") % 50 == 0) & (F.year("stock_valuation_date") == 1997))
+    moved = some.unionByName(some.withColumn("stock_valuation_date", F.add_months("stock_valuation_date", 48)).dropDuplicates(KEYS))
+    versions.merge(moved.withColumn("close_value", (F.col("close_value") + 1).cast(schemas.PRICE)), KEYS)
+    return versions
+
+
+@query("part_merge_files")
+def _(spark, sf_dir):
+    return _versioned_parts(spark, sf_dir).as_of()
+
+
+@query("part_table_as_of")
+def _(spark, sf_dir):
+    versions = _versioned_parts(spark, sf_dir)
+    return versions.as_of(0).withColumn("version", F.lit(0)).unionByName(versions.as_of(1).withColumn("version", F.lit(1)))
+
+
 # --- alerts ---------------------------------------------------------------------------------------
 
 

@@ -33,6 +33,23 @@ def _plus(schema: T.StructType, partition: str) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(partition, T.IntegerType())])
 
 
+def _summary(family: BucketFamily) -> str:
+    return f"{family.mart}_summary"
+
+
+def _partial(streaks: DataFrame, family: BucketFamily) -> DataFrame:
+    """Number, sum and maximum of the streaks' lengths, which merge with those of other streaks."""
+    length = F.col("day_length")
+    return streaks.groupBy("stock", family.key_column).agg(
+        F.count(F.lit(1)).alias("streak_count"), F.sum(length).alias("total_days"), F.max(length).alias("longest_days")
+    )
+
+
+def _merged(partial: DataFrame, family: BucketFamily) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in ("streak_count", "total_days")]
+    return partial.groupBy("stock", family.key_column).agg(*sums, F.max("longest_days").alias("longest_days"))
+
+
 @dataclass(frozen=True)
 class StreakStore:
     spark: SparkSession
@@ -104,6 +121,29 @@ class StreakStore:
                     changed = changed.unionByName(idle)
             changed = changed.withColumn("is_open", F.col("is_open").cast("int"))
             self._write(changed, family.mart, batch, "is_open")
+            self._add_to_summary(family, batch, None if batch == 0 else touched, compacts)
+
+    def _summary_schema(self, family: BucketFamily) -> T.StructType:
+        counts = [T.StructField("streak_count", T.LongType()), T.StructField("total_days", T.LongType())]
+        return T.StructType([*(schemas.metric(family)[c] for c in ("stock", family.key_column)), *counts, T.StructField("longest_days", T.IntegerType())])
+
+    def _add_to_summary(self, family: BucketFamily, batch: int, touched: DataFrame | None, compacts: bool) -> None:
+        """The touched stocks' sums over closed streaks: those of the batch before and what this batch has closed."""
+        closed = self._read(family.mart, self._streak_schema(family), batch).where("is_open = 0")
+        sums = _partial(closed, family)
+        if touched is not None:
+            known = self._newest(_summary(family), self._summary_schema(family), batch - 1)
+            sums = _merged(sums.unionByName(known.join(touched, "stock", "left_semi")), family)
+            if compacts:
+                sums = sums.unionByName(known.join(touched, "stock", "left_anti"))
+        self._write(sums, _summary(family), batch)
+
+    def summary(self, family: BucketFamily, batch: int) -> DataFrame:
+        """``bucket_summary`` as of ``batch``, from the stored sums and the open streaks; no closed streak is read."""
+        stored = self._newest(_summary(family), self._summary_schema(family), batch)
+        merged = _merged(stored.unionByName(_partial(self.open_streaks(family, batch), family)), family)
+        average = F.col("total_days").cast("double") / F.col("streak_count").cast("double")
+        return merged.select("stock", family.key_column, "streak_count", "total_days", average.alias("average_days"), "longest_days")
 
     def metric(self, family: BucketFamily, batch: int) -> DataFrame:
         """The family's mart as of ``batch``: all closed streaks, and each stock's open one."""
