@@ -1,13 +1,16 @@
 """Document fingerprints by consistent weighted sampling.
 
-The terms of a text are its runs of five words, weighted by how often they occur. Each term falls into one of 2^18
-dimensions. For every dimension and sample there are three fixed random numbers: r and c of the Gamma(2, 1)
-distribution and b uniform. With weight w, t = floor(ln w / r + b), y = exp(r (t - b)), a = c / (y exp(r)); the
-dimension with the least a is sampled, together with its t. Two texts draw the same sample with the probability of
-their generalised Jaccard similarity, the sum of the lesser over the sum of the greater weights.
-
-The random numbers are a hash of dimension, sample and kind, so all tasks have the same ones. For weight 1, the usual
-one, ln a = ln c + r b - r does not depend on the text: a table of it serves all terms of a worker.
+The terms of a text are its runs of five words, weighted by how often they occur, each known by its 64-bit hash. For
+every term and sample there are three fixed random numbers: r and c of the Gamma(2, 1) distribution and b uniform. With
+weight w, t = floor(ln w / r + b), y = exp(r (t - b)), a = c / (y exp(r)); the term with the least a is sampled, together
+with its t. Two texts draw the same sample with the probability of their generalised Jaccard similarity, the sum of the
+lesser over the sum of the greater weights.
+
+The random numbers are drawn from a fixed pool of 2^18 triples, by a hash of term and sample, so all tasks have the same
+ones: the highest bits of the product of the term's hash and the sample's factor. Of terms with the same triple the one
+of the least product is sampled, an order that does not depend on the text. The sample names the term itself, so texts
+without a common term do not meet, whatever their length. For weight 1, the usual one, ln a = ln c + r b - r. The pool
+is in its order, so the least product has the least a, and as factors are odd, the product tells its term.
 """
 
 from __future__ import annotations
@@ -23,45 +26,54 @@ from pyspark.sql import functions as F
 from streakline.llm.common import partitions, prepare
 
 SHINGLE = 5
-DIMENSIONS = 1 << 18
+POOL_BITS = 18
 SAMPLES = 64
-BLOCK = 1 << 13
+BLOCK = 1 << 11
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _uniform(dimension: np.ndarray, kind: int) -> np.ndarray:
-    """Row per dimension, column per sample: fixed numbers strictly between 0 and 1."""
-    x = (dimension[:, None].astype(np.uint64) * np.uint64(SAMPLES) + np.arange(SAMPLES, dtype=np.uint64)) * np.uint64(8) + np.uint64(kind + 1)
-    x *= np.uint64(0x9E3779B97F4A7C15)
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return ((x >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) / np.float32(1 << 24)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A permutation of 64-bit numbers that spreads each bit over all."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def _variates(dimension: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and b."""
-    r = -np.log(_uniform(dimension, 0) * _uniform(dimension, 1))
-    ln_c = np.log(-np.log(_uniform(dimension, 2) * _uniform(dimension, 3)))
-    return r, ln_c, _uniform(dimension, 4)
+#: An odd factor per sample: the highest bits of its product with a term's hash choose the triple.
+FACTORS = _mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * GOLDEN) | np.uint64(1)
+INVERSES = np.array([pow(int(f), -1, 1 << 64) for f in FACTORS], np.uint64)
 
 
 @cache
-def _unit_weights() -> np.ndarray:
-    """ln a of weight 1, 64 MB."""
-    table = np.empty((DIMENSIONS, SAMPLES), np.float32)
-    for start in range(0, DIMENSIONS, BLOCK):
-        r, ln_c, b = _variates(np.arange(start, start + BLOCK))
-        table[start : start + BLOCK] = ln_c + r * b - r
-    return table
+def _pool() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln c, b, and ln a of weight 1: 1 MB each."""
+
+    def uniform(kind: int) -> np.ndarray:
+        x = _mixed((np.arange(1 << POOL_BITS, dtype=np.uint64) * np.uint64(8) + np.uint64(kind + 1)) * GOLDEN)
+        return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+
+    r = -np.log(uniform(0) * uniform(1)).astype(np.float32)
+    ln_c = np.log(-np.log(uniform(2) * uniform(3))).astype(np.float32)
+    b = uniform(4).astype(np.float32)
+    unit = ln_c + r * b - r
+    in_order = np.argsort(unit, kind="stable")
+    return r[in_order], ln_c[in_order], b[in_order], unit[in_order]
+
+
+def _places(product: np.ndarray) -> np.ndarray:
+    return (product >> np.uint64(64 - POOL_BITS)).astype(np.int64)
+
+
+def _triples(term: np.ndarray) -> np.ndarray:
+    """Row per term, column per sample: places in the pool."""
+    return _places(_mixed(term)[:, None] * FACTORS)
 
 
 def terms(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Dimensions and weights. A text of fewer words is one term, one without words has none."""
+    """Hashes, ascending, and weights. A text of fewer words is one term, one without words has none."""
     words = text.split()
     if not words:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
     if len(words) < SHINGLE:
         hashes = [digest(joined)]
@@ -70,38 +82,37 @@ def terms(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         ends = np.cumsum(sizes + 1) - 1
         begins = (ends - sizes)[: len(words) - SHINGLE + 1].tolist()
         hashes = [digest(joined[a:b]) for a, b in zip(begins, ends[SHINGLE - 1 :].tolist(), strict=True)]
-    return np.unique((np.array(hashes, np.uint64) & np.uint64(DIMENSIONS - 1)).astype(np.int64), return_counts=True)
+    return np.unique(np.array(hashes, np.uint64), return_counts=True)
 
 
-def signature(dimension: np.ndarray, weight: np.ndarray) -> bytes:
-    """The samples as little-endian 32-bit numbers, zeros without terms. Weights are positive."""
-    if not len(dimension):
+def signature(term: np.ndarray, weight: np.ndarray) -> bytes:
+    """The samples as little-endian 32-bit numbers, zeros without terms. Terms are different, weights positive."""
+    if not len(term):
         return bytes(4 * SAMPLES)
-    least = np.full(SAMPLES, np.inf, np.float32)
-    chosen, level = np.zeros(SAMPLES, np.int64), np.zeros(SAMPLES, np.int64)
-
-    def offer(ln_a: np.ndarray, which: np.ndarray, t: np.ndarray | None) -> None:
-        at = ln_a.argmin(axis=0)
-        value = ln_a[at, np.arange(SAMPLES)]
-        better = value < least
-        least[better] = value[better]
-        chosen[better] = which[at][better]
-        level[better] = 0 if t is None else t[at, np.arange(SAMPLES)][better]
-
-    single = dimension[weight == 1]
-    table = _unit_weights()
-    for start in range(0, len(single), BLOCK):
-        block = single[start : start + BLOCK]
-        offer(table[block], block, None)
-    several, weights = dimension[weight != 1], weight[weight != 1]
+    in_order = np.argsort(term.astype(np.uint64), kind="stable")
+    term, weight = term.astype(np.uint64)[in_order], weight[in_order]
+    least, named, level = np.full(SAMPLES, np.inf, np.float32), np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES, np.int64)
+    r_of, ln_c_of, b_of, unit = _pool()
+    single = _mixed(term[weight == 1])
+    if len(single):
+        product = np.full(SAMPLES, np.iinfo(np.uint64).max)
+        for start in range(0, len(single), BLOCK):
+            product = np.minimum(product, (single[start : start + BLOCK, None] * FACTORS).min(axis=0))
+        least, named = unit[_places(product)], product * INVERSES
+    several, weights = term[weight != 1], weight[weight != 1]
     for start in range(0, len(several), BLOCK):
         block = several[start : start + BLOCK]
-        r, ln_c, b = _variates(block)
+        places = _triples(block)
+        r, ln_c, b = r_of[places], ln_c_of[places], b_of[places]
         t = np.floor(np.log(weights[start : start + BLOCK].astype(np.float32))[:, None] / r + b)
-        offer(ln_c - r * (t - b) - r, block, t.astype(np.int64))
-    mixed = (chosen.astype(np.uint64) << np.uint64(20)) + (level + 512).astype(np.uint64) + np.uint64(1)
-    mixed *= np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(32)).astype(np.uint32) | np.uint32(1)).astype("<u4").tobytes()
+        ln_a = ln_c - r * (t - b) - r
+        at, samples = ln_a.argmin(axis=0), np.arange(SAMPLES)
+        better = ln_a[at, samples] < least
+        least = np.where(better, ln_a[at, samples], least)
+        named = np.where(better, _mixed(block)[at], named)
+        level = np.where(better, t[at, samples].astype(np.int64), level)
+    drawn = _mixed(named + (level + 1).astype(np.uint64) * GOLDEN)
+    return ((drawn >> np.uint64(32)).astype(np.uint32) | np.uint32(1)).astype("<u4").tobytes()
 
 
 def fingerprint(text: bytes | None) -> bytes:

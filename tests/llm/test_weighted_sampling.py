@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from streakline.llm.weighted_sampling import SAMPLES, compared_with_edits, fingerprint, likeness_of, signature, with_next
+from streakline.llm.weighted_sampling import SAMPLES, _pool, _triples, compared_with_edits, fingerprint, likeness_of, signature, with_next
 
 SCHEMA = "doc_id bigint, text string, fingerprint string, to int"
 
@@ -49,6 +49,37 @@ def test_texts():
     assert 0.4 < likeness_of(fingerprint(b" ".join(words)), fingerprint(b" ".join(words[:20_000]))) < 0.6
 
 
+@pytest.mark.parametrize("n", [20_000, 100_000])
+def test_long_texts_without_a_common_term_are_not_alike(n):
+    """Neither with terms of weight 1 nor with repeated ones."""
+    rng = random.Random(n)
+    a, b = ([f"{c}{rng.randrange(10**9)}".encode() for _ in range(n)] for c in "ab")
+    assert likeness_of(fingerprint(b" ".join(a)), fingerprint(b" ".join(b))) == 0
+    assert likeness_of(fingerprint(b" ".join(a + a)), fingerprint(b" ".join(b + b))) == 0
+    common = 0.5 * (n - 4) / (1.5 * n)  # half of the terms of each of two texts
+    errors = []
+    for k in range(3):
+        x, y, z = a[: n // 2], a[n // 2 :], b[k : n // 2 + k]
+        errors.append(likeness_of(fingerprint(b" ".join(x + y)), fingerprint(b" ".join(x + z))) - common)
+    assert max(map(abs, errors)) < 0.25
+
+
+def test_samples_against_brute_force():
+    """The least a over all terms, by the formulas, one term and sample at a time."""
+    rng = random.Random(2)
+    weights = {rng.randrange(1 << 64): rng.choice([1, 1, 1, 2, 5]) for _ in range(300)}
+    r, ln_c, b, _ = _pool()
+    got = np.frombuffer(signature(np.array(list(weights), np.uint64), np.array(list(weights.values()))), "<u4")
+    for sample in range(SAMPLES):
+        best = None
+        for term, w in weights.items():
+            at = _triples(np.array([term], np.uint64))[0, sample]
+            t = np.floor(np.log(np.float32(w)) / r[at] + b[at])
+            best = min(best or (np.inf,), (float(ln_c[at] - r[at] * (t - b[at]) - r[at]), term, w))
+        alone = signature(np.array([best[1]], np.uint64), np.array([best[2]]))
+        assert got[sample] == np.frombuffer(alone, "<u4")[sample]
+
+
 @pytest.mark.parametrize("parts", [1, 3, 40])
 def test_next(spark, parts):
     ids = [None, 5, -3, 2**62 + 1, 2**62, 9, 9, 14, *range(100, 160)]
