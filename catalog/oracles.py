@@ -546,6 +546,32 @@ joined AS (
   FROM bars b JOIN metric m ON b.stock = m.stock AND stock_valuation_date >= start_date AND stock_valuation_date <= end_date)"""
 order("streak_days", "SELECT * FROM joined", *HIGH_LOW_MART, _joined)
 part("part_streak_days", "SELECT * FROM joined", *HIGH_LOW_MART, _joined)
+part(
+    "part_streak_days_all_families",
+    """SELECT d.stock, stock_valuation_date, stock_value, family, valuation_key, start_date, end_date
+       FROM days d JOIN spans s ON d.stock = s.stock AND stock_valuation_date >= start_date AND stock_valuation_date <= end_date""",
+    CLASSIFIED,
+    *(c for f in FAMILIES for c in (_dim(f, f"{f.name}_dim"), _metric(f, "days", f"{f.name}_metric", f"{f.name}_dim"))),
+    "\nspans AS ("
+    + " UNION ALL ".join(f"SELECT stock, '{f.name}' AS family, {f.key_column} AS valuation_key, start_date, end_date FROM {f.name}_metric" for f in FAMILIES)
+    + ")",
+)
+ORACLES["part_trading_days"] = """
+WITH ordered AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders),
+closed AS (SELECT day FROM ordered GROUP BY day HAVING count(*) % 9 = 0),
+cal AS (
+  SELECT day, is_trading, CAST(sum(CASE WHEN is_trading THEN 1 ELSE 0 END) OVER (ORDER BY day) AS INTEGER) AS ordinal
+  FROM (SELECT CAST(d AS DATE) AS day, isodow(d) < 6 AND CAST(d AS DATE) NOT IN (SELECT day FROM closed) AS is_trading
+        FROM generate_series(DATE '1990-01-01', DATE '2005-12-31', INTERVAL 1 DAY) AS g(d))),
+open_days AS (SELECT day, ordinal FROM cal WHERE is_trading),
+per_day AS (
+  SELECT c.day, c.is_trading, c.ordinal,
+         (SELECT min(o.day) FROM open_days o WHERE o.day >= c.day) AS opens,
+         (SELECT o.day FROM open_days o WHERE o.ordinal = c.ordinal + 2) AS settles,
+         (SELECT max(o.day) FROM open_days o WHERE o.day < c.day) AS before,
+         (SELECT e.ordinal FROM cal e WHERE e.day = last_day(c.day)) - c.ordinal AS left_in_month
+  FROM cal c WHERE c.day IN (SELECT day FROM ordered))
+SELECT o_orderkey, o.day, ordinal, is_trading, opens, settles, before, left_in_month FROM ordered o JOIN per_day p ON o.day = p.day"""
 order(
     "streak_running_extremes",
     """SELECT stock, stock_valuation_date, close_value,

@@ -18,6 +18,8 @@ from streakline.functions.classify import bucket_position, classify_high_low
 from streakline.functions.keys import surrogate_id
 from streakline.operators import alerts, backtest, cleaning, incremental, indicators, quality, streaks
 from streakline.operators.asof import asof_join
+from streakline.operators.intervals import days_in_intervals
+from streakline.operators.trading_days import trading_calendar, trading_days_between, with_day_ahead, with_ordinal
 from streakline.plans import marts
 from streakline.plans.increments import StreakStore
 from streakline.session import scratch_path
@@ -655,6 +657,29 @@ def _(spark, sf_dir):
     return backtest.streak_days(bars, streaks.metric_full(indicators.classified(bars), HIGH_LOW))
 
 
+@query("part_streak_days_all_families")
+def _(spark, sf_dir):
+    """Each day beside its streaks of all families, which overlap in one table."""
+    days = marts.write_and_read(part_days(spark, sf_dir), scratch_path(spark, "days"))
+    spans = [
+        streaks.metric_full(days, family).select("stock", F.lit(family.name).alias("family"), F.col(family.key_column).alias("valuation_key"), "start_date", "end_date")
+        for family in FAMILIES
+    ]
+    return days_in_intervals(days.select(*KEYS, "stock_value"), spans[0].unionByName(spans[1]).unionByName(spans[2]))
+
+
+@query("part_trading_days")
+def _(spark, sf_dir):
+    """Each order's trading day, counted from 1990 on; weekdays on which the number of orders is a multiple of nine are holidays."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    holidays = orders.groupBy("day").agg(F.count(F.lit(1)).alias("n")).where("n % 9 = 0")
+    calendar = marts.write_and_read(trading_calendar(spark, date(1990, 1, 1), date(2005, 12, 31), holidays), scratch_path(spark, "calendar"))
+    found = with_ordinal(orders, "day", calendar).withColumn("month_end", F.last_day("day"))
+    for name, n in (("opens", 0), ("settles", 2), ("before", -1)):
+        found = with_day_ahead(found, "day", n, calendar, name)
+    return trading_days_between(found, "day", "month_end", calendar, "left_in_month").drop("month_end")
+
+
 @query("streak_running_extremes")
 def _(spark, sf_dir):
     bars = order_bars(spark, sf_dir)
