@@ -546,6 +546,23 @@ joined AS (
   FROM bars b JOIN metric m ON b.stock = m.stock AND stock_valuation_date >= start_date AND stock_valuation_date <= end_date)"""
 order("streak_days", "SELECT * FROM joined", *HIGH_LOW_MART, _joined)
 part("part_streak_days", "SELECT * FROM joined", *HIGH_LOW_MART, _joined)
+order(
+    "wide_csv_apart",
+    f"""SELECT DISTINCT CAST(stock_valuation_date AS VARCHAR) AS date, day(stock_valuation_date) NOT IN (3, 4) AS landed,
+        CAST({1 + len(FIELDS) * len(TICKERS)} + CASE day(stock_valuation_date) WHEN 3 THEN -1 WHEN 4 THEN 2 ELSE 0 END AS INTEGER) AS n_fields FROM bars""",
+)
+part(
+    "part_dq_one_pass",
+    """SELECT check_name, CAST(row_count AS BIGINT) AS row_count,
+       CAST(CASE WHEN check_name = 'row_count' THEN 0 ELSE row_count END AS BIGINT) AS listed_rows
+       FROM (SELECT 'row_count' AS check_name, count(*) AS row_count FROM metric
+             UNION ALL SELECT 'stock_not_null', 0
+             UNION ALL SELECT 'end_date_not_null', count(*) FILTER (right(stock, 1) = '7') FROM metric
+             UNION ALL SELECT 'highest_lowest_valuation_key_accepted', count(*) FILTER (right(stock, 1) = '3') FROM metric
+             UNION ALL SELECT 'not_reversed', 0
+             UNION ALL SELECT 'right_length', count(*) FILTER (right(stock, 1) = '5') FROM metric)""",
+    *HIGH_LOW_MART,
+)
 part(
     "part_streak_days_all_families",
     """SELECT d.stock, stock_valuation_date, stock_value, family, valuation_key, start_date, end_date

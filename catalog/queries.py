@@ -25,7 +25,7 @@ from streakline.plans.increments import StreakStore
 from streakline.session import scratch_path
 from streakline.sources import bars as bar_source
 from streakline.sources.dims import dim
-from streakline.sources.landing import append_rows, pivot_wide, read_wide_csv, write_wide_csv
+from streakline.sources.landing import append_rows, pivot_wide, read_wide_csv, read_wide_csv_apart, write_wide_csv
 from streakline.sources.versioned import VersionedTable
 from streakline.streaming.streaks import closed_day_bars, flush, last_batch, start_streaks
 
@@ -112,6 +112,19 @@ def _(spark, sf_dir):
     return bar_source.last_saved_date(staging_wide(spark, sf_dir))
 
 
+@query("wide_csv_apart")
+def _(spark, sf_dir):
+    """The wide table as lines; those of the 3rd of a month lack their last field, those of the 4th have two more."""
+    wide = pivot_wide(order_bars(spark, sf_dir), TICKERS)
+    day, line = F.dayofmonth(F.col("date").cast("date")), F.concat_ws(",", *[F.col(f"`{c}`") for c in wide.columns])
+    faulty = F.when(day == 3, F.regexp_replace(line, ",[^,]*$", "")).when(day == 4, F.concat(line, F.lit(",x,y"))).otherwise(line)
+    path = scratch_path(spark, "lines")
+    wide.select(faulty.alias("value")).write.text(path)
+    rows, quarantine = read_wide_csv_apart(spark, path, TICKERS, header=False)
+    landed = rows.select("date", F.lit(True).alias("landed"), F.lit(len(rows.columns)).alias("n_fields"))
+    return landed.unionByName(quarantine.select(F.substring_index("line", ",", 1).alias("date"), F.lit(False).alias("landed"), "n_fields"))
+
+
 @query("next_business_day_slice")
 def _(spark, sf_dir):
     bars = order_bars(spark, sf_dir)
@@ -766,6 +779,28 @@ def _(spark, sf_dir):
 # --- data quality ---------------------------------------------------------------------------------
 
 
+@query("part_dq_one_pass")
+def _(spark, sf_dir):
+    """Counters that ride on the write of a mart with planted faults: no end for parts ending in 7, an unknown bucket for
+    those ending in 3, a wrong length for 5."""
+    metric = streaks.metric_full(part_days(spark, sf_dir), HIGH_LOW)
+    last, key = F.substring("stock", -1, 1), HIGH_LOW.key_column
+    planted = metric.withColumns(
+        {
+            "end_date": F.when(last != "7", F.col("end_date")),
+            key: F.when(last == "3", F.lit(9)).otherwise(F.col(key)),
+            "day_length": F.when(last == "5", F.col("day_length") + 1).otherwise(F.col("day_length")),
+        }
+    )
+    rules = quality.null_rules(["stock", "end_date"]) | quality.domain_rule(key, [1, 2, 3, 4, 5]) | quality.shape_rules()
+    path = scratch_path(spark, "checked_mart")
+    counts = quality.checked_write(planted, path, rules)
+    listed = quality.failing_rows(spark.read.parquet(path), rules, counts)
+    passed = spark.createDataFrame(sorted(counts.items()), "check_name string, row_count bigint")
+    exact = listed.select(F.explode(F.split("failed_rules", ",")).alias("check_name")).groupBy("check_name").agg(F.count(F.lit(1)).alias("listed_rows"))
+    return passed.join(exact, "check_name", "left").na.fill(0, ["listed_rows"])
+
+
 @query("dq_unique")
 def _(spark, sf_dir):
     return quality.unique(staging_wide(spark, sf_dir), ["date"])

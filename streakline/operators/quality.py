@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from streakline.functions.calendar import calendar_length
@@ -70,3 +70,37 @@ def streak_shape(metric: DataFrame) -> DataFrame:
         .when(F.col("_before") >= F.col("start_date"), "overlap")
     )
     return metric.withColumn("_before", before).withColumn("fault", fault).where(F.col("fault").isNotNull()).drop("_before")
+
+
+def null_rules(columns: Sequence[str]) -> dict[str, Column]:
+    return {f"{name}_not_null": F.col(name).isNull() for name in columns}
+
+
+def domain_rule(column: str, values: Sequence) -> dict[str, Column]:
+    """NULL is not a value."""
+    return {f"{column}_accepted": F.col(column).isNotNull() & ~F.col(column).isin(list(values))}
+
+
+def shape_rules() -> dict[str, Column]:
+    """The faults of ``streak_shape`` that a row shows by itself."""
+    length = calendar_length(F.col("start_date"), F.col("end_date"))
+    return {"not_reversed": F.col("start_date") > F.col("end_date"), "right_length": (F.col("start_date") <= F.col("end_date")) & (F.col("day_length") != length)}
+
+
+def checked_write(df: DataFrame, path: str, rules: Mapping[str, Column]) -> dict[str, int]:
+    """Writes the table and counts, in the same pass, its ``row_count`` and each rule's failing rows. A rule holds for
+    the rows that fail; where it is NULL the row passes. Only the counters reach the driver."""
+    if "row_count" in rules:
+        raise ValueError("row_count is no name for a rule")
+    watch = Observation()
+    counters = [F.count_if(F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()]
+    df.observe(watch, F.count(F.lit(1)).alias("row_count"), *counters).write.mode("overwrite").parquet(path)
+    return dict(watch.get)
+
+
+def failing_rows(df: DataFrame, rules: Mapping[str, Column], counts: Mapping[str, int]) -> DataFrame:
+    """The failing rows and the names of their ``failed_rules``; rules whose counter is zero are not looked at again."""
+    broken = {name: rule for name, rule in rules.items() if counts[name]}
+    names = F.array_compact(F.array(*(F.when(rule, F.lit(name)) for name, rule in broken.items()))) if broken else F.array().cast("array<string>")
+    found = (df if broken else df.limit(0)).withColumn("failed_rules", F.concat_ws(",", names))
+    return found.where(F.col("failed_rules") != "")

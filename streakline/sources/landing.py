@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streakline import schemas
 from streakline.config import FIELDS
@@ -42,6 +43,31 @@ def read_wide_csv(spark: SparkSession, path: str, tickers: tuple[str, ...], with
     )
 
 
+def read_wide_csv_apart(
+    spark: SparkSession, path: str, tickers: tuple[str, ...], with_sequence: bool = False, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows, quarantine)``: every line of the files is in one of the two.
+
+    A line with too few or too many fields is kept apart, as ``file``, ``line``
+    (its text) and ``n_fields``, and not read as a row. Quoted fields may hold
+    commas, and not line breaks. Blank lines are no lines.
+    """
+    schema = schemas.staging_wide(tickers, with_sequence)
+    corrupt = "_corrupt_line"
+    read = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]))
+        .options(header=header, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt, columnPruning=False)
+        .csv(path)
+        .select("*", F.col("_metadata.file_path").alias("_file"))
+    )
+    # Always true; Spark wants a query of a CSV's corrupt lines to name another column too.
+    read = read.where(F.length(F.concat_ws("", corrupt, schema.fieldNames()[0])) >= 0)
+    rows = read.where(F.col(corrupt).isNull()).drop(corrupt, "_file")
+    outside_quotes = F.regexp_replace(corrupt, r'"(?:[^"]|"")*"', "")
+    bad = read.where(F.col(corrupt).isNotNull())
+    return rows, bad.select(F.col("_file").alias("file"), F.col(corrupt).alias("line"), F.size(F.split(outside_quotes, ",", -1)).alias("n_fields"))
+
+
 def append_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
     """All new rows, matched by column name."""
     return target.unionByName(rows)
