@@ -145,6 +145,19 @@ def _sums(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _least_sums(far: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """The sums over each key's subset of least distances: all rows of the first bins that hold ``share`` of its rows,
+    (rows + 5) / 2 at least. Rows are summed by bin, in one pass, and then the bins, of which a key has a bounded number."""
+    by_bin = _sums(far, [*keys, "bin"])
+    own = Window.partitionBy(*keys)
+    rows = F.sum("n").over(own)
+    enough = F.least(rows, F.greatest(rows * share, F.floor((rows + 5) / 2)))
+    nearer = F.sum("n").over(own.orderBy("bin")) - F.col("n")
+    subset = by_bin.withColumn("inside", nearer < enough).where("inside")
+    names = [c for c in by_bin.columns if c not in (*keys, "bin", "n")]
+    return subset.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.sum(c).cast("decimal(38,0)").alias(c) for c in names])
+
+
 def _starts(vectors: DataFrame, params: QualityParams) -> DataFrame:
     """A row per group and start: ``group``, ``start``, ``rows``, centres and a diagonal factor, from quantiles of each
     statistic. Start 0 is the median and twice the floors; the others are the middle and the width of the middle half,
@@ -181,16 +194,12 @@ def _estimates(vectors: DataFrame, params: QualityParams) -> DataFrame:
     keys = ["group", "start"]
     numbers = [f"m{i}" for i in range(4)] + [f"l{i}{j}" for i in range(4) for j in range(i + 1)]
     size = sum((F.log(F.col(f"l{i}{i}")) for i in range(1, 4)), F.log(F.col("l00")))
-    enough = F.least(F.col("rows"), F.greatest(F.col("rows") * params.share, F.floor((F.col("rows") + 5) / 2)))
     grid = F.when(F.col("d2") < 1, F.floor(F.col("d2") * 32)).otherwise(32 + F.least(F.floor(32 * F.log2("d2")), F.lit(6400))).cast("int")
     active, ended, step = stored(_starts(vectors, params), "starts"), [], 0
     while True:
         step += 1
-        far = _add_distance(vectors.join(active.drop("rows"), "group")).withColumn("bin", grid)
-        # Stored, so that its size is known: a row per start is broadcast where that is small, and the vectors stay in place.
-        cut = stored(_quantile_bins(far, keys, F.col("bin"), {"cut": enough}).select(*keys, "cut"), "cut")
-        subset = far.select(*keys, "bin", *[f"x{i}" for i in range(4)]).join(cut, keys).where("bin <= cut")
-        now = _factored(_sums(subset, keys), keys, params, params.consistency).withColumn("size", size)
+        far = _add_distance(vectors.join(active.select(*keys, *numbers), "group")).withColumn("bin", grid)
+        now = _factored(_least_sums(far, keys, params.share), keys, params, params.consistency).withColumn("size", size)
         before = active.select(*keys, "rows", F.struct(*numbers).alias("old"), size.alias("old_size"))
         same = F.struct(*numbers).eqNullSafe(F.col("old"))
         over = same | (F.lit(step >= params.patience) & (F.col("size") >= F.col("old_size"))) | F.lit(step == params.steps)
