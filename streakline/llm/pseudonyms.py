@@ -6,8 +6,11 @@ format with a * b values is its own domain. Equal values have equal pseudonyms i
 different pseudonyms. What does not validate stays as it is.
 
 Formats: payment card numbers with a right check digit (13 to 19 digits, plain, in fours, or as 4-6-5), phone numbers (the ten
-digits after the country code), IPv4 addresses, social security numbers, dates from 1600-03-01 to 2400-02-29 (each
-within its 400-year cycle of the calendar, as year-month-day, day.month.year or month/day/year), and the local part of mail addresses (letters and
+digits after the country code; in other groupings the digits after the country code, of an unbroken number all but
+the first three), IPv4 addresses, social security numbers, dates from 1600-03-01 to 2400-02-29 (each
+within its 400-year cycle of the calendar, as year-month-day, day.month.year, month/day/year, or day/month/year where
+that is no date; the pseudonym is written and read the same way), account numbers (IBAN of 37 countries; the digits, with
+new check digits, while bank letters stay), and the local part of mail addresses (letters and
 digits, in blocks of 22; equal up to case).
 """
 
@@ -25,23 +28,62 @@ ROUNDS = 10
 MAIL = r"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,62}[A-Za-z0-9])?@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62}\.){1,127}[A-Za-z]{2,24}"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 EDGE, END = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
-NUMBERS = (
-    r"\+[0-9]{1,3}[ .\-]?\(?[0-9]{3}\)?[ .\-]?[0-9]{3}[ .\-][0-9]{4}",
-    r"\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}",
+# Lengths of account numbers by country.
+IBAN = {
+    "AD": 24, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27,
+    "GB": 22, "GI": 23, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IS": 26, "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27,
+    "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "VA": 22,
+}
+
+
+def _accounts() -> tuple[str, ...]:
+    """A pattern per length, plain or in fours."""
+    patterns = []
+    for size in sorted(set(IBAN.values())):
+        countries = "|".join(c for c, n in IBAN.items() if n == size)
+        fours, rest = divmod(size - 4, 4)
+        patterns.append(f"(?:{countries})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else ""))
+    return tuple(patterns)
+
+
+DATES = (
     r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
+    r"[0-9]{4}/[0-9]{2}/[0-9]{2}",
     r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}",
     r"[0-9]{2}/[0-9]{2}/[0-9]{4}",
+    r"[0-9]{2}-[0-9]{2}-[0-9]{4}",
+    r"[1-9][0-9]?/[1-9][0-9]?/[0-9]{4}",
+    r"[1-9][0-9]?\.[1-9][0-9]?\.[0-9]{4}",
+)
+TEN_DIGITS = (
+    r"\+[0-9]{1,3}[ .\-]?\(?[0-9]{3}\)?[ .\-]?[0-9]{3}[ .\-][0-9]{4}",
+    r"\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}",
+    r"[0-9]{3}-[0-9]{3}-[0-9]{4}",
+)
+NUMBERS = (
+    *TEN_DIGITS[:2],
+    *DATES,
     rf"(?<![0-9]\.){OCTET}(?:\.{OCTET}){{3}}(?!\.[0-9])",
     r"[0-9]{4}([ \-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}",
     r"[0-9]{4}([ \-])[0-9]{6}\2[0-9]{5}",
     r"[0-9]{13,19}",
     r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
-    r"[0-9]{3}-[0-9]{3}-[0-9]{4}",
+    TEN_DIGITS[2],
+    r"\+[0-9]{1,3}([ .\-])[0-9](?:\3[0-9]{2}){4}",
+    r"\+[0-9]{1,3}[ .\-](?:\(0\) ?)?[0-9]{2,3}[ .\-][0-9]{3}(?:[ .\-][0-9]{2}){2}",
+    r"\+[0-9]{1,3}[ .\-](?:\(0\) ?)?[0-9]{1,4}[ .\-][0-9]{3,5}[ .\-][0-9]{3,4}",
+    r"\+[0-9]{1,3}[ .\-](?:\(0\) ?)?[0-9]{2,5}[ .\-][0-9]{5,8}",
+    r"\+[0-9]{1,3}[ .\-][0-9]{7,12}",
+    r"\+[0-9]{8,15}",
+    r"0[1-9]([ .\-])[0-9]{2}(?:\4[0-9]{2}){3}",
+    *_accounts(),
 )
 PATTERN = f"{EDGE}(?:{MAIL}|{'|'.join(NUMBERS)}){END}"
 PHONE = r"^(.*?)[0-9]{3}([^0-9]*)[0-9]{3}([^0-9]*)[0-9]{4}$"
 CYCLE, CYCLE_A, CYCLE_B = 146_097, 189, 773  # days of 400 years
 BLOCK = 22
+#: A date that has to keep its way of writing is permuted again until it has it; at least a quarter of all dates have.
+WALK = 256
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -96,6 +138,25 @@ def _permuted_digits(key: Column, kind: str, digits: Column, base: int = 10) ->
     return _let(digits, whole)
 
 
+def _permuted_blocks(key: Column, kind: str, s: Column, base: int) -> Column:
+    """The same for a string of any length, block by block, each with a key of its own."""
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.floor((F.length(s) - 1) / BLOCK).cast("int"), F.lit(0))),
+        lambda i: _permuted_digits(F.concat(key, F.lit("."), i.cast("string")), kind, F.substring(s, i * BLOCK + 1, F.lit(BLOCK)), base),
+    )
+    return F.array_join(blocks, "")
+
+
+def _refilled(text: Column, new: Column, places: str) -> Column:
+    """The text with its characters of the class ``places`` taken one by one from ``new``."""
+
+    def one(c: Column, i: Column) -> Column:
+        before = F.length(F.regexp_replace(F.substring(text, F.lit(1), i), f"[^{places}]", ""))
+        return F.when(c.rlike(f"[{places}]"), F.substring(new, before + 1, F.lit(1))).otherwise(c)
+
+    return F.array_join(F.transform(F.split(text, ""), one), "")
+
+
 def _luhn(digits: Column, weights_from_right: int) -> Column:
     """The check sum; every second digit is doubled, beginning with the last one if ``weights_from_right`` is 1."""
     reversed_ = F.split(F.reverse(digits), "")
@@ -161,56 +222,112 @@ def _address(key: Column, m: Column) -> Column:
     return _let(F.split(m, r"\."), moved)
 
 
-def _date(key: Column, m: Column, iso: Column, pattern: str) -> Column:
-    def moved(day: Column) -> Column:
+def _national(key: Column, m: Column) -> Column:
+    """Ten digits of which the first is 0 and the second is not."""
+    d = F.regexp_replace(m, "[^0-9]", "")
+    moved = feistel(key, "national", F.substring(d, 2, 5).cast("int") - 10_000, 90_000, F.substring(d, 7, 4).cast("int"), 10_000)
+    number = _let(moved, lambda p: F.concat(F.lit("0"), (p["l"] + 10_000).cast("string"), F.lpad(p["r"].cast("string"), 4, "0")))
+    return _let(number, lambda new: _refilled(m, new, "0-9"))
+
+
+def _abroad(key: Column, m: Column) -> Column:
+    def rest(own: Column) -> Column:
+        new = _permuted_digits(key, "phone", F.regexp_replace(own, "[^0-9]", ""))
+        return _let(new, lambda n: _refilled(own, n, "0-9"))
+
+    code = F.regexp_extract(m, r"^(\+[0-9]{1,3}[ .\-](?:\(0\) ?)?|\+[0-9]{3})", 1)
+    return F.concat(code, _let(F.substring(m, F.length(code) + 1, F.length(m)), rest))
+
+
+def _mod97(s: Column) -> Column:
+    """The remainder by 97, a letter read as 10 to 35."""
+
+    def add(total: Column, c: Column) -> Column:
+        return F.when(c.rlike("[0-9]"), (total * 10 + F.ascii(c) - 48) % 97).otherwise((total * 100 + F.ascii(c) - 55) % 97)
+
+    return F.aggregate(F.filter(F.split(s, ""), lambda c: c != ""), F.lit(0), add)
+
+
+def _account(key: Column, m: Column) -> Column:
+    def valid(s: Column) -> Column:
+        country, check, own = F.substring(s, 1, 2), F.substring(s, 3, 2), F.substring(s, F.lit(5), F.length(s))
+        digits = F.regexp_replace(own, "[^0-9]", "")
+
+        def put(new: Column) -> Column:
+            checked = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+            return _let(F.concat(country, checked, new), lambda full: _refilled(m, full, "A-Z0-9"))
+
+        moved = _let(_permuted_blocks(key, "account", digits, 10), lambda n: _let(_refilled(own, n, "0-9"), put))
+        right = check.between("02", "98") & (_mod97(F.concat(own, country, check)) == 1) & (digits != "")
+        return F.when(right, moved).otherwise(m)
+
+    return _let(F.replace(m, F.lit(" "), F.lit("")), valid)
+
+
+def _date(key: Column, m: Column) -> Column:
+    """Read as month/day/year before day/month/year. A date that is only the latter becomes another one that is only the
+    latter, and one without leading zeros another one that can be written so: each way of writing is a domain of its own."""
+    first, second, third = (F.get(F.split(m, r"[./\-]"), F.lit(i)) for i in range(3))
+    ymd, mdy, dmy = (F.concat_ws("-", *x).try_cast("date") for x in ((first, second, third), (third, first, second), (third, second, first)))
+    split = F.regexp_extract(m, r"[./\-]", 0)
+    padded = F.length(m) == 10
+
+    def moved(read: Column) -> Column:
+        day, order = read["day"], read["order"]
         number = F.datediff(day, F.lit("1600-03-01").cast("date"))
         within = F.pmod(number, F.lit(CYCLE))
 
-        def text(p: Column) -> Column:
-            return F.date_format(F.date_add(day, (p["l"] * CYCLE_B + p["r"] - within).cast("int")), pattern)
+        def step(place: Column) -> Column:
+            return _let(feistel(key, "date", F.floor(place / CYCLE_B), CYCLE_A, place % CYCLE_B, CYCLE_B), lambda p: p["l"] * CYCLE_B + p["r"])
+
+        def at(place: Column) -> Column:
+            return F.date_add(day, (place - within).cast("int"))
+
+        def written_so(d: Column) -> Column:
+            short = padded | (F.month(d) < 10) | (F.dayofmonth(d) < 10)
+            return short & ((order != "only dmy") | (F.dayofmonth(d) > 12))
+
+        def text(d: Column) -> Column:
+            y = F.lpad(F.year(d).cast("string"), 4, "0")
+            month, dom = (F.when(padded | (x >= 10), F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string")) for x in (F.month(d), F.dayofmonth(d)))
+            parts = F.when(order == "ymd", F.array(y, month, dom)).when(order == "mdy", F.array(month, dom, y)).otherwise(F.array(dom, month, y))
+            return F.concat(parts[0], split, parts[1], split, parts[2])
 
+        place = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), step(within.cast("bigint")), lambda p, _: F.when(written_so(at(p)), p).otherwise(step(p)))
         known = F.coalesce((number >= 0) & (number < 2 * CYCLE), F.lit(False))
-        return F.when(~known, m).otherwise(_let(feistel(key, "date", F.floor(within / CYCLE_B), CYCLE_A, within % CYCLE_B, CYCLE_B), text))
+        return F.when(~known, m).otherwise(_let(place, lambda p: _let(at(p), text)))
 
-    return _let(iso.try_cast("date"), moved)
+    way = F.when(F.length(first) == 4, "ymd").when(split == ".", "dmy").when(mdy.isNotNull(), "mdy").otherwise("only dmy")
+    day = F.when(way == "ymd", ymd).when(way == "mdy", mdy).otherwise(dmy)
+    return _let(F.struct(day.alias("day"), way.alias("order")), moved)
 
 
 def _mail(key: Column, m: Column) -> Column:
     local, domain = F.substring_index(m, "@", 1), F.substring_index(m, "@", -1)
 
     def moved(low: Column) -> Column:
-        kept = F.regexp_replace(low, "[^a-z0-9]", "")
-        blocks = F.transform(
-            F.sequence(F.lit(0), F.floor((F.length(kept) - 1) / BLOCK).cast("int")),
-            lambda i: _permuted_digits(F.concat(key, F.lit("."), i.cast("string")), "mail", F.substring(kept, i * BLOCK + 1, F.lit(BLOCK)), 36),
-        )
-
         def put(new: Column) -> Column:
-            def one(c: Column, i: Column) -> Column:
-                before = F.length(F.regexp_replace(F.substring(low, F.lit(1), i), "[^a-z0-9]", ""))
-                return F.when(c.rlike("[a-z0-9]"), F.substring(new, before + 1, F.lit(1))).otherwise(c)
-
-            joined = F.array_join(F.transform(F.split(low, ""), one), "")
+            joined = _refilled(low, new, "a-z0-9")
             return F.when(m == F.upper(m), F.upper(joined)).otherwise(joined)
 
-        return F.concat(_let(F.array_join(blocks, ""), put), F.lit("@"), domain)
+        kept = F.regexp_replace(low, "[^a-z0-9]", "")
+        return F.concat(_let(_permuted_blocks(key, "mail", kept, 36), put), F.lit("@"), domain)
 
     return _let(F.lower(local), moved)
 
 
 def pseudonym(m: Column, key: Column) -> Column:
     """The pseudonym of one match of ``PATTERN``, the match itself where it does not validate."""
-    dmy = F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2))
-    mdy = F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 1, 2), F.substring(m, 4, 2))
     return (
         F.when(m.contains("@"), _mail(key, m))
-        .when(m.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), _date(key, m, m, "yyyy-MM-dd"))
-        .when(m.rlike(r"^[0-9]{2}\.[0-9]{2}\.[0-9]{4}$"), _date(key, m, dmy, "dd.MM.yyyy"))
-        .when(m.rlike(r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), _date(key, m, mdy, "MM/dd/yyyy"))
+        .when(m.rlike("^[A-Z]"), _account(key, m))
+        .when(m.rlike(f"^(?:{'|'.join(DATES)})$"), _date(key, m))
         .when(m.rlike(rf"^{OCTET}(\.{OCTET}){{3}}$"), _address(key, m))
         .when(m.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), _social(key, m))
         .when(m.rlike(r"^[0-9]{13,19}$|^[0-9]{4}([ \-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}$|^[0-9]{4}([ \-])[0-9]{6}\2[0-9]{5}$"), _card(key, m))
-        .otherwise(_phone(key, m))
+        .when(m.rlike(f"^(?:{'|'.join(TEN_DIGITS)})$"), _phone(key, m))
+        .when(m.startswith("+"), _abroad(key, m))
+        .otherwise(_national(key, m))
     )
 
 
