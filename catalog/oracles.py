@@ -448,6 +448,13 @@ bars AS (
                                                 THEN close_value + 1000 ELSE close_value END AS DECIMAL(12,4)) AS close_value
   FROM raw_bars)"""
 ORACLES["part_corrected_streaks"] = _with(CORRECTED, *HIGH_LOW_MART, select="SELECT * FROM metric")
+CORRECTED_ORDERS = ORDER_BARS.replace("\nbars AS", "\nraw_bars AS") + """,
+bars AS (
+  SELECT stock, stock_valuation_date, CAST(CASE WHEN stock_valuation_date BETWEEN DATE '1995-03-01' AND DATE '1995-03-14'
+                                                THEN round(close_value / CAST(2 AS DECIMAL(1,0)), 4) ELSE close_value END AS DECIMAL(12,4)) AS close_value
+  FROM raw_bars)"""
+for _family in FAMILIES:
+    ORACLES[f"corrected_streaks_{_family.name}"] = _with(CORRECTED_ORDERS, CLASSIFIED, _dim(_family), _metric(_family), select="SELECT * FROM metric")
 part("part_build_or_advance", "SELECT * FROM metric", *HIGH_LOW_MART)
 for _family in FAMILIES:
     # Batches over stored state must give what a rebuild over all days gives.

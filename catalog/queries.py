@@ -530,6 +530,21 @@ def _(spark, sf_dir):
     return incremental.correct_streaks(streaks.metric_full(days, HIGH_LOW), days, live, bars.where(wrong), HIGH_LOW)
 
 
+def _register_corrected(family: BucketFamily) -> None:
+    @query(f"corrected_streaks_{family.name}")
+    def _(spark, sf_dir):
+        """Two weeks of 1995 are corrected in long histories; what lies a window's length later passes through."""
+        bars = marts.write_and_read(order_bars(spark, sf_dir).select(*KEYS, "close_value"), scratch_path(spark, "bars"))
+        days = marts.write_and_read(indicators.classified(bars), scratch_path(spark, "days"))
+        wrong = F.col("stock_valuation_date").between(F.lit("1995-03-01").cast("date"), F.lit("1995-03-14").cast("date"))
+        live = bars.withColumn("close_value", F.when(wrong, F.col("close_value") / 2).otherwise(F.col("close_value")).cast("decimal(12,4)"))
+        return incremental.correct_streaks(streaks.metric_full(days, family), days, live, bars.where(wrong), family)
+
+
+for _family in FAMILIES:
+    _register_corrected(_family)
+
+
 @query("part_build_or_advance")
 def _(spark, sf_dir):
     """The first load builds, the second one advances what it built."""

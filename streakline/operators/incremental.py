@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streakline.config import IndicatorParams
-from streakline.families import BucketFamily
+from streakline.families import AVERAGE, MOVING_AVG, BucketFamily
 from streakline.functions.calendar import calendar_length, prev_business_day
 from streakline.functions.keys import surrogate_id
 from streakline.operators.cleaning import newest_per_key, upsert
@@ -190,6 +190,67 @@ def advance_many_days(
     return advance(metric, new_days, family, last_days).drop("is_open")
 
 
+def _rows_seen(family: BucketFamily, params: IndicatorParams) -> int:
+    """How many rows, the day's own included, the family's rolling values look at."""
+    return {AVERAGE.name: params.band_rows, MOVING_AVG.name: max(params.short_rows, params.long_rows)}.get(family.name, 1)
+
+
+def correction_spans(
+    days: DataFrame,
+    live: DataFrame,
+    corrections: DataFrame,
+    family: BucketFamily,
+    params: IndicatorParams | None = None,
+) -> DataFrame:
+    """Per corrected stock the days that may have another bucket: from ``from_day`` on, before ``until_day``.
+
+    ``until_day`` is the first day after the last corrected one on which the
+    records are what they were and no rolling window reaches a corrected day;
+    from there on nothing differs. NULL where that day has not come yet.
+    """
+    day, close = F.col("stock_valuation_date"), F.col("close_value")
+    touched = corrections.groupBy("stock").agg(F.min(day).alias("from_day"), F.max(day).alias("_last"))
+
+    def records(before: Column, name: str) -> list[Column]:
+        return [
+            F.min(F.when(before, F.col("minimum_value"))).alias(f"_{name}_low"),
+            F.max(F.when(before, F.col("maximum_value"))).alias(f"_{name}_high"),
+        ]
+
+    stored = days.join(touched, "stock").where(day <= F.col("_last")).groupBy("stock")
+    stored = stored.agg(*records(day < F.col("from_day"), "start"), *records(F.lit(True), "old"))
+    fresh = live.join(touched, "stock").where(day.between(F.col("from_day"), F.col("_last")))
+    fresh = fresh.groupBy("stock").agg(F.min(close).alias("_fresh_low"), F.max(close).alias("_fresh_high"))
+    known = touched.join(stored, "stock", "left").join(fresh, "stock", "left")
+    # Both functions pass over NULL, as the records do.
+    low, high = F.least("_start_low", "_fresh_low"), F.greatest("_start_high", "_fresh_high")
+    agree_low = low.eqNullSafe(F.col("_old_low")) | (close <= F.least(low, "_old_low"))
+    agree_high = high.eqNullSafe(F.col("_old_high")) | (close >= F.greatest(high, "_old_high"))
+    place = F.row_number().over(Window.partitionBy("stock").orderBy("stock_valuation_date"))
+    later = live.join(known, "stock").where(day > F.col("_last")).withColumn("_place", place)
+    first = later.groupBy("stock").agg(
+        F.min(F.when(F.col("_place") >= _rows_seen(family, params or IndicatorParams()), day)).alias("_window"),
+        F.min(F.when(agree_low, day)).alias("_low"),
+        F.min(F.when(agree_high, day)).alias("_high"),
+    )
+    met = F.col("_window").isNotNull() & F.col("_low").isNotNull() & F.col("_high").isNotNull()
+    until = F.when(met, F.greatest("_window", "_low", "_high")).alias("until_day")
+    return touched.join(first, "stock", "left").select("stock", "from_day", until)
+
+
+def _spliced(rebuilt: DataFrame, rest: DataFrame, last_days: DataFrame, family: BucketFamily) -> DataFrame:
+    """Rebuilt streaks, and of each stock the rest of the stored streak in which the rebuild ends: one streak
+    with the one before it if that has the same bucket and lasts until the rebuild's last day."""
+    key, order = F.col(family.key_column), Window.partitionBy("stock").orderBy("start_date")
+    columns = ["stock", family.key_column, "start_date", "end_date"]
+    both = rebuilt.select(*columns, F.lit(False).alias("_rest")).unionByName(rest.select(*columns, F.lit(True).alias("_rest")))
+    goes_on = F.col("_rest") & (F.lag(key).over(order) == key) & (F.lag("end_date").over(order) == F.col("_last_day"))
+    parts = both.join(last_days, "stock", "left").withColumn("_begins", (~F.coalesce(goes_on, F.lit(False))).cast("int"))
+    runs = parts.withColumn("_run", F.sum("_begins").over(order))
+    folded = runs.groupBy("stock", "_run", family.key_column).agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"))
+    return metric_columns(folded.withColumn("day_length", calendar_length(F.col("start_date"), F.col("end_date"))), family)
+
+
 def correct_streaks(
     metric: DataFrame,
     days: DataFrame,
@@ -201,27 +262,34 @@ def correct_streaks(
     """The mart after corrections of old bars, as a rebuild over ``live`` would give it.
 
     ``days`` are the classified days so far, ``live`` the bars with the
-    corrections in them, ``corrections`` tells their stocks and days. Stocks
-    without one pass through. The others are classified anew from their first
-    corrected day on; of the days before only the tail is read for that, and
-    the streak that reached over that day is cut there and goes on from it.
+    corrections in them (changed, added or removed), ``corrections`` tells
+    their stocks and days. Stocks without one pass through. The others are
+    classified anew within their ``correction_spans`` only: the streak that
+    reached into the span is cut there and goes on from it, streaks after the
+    span pass through, and the one at its end is joined on.
     """
     params = params or IndicatorParams()
-    touched = corrections.groupBy("stock").agg(F.min("stock_valuation_date").alias("_from"))
-    before = days.join(touched, "stock").where(F.col("stock_valuation_date") < F.col("_from")).select(*days.columns)
-    after = live.join(touched, "stock").where(F.col("stock_valuation_date") >= F.col("_from")).select(*live.columns)
-    again = classify_increment(history_tail(before, params), after, params)
-    newest = before.groupBy("stock").agg(F.max("stock_valuation_date").alias("_newest"))
+    day, until = F.col("stock_valuation_date"), F.col("until_day")
+    spans = correction_spans(days, live, corrections, family, params)
+    before = days.join(spans, "stock").where(day < F.col("from_day")).select(*days.columns)
+    within = live.join(spans, "stock").where((day >= F.col("from_day")) & (until.isNull() | (day < until))).select(*live.columns)
+    again = classify_increment(history_tail(before, params), within, params)
+    newest = before.groupBy("stock").agg(F.max(day).alias("_newest"))
     end = F.least("end_date", "_newest")
+    touched = metric.join(spans, "stock")
     kept = (
-        metric.join(touched, "stock")
-        .where(F.col("start_date") < F.col("_from"))
+        touched.where(F.col("start_date") < F.col("from_day"))
         .join(newest, "stock")
         .withColumns({"end_date": end, "day_length": calendar_length(F.col("start_date"), end)})
         .select(*metric.columns)
     )
-    rebuilt = advance(kept, again, family, before).drop("is_open")
-    return metric.join(touched, "stock", "left_anti").select(*metric.columns).unionByName(rebuilt)
+    rebuilt = advance(kept, again, family, before)
+    rest = touched.where((F.col("start_date") <= until) & (F.col("end_date") >= until)).withColumn("start_date", until)
+    ends = before.select("stock", day).unionByName(within.select("stock", day)).groupBy("stock").agg(F.max(day).alias("_last_day"))
+    corrected = _spliced(rebuilt, rest, ends, family)
+    after = touched.where(F.col("start_date") > until).select(*metric.columns)
+    others = metric.join(spans, "stock", "left_anti").select(*metric.columns)
+    return others.unionByName(after).unionByName(corrected)
 
 
 def build_or_advance(

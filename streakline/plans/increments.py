@@ -7,12 +7,20 @@ again. A batch writes the tail and the open streak of the stocks it touches;
 the state of a stock is what its newest batch wrote. Every ``compact_every``
 batches all stocks are written, so no read goes back further. Work per batch
 follows the new days plus a bounded tail per touched stock.
+
+Closed streaks lie in levels: the last of every ``merge_every`` batches writes
+the closed streaks of all of them once more as one sorted table, the last of
+every ``merge_every`` such tables those, and so on. Which tables hold the
+batches up to a given one is arithmetic, so an earlier state stays readable, a
+batch run again writes the same merges, and a read opens a number of folders
+that grows with the logarithm of the batches.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -57,6 +65,11 @@ class StreakStore:
     families: tuple[BucketFamily, ...] = FAMILIES
     params: IndicatorParams = IndicatorParams()
     compact_every: int = 16
+    merge_every: int = 8
+
+    def __post_init__(self) -> None:
+        if self.compact_every < 1 or self.merge_every < 2:
+            raise ValueError("compact_every must be at least 1 and merge_every at least 2")
 
     def _path(self, table: str, batch: int) -> str:
         return f"{self.root}/{table}/batch={batch}"
@@ -122,6 +135,44 @@ class StreakStore:
             changed = changed.withColumn("is_open", F.col("is_open").cast("int"))
             self._write(changed, family.mart, batch, "is_open")
             self._add_to_summary(family, batch, None if batch == 0 else touched, compacts)
+            self._merge_closed(family, batch)
+
+    def closed_tables(self, batch: int) -> list[tuple[int, int]]:
+        """Level and last batch of the tables that together hold the closed streaks of all batches up to ``batch``;
+        a table of level n holds ``merge_every ** n`` batches, one of level 0 is what the batch itself wrote."""
+        tables, level, begin = [], 0, 0
+        while self.merge_every ** (level + 1) <= batch + 1:
+            level += 1
+        for n in range(level, -1, -1):
+            size = self.merge_every**n
+            while begin + size <= batch + 1:
+                begin += size
+                tables.append((n, begin - 1))
+        return tables
+
+    def _closed(self, family: BucketFamily, tables: list[tuple[int, int]]) -> DataFrame:
+        """The closed streaks of the tables. Paths of one folder are read with it as their base, so that all have the same partition columns."""
+        schema, found = schemas.metric(family), []
+        own = [self._path(family.mart, last) for level, last in tables if level == 0]
+        if own:
+            reader = self.spark.read.schema(_plus(self._streak_schema(family), "batch")).option("basePath", f"{self.root}/{family.mart}")
+            found.append(reader.parquet(*own).where("is_open = 0").select(*schema.names))
+        merged = [f"{self.root}/{family.mart}_closed/level={level}/batch={last}" for level, last in tables if level > 0]
+        if merged:
+            reader = self.spark.read.schema(_plus(_plus(schema, "level"), "batch")).option("basePath", f"{self.root}/{family.mart}_closed")
+            found.append(reader.parquet(*merged).select(*schema.names))
+        return reduce(DataFrame.unionByName, found)
+
+    def _merge_closed(self, family: BucketFamily, batch: int) -> None:
+        """The merges that end with this batch. Rows lie in order of stock, so that a stock's streaks are found by the
+        minima and maxima in the files; the number of files follows their size."""
+        level, size = 1, self.merge_every
+        while (batch + 1) % size == 0:
+            step = size // self.merge_every
+            parts = [(level - 1, batch - i * step) for i in range(self.merge_every)]
+            ordered = self._closed(family, parts).repartitionByRange("stock", "start_date").sortWithinPartitions("stock", "start_date")
+            ordered.write.mode("overwrite").parquet(f"{self.root}/{family.mart}_closed/level={level}/batch={batch}")
+            level, size = level + 1, size * self.merge_every
 
     def _summary_schema(self, family: BucketFamily) -> T.StructType:
         counts = [T.StructField("streak_count", T.LongType()), T.StructField("total_days", T.LongType())]
@@ -147,9 +198,14 @@ class StreakStore:
 
     def metric(self, family: BucketFamily, batch: int) -> DataFrame:
         """The family's mart as of ``batch``: all closed streaks, and each stock's open one."""
-        schema = _plus(self._streak_schema(family), "batch")
-        closed = self._read(family.mart, schema).where((F.col("batch") <= batch) & (F.col("is_open") == 0))
-        return closed.drop("is_open", "batch").unionByName(self.open_streaks(family, batch))
+        return self._closed(family, self.closed_tables(batch)).unionByName(self.open_streaks(family, batch))
+
+    def opened(self, family: BucketFamily, batch: int) -> DataFrame:
+        """The current streaks that began with ``batch``: their stocks changed bucket or are new."""
+        now = self._read(family.mart, self._streak_schema(family), batch).where("is_open = 1").drop("is_open")
+        if batch == 0:
+            return now
+        return now.join(self.open_streaks(family, batch - 1).select("stock", "start_date"), ["stock", "start_date"], "left_anti").select(*now.columns)
 
     def open_streaks(self, family: BucketFamily, batch: int) -> DataFrame:
         """Each stock's current streak as of ``batch``."""

@@ -48,19 +48,22 @@ def start_streaks(
     checkpoint: str,
     alerts_path: str | None = None,
     family: BucketFamily = HIGH_LOW,
+    changed_only: bool = False,
 ) -> StreamingQuery:
     """Feeds each micro-batch of bars to ``store`` and stops when the source is exhausted.
 
     Restarting with the same checkpoint goes on where the last run ended; a
     batch in doubt is applied again under its old number. With
-    ``alerts_path``, each batch also writes every stock's current streak as
-    JSON lines to a folder of its own.
+    ``alerts_path``, each batch also writes every stock's current streak, or
+    only those that began with the batch (``changed_only``), as JSON lines to
+    a folder of its own.
     """
 
     def take_in(batch: DataFrame, number: int) -> None:
         store.apply(number, batch)
         if alerts_path:
-            payload = alert_payload(store.open_streaks(family, number), family)
+            current = store.opened(family, number) if changed_only else store.open_streaks(family, number)
+            payload = alert_payload(current, family)
             alert_json(payload).write.mode("overwrite").text(f"{alerts_path}/batch={number}")
 
     return (

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streakline.config import IndicatorParams
-from streakline.families import FAMILIES, HIGH_LOW, MOVING_AVG
+from streakline.families import AVERAGE, FAMILIES, HIGH_LOW, MOVING_AVG
 from streakline.operators import incremental, indicators, quality, streaks
 from streakline.plans.increments import StreakStore
 from tests.conftest import rows, weekdays
@@ -234,3 +234,77 @@ def test_store_keeps_late_bars_apart(spark, make_bars, tmp_path):
     store.apply(1, make_bars([("A", "2024-01-03", 9), ("A", "2024-01-04", 6), ("A", "2024-01-05", 6), ("B", "2024-01-02", 1)]))
     assert rows(store.late(1), "stock", "stock_valuation_date") == [("A", D("2024-01-03"))]
     assert store.days(1).count() == 4
+
+
+@pytest.mark.parametrize("policy", ["else", "null"])
+def test_corrections_equal_a_rebuild(spark, make_bars, policy):
+    """Changed, added and removed bars, a stock per case; NULL closes among them."""
+    params = IndicatorParams(band_rows=5, short_rows=2, long_rows=6, null_policy=policy)
+    calendar, chance = weekdays("2024-01-01", 30), random.Random(13)
+    old, live, wrong = [], [], []
+    for case in range(60):
+        closes = {d: chance.choice([None, *range(1, 12)]) if chance.random() < 0.3 else chance.randint(1, 12) for d in calendar if chance.random() < 0.9}
+        first = chance.randrange(25)
+        fixed = dict(closes)
+        for d in chance.sample(calendar[first : first + 4], 2):
+            kind = chance.randrange(4)
+            if kind == 0:
+                fixed.pop(d, None)
+            else:
+                fixed[d] = chance.choice([0, 20, None, *range(1, 12)])
+            wrong.append((f"s{case}", d))
+        old += [(f"s{case}", d, c) for d, c in closes.items()]
+        live += [(f"s{case}", d, c) for d, c in fixed.items()]
+    bars = make_bars(live + [("still", d, 5) for d in calendar]).cache()
+    days = indicators.classified(make_bars(old + [("still", d, 5) for d in calendar]), params).cache()
+    corrections = spark.createDataFrame(wrong, "stock string, stock_valuation_date date")
+    again = indicators.classified(bars, params).cache()
+    for family in FAMILIES:
+        corrected = incremental.correct_streaks(streaks.metric_full(days, family), days, bars, corrections, family, params)
+        assert rows(corrected) == rows(streaks.metric_full(again, family))
+        stops = incremental.correction_spans(days, bars, corrections, family, params).where("until_day IS NOT NULL").count()
+        assert stops > 10
+
+
+def test_corrections_stop_where_all_agrees(spark, make_bars):
+    """A corrected price inside the records concerns one day of the record family and a window's length of the others;
+    a new record high until the old one is passed."""
+    calendar = weekdays("2024-01-01", 60)
+    closes = [1, 50, *[10 + i % 7 for i in range(48)], 90, *[20] * 9]
+    days = indicators.classified(make_bars([(s, d, c) for s in "AB" for d, c in zip(calendar, closes, strict=True)]), PARAMS)
+    wrong = [("A", calendar[5], 30), ("B", calendar[5], 80)]
+    fixed = [(s, d, next((c for t, e, c in wrong if (t, e) == (s, d)), c)) for s in "AB" for d, c in zip(calendar, closes, strict=True)]
+    corrections = make_bars(wrong)
+    expected = {HIGH_LOW: (6, 50), AVERAGE: (10, 50), MOVING_AVG: (11, 50)}
+    for family, stops in expected.items():
+        spans = incremental.correction_spans(days, make_bars(fixed), corrections, family, PARAMS)
+        assert rows(spans) == sorted((s, calendar[5], calendar[i]) for s, i in zip("AB", stops, strict=True))
+
+
+def test_closed_streaks_lie_in_levels(spark, make_bars, tmp_path):
+    """64 batches: few tables hold any number of them, each batch once."""
+    for every in (2, 4, 8):
+        store = StreakStore(spark, str(tmp_path), (HIGH_LOW,), PARAMS, merge_every=every)
+        for batch in range(64):
+            tables = store.closed_tables(batch)
+            held = [b for level, last in tables for b in range(last - every**level + 1, last + 1)]
+            assert held == list(range(batch + 1))
+            levels = len([n for n in range(1, 7) if every**n <= batch + 1]) + 1
+            assert len(tables) <= (every - 1) * levels
+
+
+def test_merged_levels_equal_a_rebuild(spark, make_bars, tmp_path):
+    """Every state reads as rebuilt, also after a batch in the middle has run again."""
+    calendar, chance = weekdays("2024-01-01", 9), random.Random(21)
+    all_rows = [(s, d, chance.randint(1, 50)) for s in "AB" for d in calendar]
+    store = StreakStore(spark, str(tmp_path / "levels"), (HIGH_LOW,), PARAMS, merge_every=2)
+    for batch, day in enumerate(calendar):
+        store.apply(batch, make_bars([r for r in all_rows if r[1] == day]))
+    store.apply(8, make_bars([r for r in all_rows if r[1] == calendar[8]]))
+    whole = indicators.classified(make_bars(all_rows), PARAMS).cache()
+    for batch in (0, 1, 2, 3, 6, 8):
+        expected = streaks.metric_full(whole.where(F.col("stock_valuation_date") <= calendar[batch]), HIGH_LOW)
+        assert rows(store.metric(HIGH_LOW, batch)) == rows(expected), batch
+    assert store.closed_tables(8) == [(3, 7), (0, 8)]
+    begun = streaks.metric_full(whole, HIGH_LOW).where(F.col("start_date") == calendar[8])
+    assert rows(store.opened(HIGH_LOW, 8)) == rows(begun)
