@@ -69,3 +69,19 @@ def test_only_closed_days_become_bars(spark, tmp_path):
     last = flush(store, last_batch(query), df, F.col("symbol"), "ts", F.col("price"), F.col("id"))
     closes = rows(store.days(last), "stock_valuation_date", "stock_value")
     assert [(d.day, int(v)) for d, v in closes] == [(1, 1), (2, 5), (3, 9), (4, 11)]
+
+
+def test_alerts_of_changed_streaks_only(spark, make_bars, tmp_path):
+    """A stays in its bucket, B leaves it, C is new."""
+    calendar = weekdays("2024-01-01", 3)
+    first = [(s, d, c) for s in "AB" for d, c in zip(calendar, (1, 100), strict=False)]
+    second = [("A", calendar[2], 99), ("B", calendar[2], 5), ("C", calendar[2], 7)]
+    source, alerts = str(tmp_path / "in"), str(tmp_path / "alerts")
+    store = StreakStore(spark, str(tmp_path / "store"), (HIGH_LOW,), PARAMS)
+    for part in (first, second):
+        make_bars(part).select("stock", "stock_valuation_date", "close_value").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(BARS).parquet(source)
+        query = start_streaks(stream, store, str(tmp_path / "checkpoint"), alerts, changed_only=True)
+        query.awaitTermination()
+    told = [sorted(r["value"].split('"stock":"')[1][0] for r in spark.read.text(f"{alerts}/batch={n}").collect()) for n in (0, 1)]
+    assert told == [["A", "B"], ["B", "C"]]
