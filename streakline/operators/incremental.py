@@ -15,6 +15,7 @@ from streakline.functions.calendar import calendar_length, prev_business_day
 from streakline.functions.keys import surrogate_id
 from streakline.operators.cleaning import newest_per_key, upsert
 from streakline.operators.indicators import classify_increment, history_tail
+from streakline.operators.spread import place_by_stock
 from streakline.operators.streaks import metric_columns, metric_full, with_key
 
 STREAK_KEY = ("stock", "start_date")
@@ -145,7 +146,7 @@ def advance(
         F.col(family.run_column).alias("_day_run"),
         F.lit(False).alias("_ended"),
     )
-    spans = fresh if stored is None else _stored_spans(stored, key, last_days).unionByName(fresh, allowMissingColumns=True)
+    spans = fresh if stored is None else place_by_stock(_stored_spans(stored, key, last_days).unionByName(fresh, allowMissingColumns=True))
 
     by_stock = Window.partitionBy("stock")
     order = by_stock.orderBy("start_date", F.desc("_stored"))
@@ -245,7 +246,7 @@ def _spliced(rebuilt: DataFrame, rest: DataFrame, last_days: DataFrame, family:
     columns = ["stock", family.key_column, "start_date", "end_date"]
     both = rebuilt.select(*columns, F.lit(False).alias("_rest")).unionByName(rest.select(*columns, F.lit(True).alias("_rest")))
     goes_on = F.col("_rest") & (F.lag(key).over(order) == key) & (F.lag("end_date").over(order) == F.col("_last_day"))
-    parts = both.join(last_days, "stock", "left").withColumn("_begins", (~F.coalesce(goes_on, F.lit(False))).cast("int"))
+    parts = place_by_stock(both).join(last_days, "stock", "left").withColumn("_begins", (~F.coalesce(goes_on, F.lit(False))).cast("int"))
     runs = parts.withColumn("_run", F.sum("_begins").over(order))
     folded = runs.groupBy("stock", "_run", family.key_column).agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"))
     return metric_columns(folded.withColumn("day_length", calendar_length(F.col("start_date"), F.col("end_date"))), family)
@@ -285,11 +286,11 @@ def correct_streaks(
     )
     rebuilt = advance(kept, again, family, before)
     rest = touched.where((F.col("start_date") <= until) & (F.col("end_date") >= until)).withColumn("start_date", until)
-    ends = before.select("stock", day).unionByName(within.select("stock", day)).groupBy("stock").agg(F.max(day).alias("_last_day"))
+    ends = place_by_stock(before.select("stock", day).unionByName(within.select("stock", day))).groupBy("stock").agg(F.max(day).alias("_last_day"))
     corrected = _spliced(rebuilt, rest, ends, family)
-    after = touched.where(F.col("start_date") > until).select(*metric.columns)
-    others = metric.join(spans, "stock", "left_anti").select(*metric.columns)
-    return others.unionByName(after).unionByName(corrected)
+    beside = metric.join(spans, "stock", "left")
+    untouched = beside.where(F.col("from_day").isNull() | ((F.col("start_date") >= F.col("from_day")) & (F.col("start_date") > until)))
+    return untouched.select(*metric.columns).unionByName(corrected)
 
 
 def build_or_advance(

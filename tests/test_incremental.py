@@ -266,6 +266,22 @@ def test_corrections_equal_a_rebuild(spark, make_bars, policy):
         assert stops > 10
 
 
+def test_corrections_where_no_table_is_broadcast(spark, make_bars):
+    """Larger tables meet by shuffles on both sides."""
+    calendar = weekdays("2024-01-01", 40)
+    old = [(f"s{k}", d, 10 + (i * 7 + k * 3) % 11) for k in range(12) for i, d in enumerate(calendar)]
+    live = [(s, d, c + 4 if s in ("s1", "s5") and d == calendar[20] else c) for s, d, c in old]
+    days, bars = indicators.classified(make_bars(old)), make_bars(live)
+    corrections = spark.createDataFrame([(s, calendar[20]) for s in ("s1", "s5")], "stock string, stock_valuation_date date")
+    expected = rows(streaks.metric_full(indicators.classified(bars), HIGH_LOW))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(incremental.correct_streaks(streaks.metric_full(days, HIGH_LOW), days, bars, corrections, HIGH_LOW)) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_corrections_stop_where_all_agrees(spark, make_bars):
     """A corrected price inside the records concerns one day of the record family and a window's length of the others;
     a new record high until the old one is passed."""
