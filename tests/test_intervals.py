@@ -6,8 +6,9 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from streakline.operators.intervals import days_in_intervals
+from streakline.operators.intervals import _blocks, days_in_intervals
 from streakline.operators.trading_days import MOST_DAYS, trading_calendar, trading_days_between, with_day_ahead, with_ordinal
 
 EPOCH = date(1970, 1, 1)
@@ -32,6 +33,14 @@ def test_overlapping_intervals(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 1000
 
 
+def test_long_intervals_have_few_blocks_and_days_two(spark):
+    spans = spark.createDataFrame([(date(1400, 1, 1), date(2500, 1, 1)), (EPOCH, EPOCH)], "a date, b date")
+    assert [r["n"] for r in spans.select(F.size(_blocks(F.col("a"), F.col("b"))).alias("n")).collect()] < [230, 2]
+    found = days_in_intervals(spark.createDataFrame([], "stock string, stock_valuation_date date"), spark.createDataFrame([], "stock string, start_date date, end_date date"))
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("explode(") == 2 and "sequence(0, 20" not in plan
+
+
 def test_no_range_join(spark):
     days = spark.createDataFrame([], "stock string, stock_valuation_date date")
     spans = spark.createDataFrame([], "stock string, start_date date, end_date date")
