@@ -597,7 +597,8 @@ def _register_asof(direction: str) -> None:
         """Each line, on the day of its order, beside the part's closing price of that day or the nearest one within 90 days."""
         ordered = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("stock_valuation_date"))
         lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("stock")).join(ordered, "l_orderkey")
-        prices = part_bars(spark, sf_dir).select(*KEYS, "close_value")
+        lines = marts.write_and_read(lines, scratch_path(spark, "lines"))
+        prices = marts.write_and_read(part_bars(spark, sf_dir).select(*KEYS, "close_value"), scratch_path(spark, "prices"))
         found = asof_join(lines, prices, ["stock"], "stock_valuation_date", "90 days", direction)
         return found.select(
             "l_orderkey", "l_linenumber", F.col("matched.stock_valuation_date").alias("price_date"), F.col("matched.close_value").alias("close_value")

@@ -32,16 +32,18 @@ def asof_join(
     Of several values at one time, the greatest row counts. Events with a NULL key or time stay, unmatched; such
     values are ignored. ``on`` is a date or timestamp of one type on both sides; columns of ``values`` can be ordered.
 
-    Both sides meet by merging in time order, without a range join. A key's time is cut into slices of the fixed width
-    ``slice_``; what a slice starts with is carried over from the slices before it, which takes one row per key and
-    slice. So a key that holds a third of all rows spreads over as many tasks as it has slices.
+    Both sides meet by merging in time order, without a range join, and travel once whatever the direction. A key's time
+    is cut into slices of the fixed width ``slice_``; what a slice with events starts with is carried over from the slices
+    before it, unless it is too old, which takes at most one row per key, slice and side. So a key that holds a third of
+    all rows spreads over as many tasks as it has slices. Both tables are read twice: store what is dear to derive.
     """
     if direction not in DIRECTIONS:
         raise ValueError(f"direction is one of {', '.join(DIRECTIONS)}")
     keys = list(by)
     names = [f"_k{i}" for i in range(len(keys))]
     payload = [c for c in values.columns if c not in keys]
-    event, value = (F.struct(*[F.col(f"`{c}`") for c in columns]) for columns in (events.columns, payload))
+    # The key of a row stands beside its struct.
+    event, value = (F.struct(*[F.col(f"`{c}`") for c in columns]) for columns in ([c for c in events.columns if c not in keys], payload))
     key = [F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)]
     comparable = reduce(lambda a, b: a & b, (F.col(f"`{c}`").isNotNull() for c in [*keys, on]))
     left = events.where(comparable).select(*key, _micros(F.col(on)).alias("_t"), event.alias("_event"))
@@ -49,8 +51,7 @@ def asof_join(
     rows = left.unionByName(known, allowMissingColumns=True)
     rows = rows.withColumn("_slice", F.col("_t") - F.pmod("_t", _length(slice_)))
     sides = {"backward": ["_before"], "forward": ["_after"], "nearest": ["_before", "_after"]}[direction]
-    for side in sides:
-        rows = _carried(rows, names, side, later=side == "_after")
+    rows = _carried(rows, names, sides, _length(slice_), None if tolerance is None else _length(tolerance))
 
     def near(side: str) -> Column:
         away = F.abs(F.col(f"{side}.t") - F.col("_t"))
@@ -61,7 +62,9 @@ def asof_join(
     if direction == "nearest":
         after = near("_after")
         matched = F.when(after.isNull() | (matched["away"] <= after["away"]), matched).otherwise(after)
-    found = rows.where(F.col("_event").isNotNull()).select(*[F.col("_event")[c].alias(c) for c in events.columns], matched["value"].alias("matched"))
+    place = dict(zip(keys, names, strict=True))
+    own = [F.col(place[c]).alias(c) if c in place else F.col("_event")[c].alias(c) for c in events.columns]
+    found = rows.where(F.col("_event").isNotNull()).select(*own, matched["value"].alias("matched"))
     rest = events.where(~F.coalesce(comparable, F.lit(False))).withColumn("matched", F.lit(None).cast(found.schema["matched"].dataType))
     return found.unionByName(rest)
 
@@ -72,18 +75,29 @@ def _length(interval: str) -> Column:
     return F.expr(f"unix_micros(CAST({epoch} + INTERVAL {interval} AS TIMESTAMP)) - unix_micros(CAST({epoch} AS TIMESTAMP))")
 
 
-def _carried(rows: DataFrame, names: list[str], side: str, later: bool) -> DataFrame:
-    """``side``: the nearest value at or before (``later``: at or after) each row, as a struct of its time ``t`` and ``value``."""
-    sign = -1 if later else 1
-    entry = F.when(F.col("_value").isNotNull(), F.struct((sign * F.col("_t")).alias("t"), F.col("_value").alias("value")))
+def _carried(rows: DataFrame, names: list[str], sides: list[str], width: Column, tolerance: Column | None) -> DataFrame:
+    """Adds ``_before`` (``_after``): the nearest value at or before (at or after) each row, as a struct of its time ``t`` and
+    ``value``. Both look along one partitioning; what is carried into a slice lies outside of it, on its own side."""
+    signs = {side: -1 if side == "_after" else 1 for side in sides}
+    is_value, is_event = F.col("_value").isNotNull(), F.col("_event").isNotNull()
     # What a slice hands on: the value nearest to the border, the greatest of its time; combined before the shuffle.
-    edges = rows.groupBy(*names, "_slice").agg(F.max(entry).alias("_edge"))
-    before = Window.partitionBy(*names).orderBy(sign * F.col("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = edges.withColumn("_edge", F.last("_edge", ignorenulls=True).over(before)).where(F.col("_edge").isNotNull())
-    extra = carried.select(*names, "_slice", (sign * F.col("_edge.t")).alias("_t"), F.col("_edge.value").alias("_value"), F.lit(True).alias("_extra"))
+    handed = [F.max(F.when(is_value, F.struct((sign * F.col("_t")).alias("t"), F.col("_value").alias("value")))).alias(side) for side, sign in signs.items()]
+    edges = rows.groupBy(*names, "_slice").agg(*handed, F.max(is_event).alias("_asks"))
+    for side, sign in signs.items():
+        earlier = Window.partitionBy(*names).orderBy(sign * F.col("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+        edges = edges.withColumn(f"{side}_edge", F.last(side, ignorenulls=True).over(earlier))
+    received = []
+    for side, sign in signs.items():
+        edge = F.col(f"{side}_edge")
+        border = F.col("_slice") if sign == 1 else -(F.col("_slice") + width - 1)
+        useful = edge.isNotNull() if tolerance is None else border - edge["t"] <= tolerance
+        received.append(F.when(useful, F.struct((sign * edge["t"]).alias("t"), edge["value"].alias("value"))))
+    carried = edges.where("_asks").select(*names, "_slice", F.explode(F.array_compact(F.array(*received))).alias("_edge"))
+    extra = carried.select(*names, "_slice", F.col("_edge.t").alias("_t"), F.col("_edge.value").alias("_value"), F.lit(True).alias("_extra"))
     both = rows.unionByName(extra, allowMissingColumns=True)
-    # Values come before the events of their time, the greatest one last.
-    along = Window.partitionBy(*names, "_slice").orderBy(sign * F.col("_t"), F.col("_event").isNotNull(), "_value")
-    here = F.struct(F.col("_t").alias("t"), F.col("_value").alias("value"))
-    newest = F.last(F.when(F.col("_value").isNotNull(), here), ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))
-    return both.withColumn(side, newest).where(F.col("_extra").isNull()).drop("_extra")
+    newest = F.when(is_value, F.struct(F.col("_t").alias("t"), F.col("_value").alias("value")))
+    for side, sign in signs.items():
+        # Values come before the events of their time, the greatest one last.
+        along = Window.partitionBy(*names, "_slice").orderBy(sign * F.col("_t"), is_event, "_value")
+        both = both.withColumn(side, F.last(newest, ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    return both.where(F.col("_extra").isNull()).drop("_extra")

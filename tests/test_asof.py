@@ -62,3 +62,23 @@ def test_no_range_join_and_a_hot_key_is_spread(spark):
     events = spark.range(1000).select(F.lit("hot").alias("key"), F.timestamp_seconds(F.col("id") * 86_400).alias("at"))
     plan = asof_join(events, events.withColumn("price", F.lit(1)), ["key"], "at")._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Cartesian" not in plan and "_slice" in plan
+
+
+def test_both_directions_share_one_shuffle(spark):
+    events = spark.range(100).select(F.lit("a").alias("key"), F.timestamp_seconds(F.col("id") * 86_400).alias("at"))
+    values = events.withColumn("price", F.lit(1))
+    exchanges = [
+        asof_join(events, values, ["key"], "at", direction=d)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(")
+        for d in ("backward", "nearest")
+    ]
+    assert exchanges[0] == exchanges[1]
+
+
+def test_slices_without_events_receive_nothing_and_old_values_do_not_travel(spark):
+    """The same rows, whether values are carried over empty slices or have grown too old on the way."""
+    events = [("a", START + timedelta(days=d), i, "") for i, d in enumerate((0, 89, 91, 400))]
+    values = [("a", START + timedelta(days=d), d, None) for d in (1, 35, 70, 180, 330)]
+    for direction in ("backward", "forward", "nearest"):
+        df = asof_join(spark.createDataFrame(events, EVENTS), spark.createDataFrame(values, VALUES), ["key"], "at", "90 days", direction)
+        found = {r["n"]: None if r["matched"] is None else tuple(r["matched"]) for r in df.collect()}
+        assert found == {e[2]: _plain(e, values, timedelta(days=90), direction) for e in events}
