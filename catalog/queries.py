@@ -19,6 +19,7 @@ from streakline.functions.keys import surrogate_id
 from streakline.operators import alerts, backtest, cleaning, incremental, indicators, quality, streaks
 from streakline.operators.asof import asof_join
 from streakline.operators.intervals import days_in_intervals
+from streakline.operators.spread import place_by_stock
 from streakline.operators.trading_days import trading_calendar, trading_days_between, with_day_ahead, with_ordinal
 from streakline.plans import marts
 from streakline.plans.increments import StreakStore
@@ -50,7 +51,7 @@ def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return indicators.classified(part_bars(spark, sf_dir))
+    return indicators.classified(place_by_stock(part_bars(spark, sf_dir)))
 
 
 def order_metric(spark: SparkSession, sf_dir: str, family: BucketFamily = HIGH_LOW) -> DataFrame:
@@ -417,7 +418,7 @@ def _(spark, sf_dir):
 def _with_gaps(spark, sf_dir):
     """Part bars of which every fifth one, by a hash, has no price."""
     gap = F.pmod(F.unix_date("stock_valuation_date") * 7 + F.col("stock").cast("bigint"), F.lit(5)) == 0
-    return part_bars(spark, sf_dir).withColumn("close_value", F.when(~gap, F.col("close_value")))
+    return place_by_stock(part_bars(spark, sf_dir)).withColumn("close_value", F.when(~gap, F.col("close_value")))
 
 
 NULL_BREAKS = IndicatorParams(null_policy="null")
@@ -516,7 +517,7 @@ def _(spark, sf_dir):
 @query("part_classified_increment")
 def _(spark, sf_dir):
     bars = part_bars(spark, sf_dir)
-    tail = indicators.history_tail(indicators.classified(old(bars)))
+    tail = indicators.history_tail(indicators.classified(place_by_stock(old(bars))))
     return indicators.classify_increment(tail, new(bars)).withColumn("stddev_90", F.round("stddev_90", 4))
 
 
@@ -842,7 +843,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Each third streak, by its start, is there twice: its days lie in two streaks."""
     bars = marts.write_and_read(part_bars(spark, sf_dir), scratch_path(spark, "bars"))
-    metric = streaks.metric_full(indicators.classified(bars), HIGH_LOW)
+    metric = streaks.metric_full(indicators.classified(place_by_stock(bars)), HIGH_LOW)
     copies = F.when(F.unix_date("start_date") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return quality.streak_cover(bars, metric.withColumn("_copy", F.explode(copies)).drop("_copy"))
 

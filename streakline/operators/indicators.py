@@ -21,6 +21,7 @@ from streakline.config import IndicatorParams
 from streakline.families import AVERAGE, FAMILIES, HIGH_LOW, MOVING_AVG, BucketFamily
 from streakline.functions.classify import classify_average, classify_crossover, classify_high_low
 from streakline.functions.keys import surrogate_id
+from streakline.operators.spread import place_by_stock
 
 DEFAULTS = IndicatorParams()
 UNITS = 10_000
@@ -228,7 +229,7 @@ def classify_increment(tail: DataFrame, new_bars: DataFrame, params: IndicatorPa
         close.alias("maximum_value"),
         F.lit(True).alias("_fresh"),
     )
-    days = stored.unionByName(fresh, allowMissingColumns=True).withColumns(
+    days = place_by_stock(stored.unionByName(fresh, allowMissingColumns=True)).withColumns(
         {
             "minimum_value": F.min("minimum_value").over(so_far()),
             "maximum_value": F.max("maximum_value").over(so_far()),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from streakline.functions.calendar import calendar_length
+from streakline.operators.spread import place_by_stock
 
 
 def freshness(live: DataFrame, metric: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ def streak_cover(live: DataFrame, metric: DataFrame) -> DataFrame:
         .orderBy("stock_valuation_date", "_is_bar")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    counted = bars.unionByName(steps).withColumn("streak_count", F.sum("_opens").over(in_order))
+    counted = place_by_stock(bars.unionByName(steps)).withColumn("streak_count", F.sum("_opens").over(in_order))
     return counted.where(F.col("_is_bar") & (F.col("streak_count") != 1)).select("stock", day, "streak_count")
 
 

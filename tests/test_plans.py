@@ -158,3 +158,9 @@ def test_shared_folder_is_required_on_a_cluster():
 def test_dates_stay_dates(stored):
     assert dict(indicators.classified(stored).dtypes)["stock_valuation_date"] == "date"
     assert stored.where(F.col("stock_valuation_date").isNull()).count() == 0
+
+
+@pytest.mark.parametrize("name", ["part_latest_streak_alerts", "part_high_low_metric_full", "part_classified_increment"])
+def test_a_task_holds_a_share_of_the_stocks(spark, sf_dir, name):
+    """The windows' exchange keeps its number of partitions, instead of filling tasks by compressed bytes."""
+    assert re.search(r"Exchange hashpartitioning\(stock[^)]*, 5\), REPARTITION_BY_NUM", plan(QUERIES[name](spark, sf_dir)))
