@@ -11,10 +11,11 @@ per row and two averages compare without rounding.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streakline import schemas
 from streakline.config import IndicatorParams
@@ -28,6 +29,21 @@ UNITS = 10_000
 
 CLASSIFIED_COLUMNS = schemas.CLASSIFIED.names
 
+# Running number, sum and sum of squares of a stock's closes, as whole numbers.
+RUNNING = T.StructType(
+    [
+        T.StructField("_count", T.LongType()),
+        T.StructField("_sum", T.LongType()),
+        T.StructField("_squares", T.DecimalType(37, 0)),
+    ]
+)
+_HISTORY = {f"{f.name}_history": f.dataType for f in RUNNING}
+
+# One row per stock: its newest day with records, buckets and runs, and the running sums of its last days.
+_CARRIED = ("minimum_value", "maximum_value", *(name for f in FAMILIES for name in (f.bucket_column, f.run_column)))
+_NEWEST = ("stock_valuation_date", *_CARRIED)
+STATE = T.StructType([*(schemas.CLASSIFIED[name] for name in ("stock", *_NEWEST)), *(T.StructField(name, T.ArrayType(kind)) for name, kind in _HISTORY.items())])
+
 
 def by_day() -> WindowSpec:
     return Window.partitionBy("stock").orderBy("stock_valuation_date")
@@ -56,9 +72,14 @@ def _with_running_sums(df: DataFrame, value: str) -> DataFrame:
     )
 
 
-def _last_rows(running: str, rows: int) -> Column:
-    """The sum over the last ``rows`` rows; fewer at the start of a history."""
-    return F.col(running) - F.coalesce(F.lag(running, rows).over(by_day()), F.lit(0))
+def _lagged(running: str, rows: int) -> Column:
+    return F.lag(running, rows).over(by_day())
+
+
+def _last_rows(running: str, rows: int, before: Callable[[str, int], Column]) -> Column:
+    """The sum over the last ``rows`` rows; fewer at the start of a history. ``before`` gives the
+    running sum ``rows`` rows earlier."""
+    return F.col(running) - F.coalesce(before(running, rows), F.lit(0))
 
 
 def _mean(total: str, count: str, min_periods: int) -> Column:
@@ -91,14 +112,14 @@ def _band_bucket(params: IndicatorParams) -> Column:
     )
 
 
-def _with_band(df: DataFrame, params: IndicatorParams) -> DataFrame:
+def _with_band(df: DataFrame, params: IndicatorParams, before: Callable[[str, int], Column] = _lagged) -> DataFrame:
     rows = params.band_rows
     return (
         df.withColumns(
             {
-                "_n_band": _last_rows("_count", rows),
-                "_s_band": _last_rows("_sum", rows),
-                "_q_band": _last_rows("_squares", rows),
+                "_n_band": _last_rows("_count", rows, before),
+                "_s_band": _last_rows("_sum", rows, before),
+                "_q_band": _last_rows("_squares", rows, before),
             }
         )
         .withColumns(
@@ -110,14 +131,14 @@ def _with_band(df: DataFrame, params: IndicatorParams) -> DataFrame:
     )
 
 
-def _with_averages(df: DataFrame, params: IndicatorParams) -> DataFrame:
+def _with_averages(df: DataFrame, params: IndicatorParams, before: Callable[[str, int], Column] = _lagged) -> DataFrame:
     return (
         df.withColumns(
             {
-                "_n_short": _last_rows("_count", params.short_rows),
-                "_s_short": _last_rows("_sum", params.short_rows),
-                "_n_long": _last_rows("_count", params.long_rows),
-                "_s_long": _last_rows("_sum", params.long_rows),
+                "_n_short": _last_rows("_count", params.short_rows, before),
+                "_s_short": _last_rows("_sum", params.short_rows, before),
+                "_n_long": _last_rows("_count", params.long_rows, before),
+                "_s_long": _last_rows("_sum", params.long_rows, before),
             }
         )
         .withColumns(
@@ -178,6 +199,12 @@ def _measured(days: DataFrame, params: IndicatorParams) -> DataFrame:
     return _with_averages(_with_band(_with_running_sums(days, "stock_value"), params), params)
 
 
+def _looked_back_on(params: IndicatorParams) -> list[tuple[str, int]]:
+    """Each running sum with the numbers of rows by which the indicators look back on it."""
+    every = sorted({params.band_rows, params.short_rows, params.long_rows})
+    return [*((running, rows) for running in ("_count", "_sum") for rows in every), ("_squares", params.band_rows)]
+
+
 def classified(bars: DataFrame, params: IndicatorParams = DEFAULTS, carry: Sequence[str] = ()) -> DataFrame:
     """Indicators, buckets and runs of every stock-day, plus the bar columns named in ``carry``.
 
@@ -248,6 +275,95 @@ def classify_increment(tail: DataFrame, new_bars: DataFrame, params: IndicatorPa
     return runs.where(is_fresh).select(*CLASSIFIED_COLUMNS)
 
 
+def classify_onto(state: DataFrame | None, new_bars: DataFrame, params: IndicatorParams = DEFAULTS) -> DataFrame:
+    """Classified rows of ``new_bars`` alone, as a full rebuild would give them, with the running sums.
+
+    ``state`` is ``history_state`` of the days so far, or None. New bars lie after their stock's
+    state. Windows run over the new days only, which then meet their stock's one row; a sum that
+    begins before them is looked up in its arrays.
+    """
+    days = place_by_stock(new_bars.select("stock", "stock_valuation_date", F.col("close_value").alias("stock_value")))
+    sums = _with_running_sums(record_extremes(days, "stock_value"), "stock_value")
+    if state is None:
+        measured = _with_averages(_with_band(sums, params), params)
+        return _with_runs(_with_buckets(measured, params), FAMILIES).select(*CLASSIFIED_COLUMNS, *RUNNING.names)
+
+    looked_back = _looked_back_on(params)
+    own = sums.withColumns(
+        {
+            "_place": F.row_number().over(by_day()),
+            **{f"{running}_{rows}": _lagged(running, rows) for running, rows in looked_back},
+        }
+    )
+    stored = state.select("stock", *(F.col(name).alias(f"_old_{name}") for name in _CARRIED), *_HISTORY, F.lit(True).alias("_known"))
+    joined = own.join(stored, "stock", "left")
+
+    def last(running: str) -> Column:
+        history = F.col(f"{running}_history")
+        return F.coalesce(F.get(history, F.size(history) - 1), F.lit(0))
+
+    def total(running: T.StructField) -> Column:
+        return (F.col(running.name) + last(running.name)).cast(running.dataType)
+
+    def earlier(running: str, rows: int) -> Column:
+        history = F.col(f"{running}_history")
+        among_new = F.col(f"{running}_{rows}") + last(running)
+        return F.coalesce(among_new, F.get(history, F.size(history) + F.col("_place") - F.lit(rows + 1))).cast(RUNNING[running].dataType)
+
+    summed = joined.select(
+        "stock",
+        "stock_valuation_date",
+        "stock_value",
+        F.least("minimum_value", "_old_minimum_value").alias("minimum_value"),
+        F.greatest("maximum_value", "_old_maximum_value").alias("maximum_value"),
+        *(total(running).alias(running.name) for running in RUNNING),
+        *(earlier(running, rows).alias(f"{running}_{rows}") for running, rows in looked_back),
+        "_place",
+        "_known",
+        *(f"_old_{name}" for name in _CARRIED[2:]),
+    )
+
+    def before(running: str, rows: int) -> Column:
+        return F.col(f"{running}_{rows}")
+
+    buckets = _with_buckets(_with_averages(_with_band(summed, params, before), params, before), params)
+    begins = F.col("_place") == 1
+
+    def changed(family: BucketFamily) -> Column:
+        stored_or_before = F.when(begins, F.col(f"_old_{family.bucket_column}")).otherwise(F.lag(family.bucket_column).over(by_day()))
+        first = begins & F.col("_known").isNull()
+        return (first | ~F.col(family.bucket_column).eqNullSafe(stored_or_before)).cast("bigint")
+
+    flags = buckets.withColumns({f"_new_{f.name}": changed(f) for f in FAMILIES})
+    runs = flags.withColumns(
+        {
+            f.run_column: F.sum(f"_new_{f.name}").over(so_far()) + F.coalesce(F.col(f"_old_{f.run_column}"), F.lit(0))
+            for f in FAMILIES
+        }
+    )
+    return runs.select(*CLASSIFIED_COLUMNS, *RUNNING.names)
+
+
+def history_state(state: DataFrame | None, days: DataFrame, params: IndicatorParams = DEFAULTS) -> DataFrame:
+    """What the next days' indicators need of each stock of ``days``, as one row: ``classify_onto`` of the
+    days taken in last and ``state`` of those before. The arrays are bounded: one entry more than
+    ``history_rows``, the sum before the first row a window can reach, and as many squares as the band has rows."""
+    entry = F.struct("stock_valuation_date", *RUNNING.names)
+    by_stock = place_by_stock(days).groupBy("stock").agg(
+        F.sort_array(F.collect_list(entry)).alias("_entries"),
+        F.max_by(F.struct(*_NEWEST), "stock_valuation_date").alias("_newest"),
+    )
+    lengths = {name: params.band_rows if name == "_squares_history" else params.history_rows + 1 for name in _HISTORY}
+    known = by_stock.select("stock", "_newest.*", *(F.col("_entries")[f.name].alias(f"{f.name}_history") for f in RUNNING))
+    if state is None:
+        both = {name: F.col(name) for name in _HISTORY}
+    else:
+        known = known.join(state.select("stock", *(F.col(name).alias(f"_old{name}") for name in _HISTORY)), "stock", "left")
+        both = {name: F.concat(F.coalesce(F.col(f"_old{name}"), F.array().cast(T.ArrayType(kind))), name) for name, kind in _HISTORY.items()}
+    last = [F.slice(c, F.greatest(F.size(c) - lengths[name] + 1, F.lit(1)), lengths[name]).alias(name) for name, c in both.items()]
+    return known.select("stock", *_NEWEST, *last)
+
+
 def last_snapshot(classified_days: DataFrame) -> DataFrame:
     """The newest classified row of each stock, in snapshot columns.
 

@@ -3,10 +3,11 @@
 Each batch writes its own subfolders and reads state only from the batch
 before it. A batch that is run again therefore overwrites its own output with
 the same content, and closed streaks are written once and never touched
-again. A batch writes the tail and the open streak of the stocks it touches;
-the state of a stock is what its newest batch wrote. Every ``compact_every``
-batches all stocks are written, so no read goes back further. Work per batch
-follows the new days plus a bounded tail per touched stock.
+again. A batch writes the tail and the open streak of the stocks it brings new
+days of; the state of a stock is what its newest batch wrote. Every
+``compact_every`` batches all stocks are written, so no read goes back further.
+Windows run over the new days alone: the tail is one row per stock, with the
+running sums of its last days in arrays of bounded length.
 
 Closed streaks lie in levels: the last of every ``merge_every`` batches writes
 the closed streaks of all of them once more as one sorted table, the last of
@@ -31,10 +32,12 @@ from streakline.config import IndicatorParams
 from streakline.families import FAMILIES, BucketFamily
 from streakline.operators.cleaning import incremental_filter, late_rows
 from streakline.operators.incremental import advance
-from streakline.operators.indicators import CLASSIFIED_COLUMNS, classified, classify_increment, history_tail
+from streakline.operators.indicators import CLASSIFIED_COLUMNS, RUNNING, STATE, classify_onto, history_state
+from streakline.operators.spread import place_by_stock
 
 _BAR_COLUMNS = ("stock", "stock_valuation_date", "close_value")
 _BARS = T.StructType([schemas.LIVE[name] for name in _BAR_COLUMNS])
+_DAYS = T.StructType([*schemas.CLASSIFIED.fields, *RUNNING.fields])
 
 
 def _plus(schema: T.StructType, partition: str) -> T.StructType:
@@ -82,17 +85,19 @@ class StreakStore:
         path = f"{self.root}/{table}" if batch is None else self._path(table, batch)
         return self.spark.read.schema(schema).parquet(path)
 
-    def _newest(self, table: str, schema: T.StructType, batch: int, condition: str = "true") -> DataFrame:
+    def _newest(self, table: str, schema: T.StructType, batch: int, condition: str = "true", place: bool = False) -> DataFrame:
         """The rows of each stock from the newest batch up to ``batch`` that wrote some; batches
         before the last compaction are not read."""
         base = batch // self.compact_every * self.compact_every
         rows = self._read(table, _plus(schema, "batch")).where(F.col("batch").between(base, batch)).where(condition)
+        rows = place_by_stock(rows) if place else rows
         newest = F.max("batch").over(Window.partitionBy("stock"))
         return rows.withColumn("_newest", newest).where("batch = _newest").drop("_newest", "batch")
 
-    def tail(self, batch: int) -> DataFrame:
-        """The bounded history of every stock as of ``batch``."""
-        return self._newest("tail", schemas.CLASSIFIED, batch)
+    def state(self, batch: int) -> DataFrame:
+        """The bounded history of every stock as of ``batch``, one row each. It is placed as new bars are, so that
+        the two meet without another exchange."""
+        return self._newest("tail", STATE, batch, place=True)
 
     def _streak_schema(self, family: BucketFamily) -> T.StructType:
         return _plus(schemas.metric(family), "is_open")
@@ -103,30 +108,29 @@ class StreakStore:
         self._write(bars.select(*_BAR_COLUMNS), "incoming", batch)
         incoming = self._read("incoming", _BARS, batch)
 
-        if batch == 0:
-            days = classified(incoming, self.params)
+        state = None if batch == 0 else self.state(batch - 1)
+        if state is None:
+            fresh = incoming
             self._write(incoming.limit(0), "late", batch)
         else:
-            touched = incoming.select("stock").distinct()
-            tail = self.tail(batch - 1).join(touched, "stock", "left_semi")
-            days = classify_increment(tail, incremental_filter(incoming, tail), self.params)
-            oldest = incoming.agg(F.min("stock_valuation_date")).scalar()
-            days_before = self.days(batch - 1).select("stock", "stock_valuation_date", F.col("stock_value").alias("close_value"))
-            known = days_before.where(F.col("stock_valuation_date") >= oldest).join(touched, "stock", "left_semi")
-            self._write(late_rows(incoming, known), "late", batch)
-        self._write(days, "days", batch)
-        days = self._read("days", schemas.CLASSIFIED, batch)
+            newest = state.select("stock", "stock_valuation_date")
+            fresh = incremental_filter(place_by_stock(incoming), newest)
+            self._write(self._late_bars(batch, incoming, newest), "late", batch)
+        self._write(classify_onto(state, fresh, self.params), "days", batch)
+        with_sums = self._read("days", _DAYS, batch)
+        days = with_sums.select(*CLASSIFIED_COLUMNS)
+        touched = days.select("stock").distinct()
 
         compacts = batch > 0 and batch % self.compact_every == 0
-        history = history_tail(days if batch == 0 else tail.unionByName(days), self.params)
+        history = history_state(state, with_sums, self.params)
         if compacts:
-            history = history.unionByName(self.tail(batch - 1).join(touched, "stock", "left_anti"))
+            history = history.unionByName(state.join(touched, "stock", "left_anti"))
         self._write(history, "tail", batch)
         for family in self.families:
-            if batch == 0:
+            if state is None:
                 changed = advance(None, days, family)
             else:
-                last_days = tail if self.params.null_policy == "null" else None
+                last_days = newest.join(touched, "stock", "left_semi") if self.params.null_policy == "null" else None
                 open_ = self.open_streaks(family, batch - 1)
                 changed = advance(open_.join(touched, "stock", "left_semi"), days, family, last_days)
                 if compacts:
@@ -137,6 +141,19 @@ class StreakStore:
             self._add_to_summary(family, batch, None if batch == 0 else touched, compacts)
             self._merge_closed(family, batch)
 
+    def _late_bars(self, batch: int, incoming: DataFrame, newest: DataFrame) -> DataFrame:
+        """Only bars at or before their stock's newest stored day are compared, with the days from the oldest bar on.
+        Two fixed days spare most rows the way there: bars after all stored days are not late, and the oldest lets
+        the files of older batches be skipped."""
+        oldest = incoming.agg(F.min("stock_valuation_date")).first()[0]
+        last = newest.agg(F.max("stock_valuation_date")).first()[0]
+        behind = incoming.where(F.col("stock_valuation_date") <= F.lit(last).cast("date"))
+        behind = behind.join(newest.withColumnRenamed("stock_valuation_date", "_newest"), "stock")
+        behind = behind.where(F.col("stock_valuation_date") <= F.col("_newest")).select(*_BAR_COLUMNS)
+        days = self.days(batch - 1).where(F.col("stock_valuation_date") >= F.lit(oldest).cast("date"))
+        known = days.select("stock", "stock_valuation_date", F.col("stock_value").alias("close_value"))
+        return late_rows(behind, known)
+
     def closed_tables(self, batch: int) -> list[tuple[int, int]]:
         """Level and last batch of the tables that together hold the closed streaks of all batches up to ``batch``;
         a table of level n holds ``merge_every ** n`` batches, one of level 0 is what the batch itself wrote."""
@@ -213,7 +230,7 @@ class StreakStore:
 
     def newest_day(self, batch: int) -> date | None:
         """The newest day taken in by ``batch``, from the tail alone."""
-        return self.tail(batch).agg(F.max("stock_valuation_date").alias("day")).first()["day"]
+        return self.state(batch).agg(F.max("stock_valuation_date").alias("day")).first()["day"]
 
     def days(self, batch: int) -> DataFrame:
         schema = _plus(schemas.CLASSIFIED, "batch")

@@ -324,3 +324,27 @@ def test_merged_levels_equal_a_rebuild(spark, make_bars, tmp_path):
     assert store.closed_tables(8) == [(3, 7), (0, 8)]
     begun = streaks.metric_full(whole, HIGH_LOW).where(F.col("start_date") == calendar[8])
     assert rows(store.opened(HIGH_LOW, 8)) == rows(begun)
+
+
+def test_batches_meet_one_row_per_stock(spark, make_bars, tmp_path):
+    """The stored history is one bounded row per stock; sums that begin before a batch come from its arrays, also
+    where closes are missing or a batch is longer than the windows."""
+    params = IndicatorParams(band_rows=5, short_rows=2, long_rows=6)
+    calendar, chance = weekdays("2024-01-01", 30), random.Random(5)
+    all_rows = [(s, d, chance.choice([None, *range(1, 12)])) for s in "ABCD" for d in calendar if chance.random() < 0.8]
+    cuts = [calendar[:4], calendar[4:6], calendar[6:7], calendar[7:20], calendar[20:]]
+    store = StreakStore(spark, str(tmp_path / "rows"), params=params)
+    for batch, part in enumerate(cuts):
+        fresh = [r for r in all_rows if r[1] in part and not (r[0] == "D" and batch < 2)]
+        store.apply(batch, make_bars(fresh))
+        stored = spark.read.parquet(f"{store.root}/tail/batch={batch}")
+        assert stored.count() == len({r[0] for r in fresh})
+        longest = stored.agg(*(F.max(F.size(f"{c}_history")) for c in ("_count", "_sum", "_squares"))).first()
+        assert longest[0] <= params.history_rows + 1 and longest[1] <= params.history_rows + 1 and longest[2] <= params.band_rows
+    taken = [r for r in all_rows if r[0] != "D" or r[1] >= calendar[6]]
+    whole = indicators.classified(make_bars(taken), params)
+    assert rows(store.days(4).drop("stddev_90")) == rows(whole.drop("stddev_90"))
+    for family in FAMILIES:
+        assert rows(store.metric(family, 4)) == rows(streaks.metric_full(whole, family))
+        assert rows(store.summary(family, 4)) == rows(streaks.bucket_summary(streaks.metric_full(whole, family), family))
+    assert store.newest_day(4) == max(r[1] for r in taken)
